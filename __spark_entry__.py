@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas
-from daybook.functions.json_fields import member, members
+from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.numbers import number
 from daybook.functions.prices import tokens
 from daybook.operators import pricing, quality, quote_store, reports, volumes
@@ -112,20 +112,15 @@ def _lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def tx_extract(spark, sf_dir):
-    parsed = _events(spark, sf_dir).select(
+    events = with_member(_events(spark, sf_dir), "present", "props", "k")
+    return with_member(events, "absent", "props", "missing").select(
         "event_id",
         event_date().alias("date"),
         currency().alias("currency_symbol"),
-        members("props").alias("members"),
-    )
-    return parsed.select(
-        "event_id",
-        "date",
-        "currency_symbol",
-        member("members", "k", "").alias("present_text"),
-        member("members", "missing", "").alias("absent_text"),
-        number(member("members", "k", "0")).alias("present_number"),
-        number(member("members", "missing", "0")).alias("absent_number"),
+        member_or("present", "").alias("present_text"),
+        member_or("absent", "").alias("absent_text"),
+        number(member_or("present", "0")).alias("present_number"),
+        number(member_or("absent", "0")).alias("absent_number"),
     )
 
 

@@ -8,42 +8,36 @@ from pyspark.sql import functions as F
 from daybook import schemas
 from daybook.constants import AMOUNT_KEY, DEFAULT_AMOUNT, DEFAULT_SYMBOL, SYMBOL_KEY
 from daybook.functions.dates import wall_clock_date
-from daybook.functions.json_fields import member, members
+from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.numbers import number
 
 
 def read_fields(transactions: DataFrame) -> DataFrame:
     """Typed columns next to the raw ones, plus ``problem``: the first unreadable field.
 
-    Each JSON text is parsed once; the later selects only refer to the parsed columns.
+    The later columns refer to the parsed ones and do not parse again.
     """
-    parsed = transactions.select(
+    typed = transactions.select(
         *schemas.RAW_COLUMNS,
         wall_clock_date("ts").alias("date"),
         F.col("project_id").try_cast("bigint").alias("project"),
-        members("props").alias("props_members"),
-        members("nums").alias("nums_members"),
     )
-    fields = parsed.select(
-        *schemas.RAW_COLUMNS,
-        "date",
-        "project",
-        "props_members",
-        "nums_members",
-        number(member("nums_members", AMOUNT_KEY, DEFAULT_AMOUNT)).alias("amount"),
+    parsed = with_member(
+        with_member(typed, "symbol", "props", SYMBOL_KEY), "value", "nums", AMOUNT_KEY
     )
+    fields = parsed.withColumn("amount", number(member_or("value", DEFAULT_AMOUNT)))
     problem = (
         F.when(F.col("ts").isNotNull() & F.col("date").isNull(), F.lit("ts"))
         .when(F.col("project_id").isNotNull() & F.col("project").isNull(), F.lit("project_id"))
-        .when(F.col("props_members").isNull(), F.lit("props"))
-        .when(F.col("nums_members").isNull(), F.lit("nums"))
+        .when(F.col("symbol_found").isNull(), F.lit("props"))
+        .when(F.col("value_found").isNull(), F.lit("nums"))
         .when(F.col("amount").isNull(), F.lit("amount"))
     )
     return fields.select(
         *[F.col(name).alias(f"raw_{name}") for name in schemas.RAW_COLUMNS],
         "date",
         F.col("project").alias("project_id"),
-        member("props_members", SYMBOL_KEY, DEFAULT_SYMBOL).alias("currency_symbol"),
+        member_or("symbol", DEFAULT_SYMBOL).alias("currency_symbol"),
         "amount",
         problem.alias("problem"),
     )

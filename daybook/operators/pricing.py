@@ -26,6 +26,18 @@ def exact_prices(keys: DataFrame, quotes: DataFrame) -> DataFrame:
     return keys.join(same_day, ["currency_symbol", "date"], "left")
 
 
+def _spans(quotes: DataFrame) -> DataFrame:
+    """Each quote with the price before it and the day of the next one of its symbol."""
+    by_date = Window.partitionBy("symbol").orderBy("date")
+    return quotes.select(
+        F.col("symbol").alias("currency_symbol"),
+        F.col("date").alias("quoted_on"),
+        "price",
+        F.lag("price").over(by_date).alias("price_before"),
+        F.lead("date").over(by_date).alias("next_quoted_on"),
+    )
+
+
 def price_by_day(quotes: DataFrame, spread: Column) -> DataFrame:
     """One row per symbol and day: the quote of that day and the newest quote before it.
 
@@ -33,21 +45,13 @@ def price_by_day(quotes: DataFrame, spread: Column) -> DataFrame:
     others are there on their own day only. A newest earlier quote without a usable price
     stays in place and hides older ones.
     """
-    by_date = Window.partitionBy("symbol").orderBy("date")
-    spans = quotes.select(
-        "symbol",
-        F.col("date").alias("quoted_on"),
-        "price",
-        F.lag("price").over(by_date).alias("price_before"),
-        F.lead("date").over(by_date).alias("next_quoted_on"),
-    )
     last_day = F.when(
         spread & F.col("next_quoted_on").isNotNull(), F.date_sub("next_quoted_on", 1)
     ).otherwise(F.col("quoted_on"))
-    days = spans.select("*", F.explode(F.sequence("quoted_on", last_day)).alias("date"))
+    days = _spans(quotes).select("*", F.explode(F.sequence("quoted_on", last_day)).alias("date"))
     on_quoted_day = F.col("date") == F.col("quoted_on")
     return days.select(
-        F.col("symbol").alias("currency_symbol"),
+        "currency_symbol",
         "date",
         F.when(on_quoted_day, F.col("price")).alias("exact_price"),
         F.when(on_quoted_day, F.col("price_before"))
@@ -56,11 +60,20 @@ def price_by_day(quotes: DataFrame, spread: Column) -> DataFrame:
     )
 
 
-def latest_quotes(quotes: DataFrame) -> DataFrame:
-    """Newest quote of each symbol, usable or not."""
-    return quotes.groupBy(F.col("symbol").alias("currency_symbol")).agg(
-        F.max("date").alias("latest_date"),
-        F.max_by("price", "date").alias("latest_price"),
+def latest_quotes(quotes: DataFrame, spread: Column) -> DataFrame:
+    """Newest quote, usable or not, of each symbol for which ``spread`` holds.
+
+    Taken from the same spans as ``price_by_day`` and filtered after the window only, so that
+    both share one shuffle of the quotes.
+    """
+    return (
+        _spans(quotes)
+        .where(F.when(spread, F.col("next_quoted_on").isNull()))
+        .select(
+            "currency_symbol",
+            F.col("quoted_on").alias("latest_date"),
+            F.col("price").alias("latest_price"),
+        )
     )
 
 
@@ -70,7 +83,7 @@ def _with_quotes(keys: DataFrame, quotes: DataFrame, spread: Column) -> DataFram
     )
     return (
         keys.join(price_by_day(quotes, spread), ["currency_symbol", "date"], "left")
-        .join(latest_quotes(quotes.where(spread)), "currency_symbol", "left")
+        .join(latest_quotes(quotes, spread), "currency_symbol", "left")
         .withColumns({"exact_price": usable("exact_price"), "earlier_price": usable(earlier)})
         .drop("latest_date", "latest_price")
     )
@@ -94,7 +107,7 @@ def with_prices(
     that, for symbols the provider knows, the newest quote before the day.
     """
     symbol = F.col("currency_symbol")
-    quoted = _with_quotes(frame, quotes, is_quoted("symbol", coin_ids))
+    quoted = _with_quotes(frame, quotes, is_quoted(symbol, coin_ids))
     source = (
         F.when(is_pegged(symbol), PEG)
         .when(F.col("exact_price").isNotNull(), EXACT)

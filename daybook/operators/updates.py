@@ -1,11 +1,16 @@
-"""Keyed update of metrics rows."""
+"""New prices for metrics rows that exist already."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook import schemas
+from daybook.constants import COIN_IDS
+from daybook.functions.prices import usd_value
+from daybook.operators.pricing import with_prices
 
 _VALUES = ("price", "price_source", "usd_volume")
 
@@ -22,3 +27,23 @@ def updated(metrics: DataFrame, valuations: DataFrame) -> DataFrame:
     matched = metrics.join(new, list(schemas.METRICS_KEY), "left")
     values = {name: F.coalesce(F.col(f"new_{name}"), F.col(name)) for name in _VALUES}
     return matched.withColumns(values).select(*metrics.columns)
+
+
+def repriced(
+    metrics: DataFrame, quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS
+) -> DataFrame:
+    """Metrics valued again from their raw volumes; rows without a price stay as they are.
+
+    Same outcome as ``updated`` with fresh valuations, but the rows are not joined to themselves.
+    """
+    former = metrics.withColumnsRenamed({name: f"former_{name}" for name in _VALUES})
+    fresh = with_prices(former, quotes, coin_ids).withColumn(
+        "usd_volume", usd_value("currency_symbol", "raw_volume", "price")
+    )
+    found = F.col("price").isNotNull()
+    values = [
+        F.when(found, F.col(name)).otherwise(F.col(f"former_{name}")).alias(name)
+        for name in _VALUES
+    ]
+    kept = [name for name in metrics.columns if name not in _VALUES]
+    return fresh.select(*kept, *values).select(*metrics.columns)

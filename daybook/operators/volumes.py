@@ -30,9 +30,21 @@ def with_keys(frame: DataFrame, *keys: str) -> DataFrame:
     return frame
 
 
+def _keyed_groups(groups: DataFrame, *keys: str) -> DataFrame:
+    """Groups whose keys are all present.
+
+    A condition on keys alone would be moved below the aggregation, where it would parse the
+    documents a second time and let unreadable records without a key pass. Tied to the count,
+    which is never negative, it stays above.
+    """
+    for key in keys:
+        groups = groups.where(F.when(F.col("num_transactions") >= 0, F.col(key).isNotNull()))
+    return groups
+
+
 def project_metrics(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date and project, over all currencies together."""
-    return with_keys(transactions, *PROJECT_KEY).groupBy(*PROJECT_KEY).agg(*_totals())
+    return _keyed_groups(transactions.groupBy(*PROJECT_KEY).agg(*_totals()), *PROJECT_KEY)
 
 
 def all_volumes(transactions: DataFrame) -> DataFrame:
@@ -45,7 +57,7 @@ def all_volumes(transactions: DataFrame) -> DataFrame:
 
 def currency_volumes(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date, currency and project."""
-    return with_keys(all_volumes(transactions), *CURRENCY_KEY)
+    return _keyed_groups(all_volumes(transactions), *CURRENCY_KEY)
 
 
 def project_metrics_of(volumes: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from daybook.operators.extraction import extract
 from daybook.operators.pricing import valued
 from daybook.operators.quote_store import merged_quotes, missing_quotes
 from daybook.operators.sinks import as_table, replace_partitions, required, store_quotes
-from daybook.operators.updates import updated
+from daybook.operators.updates import repriced, updated
 from daybook.operators.volumes import all_volumes, price_keys, project_metrics_of, with_keys
 from daybook.plans.lake import Lake
 from daybook.session import settled
@@ -60,17 +60,29 @@ def reprice(
     spark: SparkSession,
     lake: Lake,
     since: datetime.date,
+    but_not: Iterable[datetime.date] = (),
     coin_ids: Mapping[str, str] = COIN_IDS,
 ) -> None:
     """Values the metrics rows from ``since`` on again, without going back to the records.
 
     The new rows are settled before any partition is replaced, as they are read from it.
     """
-    rows = read_metrics(spark, lake.metrics).where(F.col("date") >= F.lit(since))
-    volumes = rows.select(*schemas.METRICS_KEY, "num_transactions", "raw_volume")
-    new = valued(volumes, read_quotes(spark, lake.quotes), coin_ids)
-    repriced = settled(as_table(updated(rows, new), schemas.METRICS))
-    replace_partitions(repriced, lake.metrics, "date")
+    rows = read_metrics(spark, lake.metrics).where(
+        (F.col("date") >= F.lit(since)) & ~F.col("date").isin(list(but_not))
+    )
+    fresh = settled(repriced(rows, read_quotes(spark, lake.quotes), coin_ids))
+    replace_partitions(as_table(fresh, schemas.METRICS), lake.metrics, "date")
+
+
+def apply_valuations(spark: SparkSession, lake: Lake, valuations: DataFrame) -> None:
+    """Updates the stored metrics rows for which ``valuations`` has a price, date by date."""
+    new = settled(valuations.where(F.col("price").isNotNull()))
+    days = [row.date for row in new.select("date").distinct().collect()]
+    rows = read_metrics(spark, lake.metrics).where(F.col("date").isin(days))
+    replace_partitions(
+        settled(as_table(updated(rows, new), schemas.METRICS)), lake.metrics, "date"
+    )
+    lake.publish(spark)
 
 
 def refresh(
@@ -90,7 +102,8 @@ def refresh(
     earliest = add_quotes(spark, lake, responses, coin_ids) if responses is not None else None
     landed = read_landed(spark, lake.bronze)
     if dates is not None:
-        landed = landed.where(F.col("date").isin(list(dates)))
+        dates = list(dates)
+        landed = landed.where(F.col("date").isin(dates))
     volumes = settled(all_volumes(extract(landed)))
 
     projects = as_table(project_metrics_of(volumes), schemas.PROJECT_METRICS)
@@ -102,5 +115,5 @@ def refresh(
     )
     replace_partitions(as_table(metrics, schemas.METRICS), lake.metrics, "date")
     if dates is not None and earliest is not None:
-        reprice(spark, lake, earliest, coin_ids)
+        reprice(spark, lake, earliest, but_not=dates, coin_ids=coin_ids)
     lake.publish(spark)

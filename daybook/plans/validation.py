@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def is_displayable(metrics: DataFrame) -> bool:
 def _holds(check, spark: SparkSession, path: str) -> bool:
     try:
         return check(read_metrics(spark, path))
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return False
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.constants import BASE_UNITS_PER_TOKEN
-from daybook.functions.json_fields import member, members
+from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.numbers import number
 
 # --- fixed values: how event types stand for currencies, and which days have a quote ---
@@ -38,16 +38,16 @@ def event_date() -> Column:
 
 def event_transactions(events: DataFrame) -> DataFrame:
     """Extracted transactions: the amount is the event's ``k``, in base units where there are any."""
-    rows = events.select(
+    rows = with_member(events, "k", "props", "k").select(
         event_date().alias("date"),
         (F.col("user_id") % 10).alias("project_id"),
         currency().alias("currency_symbol"),
-        members("props").alias("members"),
+        number(member_or("k", "0")).alias("amount"),
     )
-    amount = number(member("members", "k", "0"))
+    amount = F.col("amount")
     for symbol, units in BASE_UNITS_PER_TOKEN.items():
         amount = amount * F.when(F.col("currency_symbol") == symbol, units).otherwise(1.0)
-    return rows.select("date", "project_id", "currency_symbol", amount.alias("amount"))
+    return rows.withColumn("amount", amount)
 
 
 def event_records(events: DataFrame, base_units: bool = True) -> DataFrame:

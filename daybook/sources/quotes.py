@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook import schemas
 from daybook.constants import QUOTE_DATE_FORMAT
-from daybook.functions.json_fields import member, members
+from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.prices import response_price
 
 
@@ -31,10 +31,10 @@ def read_quote_objects(
     )
     parts = F.split("key", "/")
     day = F.replace(F.element_at(parts, -1), F.lit(".json"), F.lit(""))
-    return objects.select(
+    return with_member(objects, "price", "value", "price").select(
         F.element_at(parts, -2).alias("symbol"),
         F.to_date(F.try_to_timestamp(day, F.lit(QUOTE_DATE_FORMAT))).alias("date"),
-        member(members("value"), "price", None).try_cast("double").alias("price"),
+        member_or("price", None).try_cast("double").alias("price"),
     ).where(F.col("date").isNotNull())
 
 

@@ -27,3 +27,10 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def deliveries(tmp_path_factory):
+    from fixtures import TRANSACTIONS, write_csv
+
+    return write_csv(tmp_path_factory.mktemp("deliveries") / "sample.csv", TRANSACTIONS)

@@ -1,0 +1,60 @@
+"""Hand-made transactions and quotes, with the results they must give."""
+
+from __future__ import annotations
+
+import csv
+import datetime
+
+DAY10, DAY14, DAY15, DAY16, DAY17 = (datetime.date(2024, 4, d) for d in (10, 14, 15, 16, 17))
+
+QUOTES = [
+    ("SFL", DAY10, 0.04),
+    ("SFL", DAY15, 0.05),
+    ("MATIC", DAY14, 0.7),
+    ("MATIC", DAY16, None),
+    ("WETH", DAY10, 3000.0),
+]
+
+TRANSACTIONS = [
+    ("2024-04-15 02:15:07.167", "4974", '{"currencySymbol":"SFL"}', '{"currencyValueDecimal":"0.5"}'),
+    ("2024-04-15 23:59:59.999", "4974", '{"currencySymbol":"SFL"}', '{"currencyValueDecimal":"1.5"}'),
+    (
+        "2024-04-15 10:00:00",
+        "4974",
+        '{"currencySymbol":"MATIC"}',
+        '{"currencyValueDecimal":"2000000000000000000"}',
+    ),
+    ("2024-04-15 11:00:00", "1660", '{"currencySymbol":"USDC"}', '{"currencyValueDecimal":3.25}'),
+    ("2024-04-16 00:00:00", "4974", '{"currencySymbol":"USDC.E"}', '{"currencyValueDecimal":"4"}'),
+    ("2024-04-16 01:00:00", "4974", '{"currencySymbol":"SFL"}', "{}"),
+    ("2024-04-16 02:00:00", "1660", "{}", '{"currencyValueDecimal":"7"}'),
+    ("2024-04-16 03:00:00", "1660", '{"currencySymbol":null}', '{"currencyValueDecimal":"9"}'),
+    ("2024-04-16 04:00:00", "1660", '{"currencySymbol":"WETH"}', '{"currencyValueDecimal":"1"}'),
+    (
+        "2024-04-17 05:00:00",
+        "4974",
+        '{"currencySymbol":"MATIC"}',
+        '{"currencyValueDecimal":"1000000000000000000"}',
+    ),
+]
+
+# (date, currency, project) -> transactions, raw volume, price, its source, dollars
+VALUED = {
+    (DAY15, "MATIC", 4974): (1, 2e18, 0.7, "last_known", 1.4),
+    (DAY15, "SFL", 4974): (2, 2.0, 0.05, "exact", 0.1),
+    (DAY15, "USDC", 1660): (1, 3.25, 1.0, "peg", 3.25),
+    (DAY16, "", 1660): (1, 7.0, None, "unpriced", None),
+    (DAY16, "SFL", 4974): (1, 0.0, 0.05, "last_known", 0.0),
+    (DAY16, "USDC.E", 4974): (1, 4.0, 1.0, "peg", 4.0),
+    (DAY16, "WETH", 1660): (1, 1.0, None, "unpriced", None),
+    (DAY17, "MATIC", 4974): (1, 1e18, None, "unpriced", None),
+}
+
+
+def write_csv(path, rows):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(["ts", "project_id", "props", "nums"])
+        writer.writerows(rows)
+    return str(path)
