@@ -137,16 +137,23 @@ def rejected_records(spark, sf_dir):
             ).otherwise(F.col("nums")),
         }
     )
-    good, rejects = extract_with_rejects(spoiled)
+    readable, rejects = extract_with_rejects(spoiled)
+    kept = volumes.project_metrics(readable).select(
+        "project_id",
+        F.lit("none").alias("problem"),
+        F.col("num_transactions").alias("records"),
+        F.col("raw_volume").alias("amount"),
+    )
+    left_out = rejects.select(
+        F.col("project_id").cast("bigint"),
+        "problem",
+        F.lit(1).cast("bigint").alias("records"),
+        F.lit(None).cast("double").alias("amount"),
+    )
     return (
-        good.select("project_id", F.lit("none").alias("problem"), "amount")
-        .unionByName(
-            rejects.select(
-                F.col("project_id").cast("bigint"), "problem", F.lit(None).cast("double").alias("amount")
-            )
-        )
+        kept.unionByName(left_out)
         .groupBy("project_id", "problem")
-        .agg(F.count("*").alias("records"), F.sum("amount").alias("amount"))
+        .agg(F.sum("records").alias("records"), F.sum("amount").alias("amount"))
     )
 
 

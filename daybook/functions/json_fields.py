@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 _OPTIONS = {"allowSingleQuotes": "false"}
 _MAP = "map<string,string>"
+_IN_BRACES = r"(?s)^[ \t\r\n]*\{.*\}[ \t\r\n]*$"
 
 
 def _one_brace(document: Column) -> Column:
@@ -20,7 +21,8 @@ def _alone(document: Column) -> Column:
 
     The parser stops at the end of an object and does not look at what follows. Here the text
     must parse as the only element of an array and as the member of an outer object: what
-    follows could close one of the two early, but never both.
+    follows could close one of the two early, but never both. Failed parses are costly, hence
+    the look at both ends first.
     """
     as_element = F.from_json(
         F.concat(F.lit("["), document, F.lit("]")), f"array<{_MAP}>", _OPTIONS
@@ -28,7 +30,9 @@ def _alone(document: Column) -> Column:
     as_member = F.from_json(
         F.concat(F.lit('{"d":'), document, F.lit("}")), f"d {_MAP}", _OPTIONS
     )["d"]
-    return (F.size(as_element) == 1) & as_member.isNotNull()
+    return F.when(
+        document.rlike(_IN_BRACES), F.when(F.size(as_element) == 1, as_member.isNotNull())
+    )
 
 
 def with_member(frame: DataFrame, name: str, document: str, key: str) -> DataFrame:

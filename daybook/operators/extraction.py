@@ -58,12 +58,18 @@ def extract(transactions: DataFrame) -> DataFrame:
 
 
 def extract_with_rejects(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable records as ``extract`` gives them, and the others unchanged with the problem."""
+    """Readable records as ``extract`` gives them, and the others unchanged with the problem.
+
+    Each record is unfolded from a list of one or none. A filter on ``problem`` would be moved
+    below the parsing and repeat it for every mention of a parsed column.
+    """
     fields = read_fields(transactions)
-    good = fields.where(F.col("problem").isNull()).select(
-        "date", "project_id", "currency_symbol", "amount"
-    )
-    rejects = fields.where(F.col("problem").isNotNull()).select(
-        *[F.col(f"raw_{name}").alias(name) for name in schemas.RAW_COLUMNS], "problem"
+    columns = ("date", "project_id", "currency_symbol", "amount")
+    readable = F.when(F.col("problem").isNull(), F.array(F.struct(*columns)))
+    unreadable = F.when(
+        F.col("problem").isNotNull(),
+        F.array(
+            F.struct(*[F.col(f"raw_{name}").alias(name) for name in schemas.RAW_COLUMNS], "problem")
+        ),
     )
-    return good, rejects
+    return fields.select(F.inline(readable)), fields.select(F.inline(unreadable))

@@ -44,11 +44,14 @@ def merged_quotes(stored: DataFrame, fetched: DataFrame) -> DataFrame:
     repeated runs agree.
     """
     has_price = usable("price").isNotNull()
+    columns = ("symbol", "date", "price")
     candidates = stored.select(
-        "symbol", "date", "price", F.when(has_price, 0).otherwise(2).alias("rank")
-    ).unionByName(
-        fetched.where(has_price).select("symbol", "date", "price", F.lit(1).alias("rank"))
-    )
-    return candidates.groupBy("symbol", "date").agg(
-        F.min_by("price", F.struct("rank", "price")).alias("price")
+        *columns, F.when(has_price, 0).otherwise(2).alias("rank")
+    ).unionByName(fetched.select(*columns, F.when(has_price, 1).otherwise(3).alias("rank")))
+    best = candidates.groupBy("symbol", "date").agg(
+        F.min_by("price", F.struct("rank", "price")).alias("price"),
+        F.min("rank").alias("rank"),
     )
+    # Left over are keys with unusable fetched quotes only. Dropping those quotes earlier would
+    # parse each response once more for the filter.
+    return best.where(F.col("rank") < 3).drop("rank")

@@ -17,7 +17,8 @@ def read_quote_objects(
     """Quotes kept as one JSON object per symbol and day: ``{symbol}/{date}.json``.
 
     Symbol and date come from the object's path. An unreadable body is a quote without a
-    price; an object not named after a date is no quote. ``symbol`` lists that folder only.
+    price; an empty object, or one not named after a date, is no quote. ``symbol`` lists that
+    folder only.
     """
     if symbol is not None:
         path = f"{path.rstrip('/')}/{symbol}"
@@ -40,7 +41,7 @@ def read_quote_objects(
 
 def read_quotes(spark: SparkSession, path: str) -> DataFrame:
     """Quotes kept as Parquet, partitioned by symbol."""
-    return spark.read.schema(schemas.QUOTES).parquet(path)
+    return spark.read.schema(schemas.QUOTES).parquet(path).select("symbol", "date", "price")
 
 
 def quotes_of(quotes: DataFrame, *symbols: str) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime
 import math
 
 import pytest
-from fixtures import DAY15, DAY16, DAY17, QUOTES, TRANSACTIONS, VALUED
+from fixtures import DAY15, DAY16, DAY17, QUOTES, VALUED
 
 from daybook import schemas
 from daybook.operators.extraction import extract
@@ -116,7 +116,3 @@ def test_torn_records_do_not_pass(spark, tmp_path):
     assert extract(read_transactions(spark, str(tmp_path))).count() == 2
     with pytest.raises(PySparkException):
         extract(read_transactions(spark, str(tmp_path), multi_line=False)).collect()
-
-
-def test_fixture_is_complete():
-    assert len(TRANSACTIONS) == 10
