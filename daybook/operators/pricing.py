@@ -1,17 +1,19 @@
 """The price that holds for a currency on a date.
 
-A price is found by equality joins alone. ``price_by_day`` spreads each quote over the days
-until the next quote of its symbol, so "the newest quote before this date" becomes a row of
-that date; ``latest_quotes`` covers the open end after a symbol's newest quote. Neither depends
-on the transactions: quotes have at most one row per symbol and calendar day, and Spark
-broadcasts these tables when it sees that they are small enough.
+Quotes have at most one row per symbol and calendar day, so all rows of one symbol are few.
+
+Volumes find their price by equality joins alone. ``price_by_day`` spreads each quote over the
+days until the next quote of its symbol, so "the newest quote before this date" becomes a row
+of that date; ``latest_quotes`` covers the open end after a symbol's newest quote. Both depend
+on the quotes only and leave the volumes where they are if Spark sees that the quotes are small
+enough to broadcast; if not, it shuffles both sides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.constants import COIN_IDS, EXACT, LAST_KNOWN, PEG, PEG_PRICE, UNPRICED
@@ -38,16 +40,15 @@ def _spans(quotes: DataFrame) -> DataFrame:
     )
 
 
-def price_by_day(quotes: DataFrame, spread: Column) -> DataFrame:
+def price_by_day(quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS) -> DataFrame:
     """One row per symbol and day: the quote of that day and the newest quote before it.
 
-    Quotes of symbols for which ``spread`` holds reach to the day before the next quote;
-    others are there on their own day only. A newest earlier quote without a usable price
-    stays in place and hides older ones.
+    Quotes of symbols the provider knows reach to the day before the next quote; others are
+    there on their own day only. A newest earlier quote without a usable price stays in place
+    and hides older ones.
     """
-    last_day = F.when(
-        spread & F.col("next_quoted_on").isNotNull(), F.date_sub("next_quoted_on", 1)
-    ).otherwise(F.col("quoted_on"))
+    spread = is_quoted("currency_symbol", coin_ids) & F.col("next_quoted_on").isNotNull()
+    last_day = F.when(spread, F.date_sub("next_quoted_on", 1)).otherwise(F.col("quoted_on"))
     days = _spans(quotes).select("*", F.explode(F.sequence("quoted_on", last_day)).alias("date"))
     on_quoted_day = F.col("date") == F.col("quoted_on")
     return days.select(
@@ -60,15 +61,16 @@ def price_by_day(quotes: DataFrame, spread: Column) -> DataFrame:
     )
 
 
-def latest_quotes(quotes: DataFrame, spread: Column) -> DataFrame:
-    """Newest quote, usable or not, of each symbol for which ``spread`` holds.
+def latest_quotes(quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS) -> DataFrame:
+    """Newest quote, usable or not, of each symbol the provider knows.
 
     Taken from the same spans as ``price_by_day`` and filtered after the window only, so that
     both share one shuffle of the quotes.
     """
+    newest = F.when(is_quoted("currency_symbol", coin_ids), F.col("next_quoted_on").isNull())
     return (
         _spans(quotes)
-        .where(F.when(spread, F.col("next_quoted_on").isNull()))
+        .where(newest)
         .select(
             "currency_symbol",
             F.col("quoted_on").alias("latest_date"),
@@ -77,24 +79,23 @@ def latest_quotes(quotes: DataFrame, spread: Column) -> DataFrame:
     )
 
 
-def _with_quotes(keys: DataFrame, quotes: DataFrame, spread: Column) -> DataFrame:
-    earlier = F.when(F.col("date") > F.col("latest_date"), F.col("latest_price")).otherwise(
-        F.col("earlier_price")
-    )
-    return (
-        keys.join(price_by_day(quotes, spread), ["currency_symbol", "date"], "left")
-        .join(latest_quotes(quotes, spread), "currency_symbol", "left")
-        .withColumns({"exact_price": usable("exact_price"), "earlier_price": usable(earlier)})
-        .drop("latest_date", "latest_price")
-    )
-
-
 def last_known_prices(keys: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Adds the newest quote strictly before the date as ``price``; NULL if it is unusable."""
+    """Each key with the newest quote strictly before its date; NULL if that is unusable.
+
+    For symbols of any kind, at the grain of ``price_keys``: a symbol has one key and one quote
+    a day at most.
+    """
+    quoted = quotes.select(
+        F.col("symbol").alias("currency_symbol"), "date", F.struct("price").alias("quote")
+    )
+    dates = keys.select("currency_symbol", "date", F.lit(True).alias("is_key"))
+    by_day = Window.partitionBy("currency_symbol").orderBy(F.unix_date("date"))
+    before = by_day.rangeBetween(Window.unboundedPreceding, -1)
     return (
-        _with_quotes(keys, quotes, F.lit(True))
-        .drop("exact_price")
-        .withColumnRenamed("earlier_price", "price")
+        quoted.unionByName(dates, allowMissingColumns=True)
+        .withColumn("newest", F.last("quote", ignorenulls=True).over(before))
+        .where("is_key")
+        .select("currency_symbol", "date", usable(F.col("newest.price")).alias("price"))
     )
 
 
@@ -107,7 +108,17 @@ def with_prices(
     that, for symbols the provider knows, the newest quote before the day.
     """
     symbol = F.col("currency_symbol")
-    quoted = _with_quotes(frame, quotes, is_quoted(symbol, coin_ids))
+    # One row at most per entry of ``coin_ids``, hence safe to broadcast.
+    latest = F.broadcast(latest_quotes(quotes, coin_ids))
+    earlier = F.when(F.col("date") > F.col("latest_date"), F.col("latest_price")).otherwise(
+        F.col("earlier_price")
+    )
+    quoted = (
+        frame.join(price_by_day(quotes, coin_ids), ["currency_symbol", "date"], "left")
+        .join(latest, "currency_symbol", "left")
+        .withColumns({"exact_price": usable("exact_price"), "earlier_price": usable(earlier)})
+        .drop("latest_date", "latest_price")
+    )
     source = (
         F.when(is_pegged(symbol), PEG)
         .when(F.col("exact_price").isNotNull(), EXACT)

@@ -6,24 +6,25 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daybook import schemas
 from daybook.functions.dates import wall_clock_date
 
 
-def _by_partition(frame: DataFrame, *columns: str):
-    """Writer of ``frame`` partitioned by ``columns``, in files of a sensible size.
+def _gathered(frame: DataFrame, column: str) -> DataFrame:
+    """Rows of a partition brought together, without tying a partition to one task.
 
-    The rebalance hint brings the rows of a partition together without tying it to one task:
-    adaptive execution splits a partition that is too large and merges small ones.
+    Adaptive execution splits what is too large for one file and merges what is too small.
     """
-    return frame.hint("rebalance", columns[0]).write.partitionBy(*columns)
+    return frame.hint("rebalance", column)
 
 
 def replace_partitions(frame: DataFrame, path: str, *columns: str) -> None:
     """Replaces exactly the partitions that occur in ``frame``."""
     (
-        _by_partition(frame, *columns)
+        _gathered(frame, columns[0])
+        .write.partitionBy(*columns)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
@@ -33,7 +34,8 @@ def replace_partitions(frame: DataFrame, path: str, *columns: str) -> None:
 def land(transactions: DataFrame, path: str, batch: str) -> None:
     """Keeps raw records word for word, filed under their date and a batch label.
 
-    Landing a batch again replaces it. Records without a date are kept as well.
+    Landing the same records again under the same label replaces them. Records without a
+    date are kept as well.
     """
     dated = transactions.select(
         *schemas.RAW_COLUMNS, wall_clock_date("ts").alias("date"), F.lit(batch).alias("batch")
@@ -46,13 +48,9 @@ def store_quotes(quotes: DataFrame, path: str) -> None:
     replace_partitions(quotes.select("date", "price", "symbol"), path, "symbol")
 
 
-def _columns(schema: str) -> list[str]:
-    return [field.split()[0] for field in schema.split(", ")]
-
-
 def as_table(frame: DataFrame, schema: str) -> DataFrame:
     """Columns of a table, in its order."""
-    return frame.select(*_columns(schema))
+    return frame.select(*StructType.fromDDL(schema).names)
 
 
 def required(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -71,16 +69,19 @@ def append_rows(frame: DataFrame, path: str, schema: str, columns: Iterable[str]
     Nothing is added if a required column is null. Appending the same rows twice keeps both.
     """
     loaded = Observation()
-    rows = required(as_table(frame, schema), columns).observe(
-        loaded, F.count(F.lit(1)).alias("rows")
-    )
-    _by_partition(rows, "date").mode("append").parquet(path)
+    rows = _gathered(required(as_table(frame, schema), columns), "date")
+    # Counted in the writing tasks, of which Spark takes one result each even after retries.
+    counted = rows.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    counted.write.partitionBy("date").mode("append").parquet(path)
     return loaded.get["rows"]
 
 
 def create_empty(spark: SparkSession, path: str, schema: str, *columns: str) -> None:
     """Makes sure that a partitioned table exists at ``path``; rows already there stay."""
-    spark.createDataFrame([], schema).write.partitionBy(*columns).mode("append").parquet(path)
+    fields = [
+        F.lit(None).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(schema)
+    ]
+    spark.range(0).select(*fields).write.partitionBy(*columns).mode("append").parquet(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: str) -> str:
