@@ -32,7 +32,7 @@ from daybook.operators.sinks import (
 from daybook.operators.updates import updated
 from daybook.plans.initial_load import initial_load as load_delivery
 from daybook.plans.lake import Lake
-from daybook.plans.refresh import refresh, worklist
+from daybook.plans.refresh import apply_valuations, refresh, worklist
 from daybook.plans.validation import validate
 from daybook.session import scratch_dir
 from daybook.sources.events import (
@@ -305,6 +305,23 @@ def quotes_refresh(spark, sf_dir):
     return worklist(spark, lake).select("symbol", "date")
 
 
+def late_quotes(spark, sf_dir):
+    """Quotes fetched after a refresh: the metrics are valued again, the records left alone."""
+    lake = _lake(spark, sf_dir)
+    load_delivery(spark, _deliveries(spark, sf_dir), lake)
+    refresh(spark, lake)
+    refresh(spark, lake, dates=[], responses=event_responses(_events(spark, sf_dir)))
+    return read_metrics(spark, lake.metrics)
+
+
+def stored_update(spark, sf_dir):
+    """Stored metrics that hold raw volumes, updated by key where there is a price."""
+    lake = _lake(spark, sf_dir)
+    replace_partitions(as_table(_unvalued(spark, sf_dir), schemas.METRICS), lake.metrics, "date")
+    apply_valuations(spark, lake, _metrics(spark, sf_dir))
+    return read_metrics(spark, lake.metrics)
+
+
 def stream_refresh(spark, sf_dir):
     """Deliveries taken up two files at a time."""
     lake = _lake(spark, sf_dir)
@@ -349,6 +366,8 @@ _QUERIES = (
     initial_load,
     refresh_metrics,
     quotes_refresh,
+    late_quotes,
+    stored_update,
     stream_refresh,
 )
 
@@ -405,6 +424,13 @@ merged AS (
   FROM quotes q FULL OUTER JOIN (SELECT * FROM responses WHERE price <> 0) r USING (symbol, date)
 )"""
 
+# The same with the fetched quotes merged in, under the name the later parts refer to.
+_ALL_QUOTES = (
+    _QUOTES.replace("quotes AS", "stored AS"),
+    _RESPONSES,
+    _MERGED.replace("quotes q", "stored q").replace("merged AS", "quotes AS"),
+)
+
 _VOLUMES = """
 volumes AS (
   SELECT date, currency_symbol, project_id,
@@ -604,5 +630,12 @@ FROM metrics"""),
 SELECT DISTINCT t.currency_symbol AS symbol, t.date
 FROM tx t LEFT JOIN merged m ON m.symbol = t.currency_symbol AND m.date = t.date
 WHERE t.currency_symbol IN ('MATIC', 'SFL') AND nullif(m.price, 0) IS NULL"""),
+        "late_quotes": _sql(
+            _TX, *_ALL_QUOTES, _VOLUMES, _RESOLVED, _METRICS, "SELECT * FROM metrics"
+        ),
+        "stored_update": _sql(
+            _TX, _QUOTES, _VOLUMES, _RESOLVED, _METRICS, _UPDATED,
+            "SELECT * EXCLUDE (expected_usd_volume) FROM updated",
+        ),
         "stream_refresh": _over_metrics(_PRICED),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,27 +21,30 @@ def _gathered(frame: DataFrame, column: str) -> DataFrame:
     return frame.hint("rebalance", column)
 
 
-def replace_partitions(frame: DataFrame, path: str, *columns: str) -> None:
+def replace_partitions(frame: DataFrame, path: str, *columns: str, gather: bool = True) -> None:
     """Replaces exactly the partitions that occur in ``frame``."""
+    rows = _gathered(frame, columns[0]) if gather else frame
     (
-        _gathered(frame, columns[0])
-        .write.partitionBy(*columns)
+        rows.write.partitionBy(*columns)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 
 
-def land(transactions: DataFrame, path: str, batch: str) -> None:
+def land(transactions: DataFrame, path: str, batch: str, gather: bool = True) -> None:
     """Keeps raw records word for word, filed under their date and a batch label.
 
     Landing the same records again under the same label replaces them. Records without a
-    date are kept as well.
+    date are kept as well. ``gather=False`` saves the shuffle where each delivered file holds
+    one date or few; otherwise it would leave a file per task and date.
     """
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"a batch label has letters, digits, '_', '-' and '.' only: {batch!r}")
     dated = transactions.select(
         *schemas.RAW_COLUMNS, wall_clock_date("ts").alias("date"), F.lit(batch).alias("batch")
     )
-    replace_partitions(dated, path, "date", "batch")
+    replace_partitions(dated, path, "date", "batch", gather=gather)
 
 
 def store_quotes(quotes: DataFrame, path: str) -> None:

@@ -13,7 +13,12 @@ from daybook.sources.transactions import read_landed, read_transactions
 
 
 def initial_load(
-    spark: SparkSession, csv: str, lake: Lake, batch: str = "initial", multi_line: bool = True
+    spark: SparkSession,
+    csv: str | list[str],
+    lake: Lake,
+    batch: str = "initial",
+    multi_line: bool = True,
+    gather: bool = True,
 ) -> int:
     """Lands the CSV files, appends volumes per date and project, returns the rows added.
 
@@ -21,10 +26,9 @@ def initial_load(
     doubles the project rows. ``refresh`` rewrites whole dates instead.
     """
     lake.create(spark)
-    land(read_transactions(spark, csv, multi_line), lake.bronze, batch)
-    landed = read_landed(spark, lake.bronze)
+    land(read_transactions(spark, csv, multi_line), lake.bronze, batch, gather)
     added = append_rows(
-        project_metrics(extract(landed.where(landed.batch == batch))),
+        project_metrics(extract(read_landed(spark, lake.bronze, batch=batch))),
         lake.project_metrics,
         schemas.PROJECT_METRICS,
         schemas.PROJECT_METRICS_REQUIRED,

@@ -100,11 +100,8 @@ def refresh(
     The records are read and parsed once: both tables come from the settled group volumes.
     """
     earliest = add_quotes(spark, lake, responses, coin_ids) if responses is not None else None
-    landed = read_landed(spark, lake.bronze)
-    if dates is not None:
-        dates = list(dates)
-        landed = landed.where(F.col("date").isin(dates))
-    volumes = settled(all_volumes(extract(landed)))
+    dates = None if dates is None else list(dates)
+    volumes = settled(all_volumes(extract(read_landed(spark, lake.bronze, dates))))
 
     projects = as_table(project_metrics_of(volumes), schemas.PROJECT_METRICS)
     replace_partitions(

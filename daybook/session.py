@@ -15,14 +15,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without it; then a temporary folder stands in.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    stand_in = tempfile.mkdtemp(prefix="daybook-")
-    spark.conf.set(CHECKPOINT_DIR, stand_in)
-    return stand_in
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-"))
+    return context.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -36,7 +36,7 @@ def settled(frame: DataFrame) -> DataFrame:
     Later steps read the stored rows; a lost executor does not lose them.
     """
     spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return frame.checkpoint()

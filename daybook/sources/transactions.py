@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +46,24 @@ def stream_transactions(
     return reader.csv(path).select(*[F.col(c).cast("string") for c in schemas.RAW_COLUMNS])
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed transactions, partitioned by ``date`` and ``batch``."""
-    return spark.read.schema(schemas.BRONZE).parquet(path)
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    dates: Iterable[datetime.date] | None = None,
+    batch: str | None = None,
+) -> DataFrame:
+    """Landed transactions, all or those of some dates or one batch.
+
+    Only the folders asked for are listed, so that a refresh of one date does not go through
+    the names of all files ever landed.
+    """
+    reader = spark.read.schema(schemas.BRONZE).option("basePath", path)
+    if dates is None and batch is None:
+        return reader.parquet(path)
+    days = "*" if dates is None else "{" + ",".join(map(str, dates)) + "}"
+    try:
+        return reader.parquet(f"{path}/date={days}/batch={batch or '*'}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return reader.parquet(path).where(F.lit(False))

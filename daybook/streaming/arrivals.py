@@ -18,8 +18,8 @@ from daybook.sources.transactions import read_landed
 
 def touched_dates(spark: SparkSession, lake: Lake, batch: str) -> list[datetime.date]:
     """Dates of a landed batch; the partition values alone are read."""
-    days = read_landed(spark, lake.bronze).where(F.col("batch") == batch).select("date")
-    return [row.date for row in days.where(F.col("date").isNotNull()).distinct().collect()]
+    days = read_landed(spark, lake.bronze, batch=batch).select("date").distinct()
+    return [row.date for row in days.where(F.col("date").isNotNull()).collect()]
 
 
 def refresh_on_arrival(

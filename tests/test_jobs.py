@@ -63,6 +63,25 @@ def test_landing_keeps_records_word_for_word(spark, lake, deliveries):
     assert read_landed(spark, lake.bronze).where("date IS NULL").count() == 1
 
 
+def test_reading_some_of_the_landed_records(spark, lake, deliveries):
+    land(read_transactions(spark, deliveries), lake.bronze, "a")
+    land(spark.createDataFrame(TRANSACTIONS[:1], schemas.RAW), lake.bronze, "b-1.x", gather=False)
+
+    def count(**asked):
+        return read_landed(spark, lake.bronze, **asked).count()
+
+    assert count() == 11
+    assert count(batch="b-1.x") == 1
+    assert count(dates=[DAY15]) == 5
+    assert count(dates=[DAY15, DAY17, DAY14]) == 6
+    assert count(dates=[DAY15], batch="a") == 4
+    assert count(dates=[DAY14]) == count(dates=[]) == count(batch="c") == 0
+    row = read_landed(spark, lake.bronze, batch="b-1.x").first()
+    assert (row.date, row.batch) == (DAY15, "b-1.x")
+    with pytest.raises(ValueError, match="batch label"):
+        land(read_transactions(spark, deliveries), lake.bronze, "a*")
+
+
 def test_initial_load(spark, lake, deliveries):
     assert initial_load(spark, deliveries, lake) == 5
     assert read_project_metrics(spark, lake.project_metrics).count() == 5
@@ -110,7 +129,7 @@ def test_new_quotes_reach_later_dates(spark, lake, deliveries):
     partial = state(spark, lake)
     refresh(spark, lake)
     assert state(spark, lake) == partial
-    refresh(spark, lake, responses=responses)
+    refresh(spark, lake, dates=[], responses=responses)
     assert state(spark, lake) == partial
 
 
