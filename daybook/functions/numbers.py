@@ -33,23 +33,28 @@ def without_nan(value: Column | str) -> Column:
 def total(value: Column | str) -> Column:
     """Sum of doubles that does not depend on the order in which rows arrive.
 
-    Values are added as decimals with twelve places. If any of them does not fit (infinite,
-    NaN, or 1e26 and more) or the sum overflows, the plain double sum is used.
+    So a repeated or restarted run gives the same figures. Whole and fractional parts are added
+    as decimals and put together at the end. If a value does not fit (infinite, NaN, or 1e38
+    and more) or a sum overflows, the plain sum of doubles is used. NULL for no values.
     """
     value = F.col(value) if isinstance(value, str) else value
-    as_decimal = value.try_cast("decimal(38,12)")
-    all_fit = F.count(as_decimal) == F.count(value)
-    return F.when(all_fit, F.try_sum(as_decimal))
+    whole = F.rint(value).try_cast("decimal(38,0)")
+    part = (value - F.rint(value)).try_cast("decimal(38,20)")
+    all_fit = F.count(whole) == F.count(value)
+    exact = F.try_sum(whole).cast("double") + F.try_sum(part).cast("double")
+    return F.coalesce(F.when(all_fit, exact), F.sum(value))
 
 
-def sum_double(value: Column | str) -> Column:
-    """``total`` as a double; NULL only if there is no value at all."""
-    return F.coalesce(total(value).cast("double"), F.sum(value))
+def total_cents(value: Column | str) -> Column:
+    """Sum of doubles rounded to two places, halves away from zero, whatever their order.
 
-
-def sum_cents(value: Column | str) -> Column:
-    """``total`` rounded to two places, halves away from zero, as a double."""
-    return F.coalesce(F.round(total(value), 2).cast("double"), F.round(F.sum(value), 2))
+    Values are added as decimals with twelve places, or as doubles if they do not fit.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    as_decimal = value.try_cast("decimal(38,12)")
+    all_fit = F.count(as_decimal) == F.count(value)
+    exact = F.round(F.try_sum(as_decimal), 2).cast("double")
+    return F.coalesce(F.when(all_fit, exact), F.round(F.sum(value), 2))
 
 
 def with_cents(value: Column | str) -> Column:

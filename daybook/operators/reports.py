@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import http_date
-from daybook.functions.numbers import plain_cents, sum_cents, sum_double, with_cents
+from daybook.functions.numbers import plain_cents, total, total_cents, with_cents
 
 
 def _by_day(metrics: DataFrame):
@@ -25,7 +25,7 @@ def verify_volumes(metrics: DataFrame) -> DataFrame:
     """Groups and unrounded dollar value per date and currency."""
     report = _by_day(metrics).agg(
         F.count("*").alias("transactions"),
-        sum_double("usd_volume").alias("total_usd_volume"),
+        total("usd_volume").alias("total_usd_volume"),
     )
     return report.orderBy("date", "currency_symbol")
 
@@ -34,7 +34,7 @@ def daily_volumes(metrics: DataFrame) -> DataFrame:
     """Groups and dollar value per date and currency."""
     report = _by_day(metrics).agg(
         F.count("*").alias("transactions"),
-        sum_cents("usd_volume").alias("total_usd_volume"),
+        total_cents("usd_volume").alias("total_usd_volume"),
     )
     return report.orderBy("date", "currency_symbol")
 
@@ -43,7 +43,7 @@ def project_volumes(metrics: DataFrame) -> DataFrame:
     """Groups and dollar value per project and currency."""
     report = _by_project(metrics).agg(
         F.count("*").alias("total_transactions"),
-        sum_cents("usd_volume").alias("total_project_volume"),
+        total_cents("usd_volume").alias("total_project_volume"),
     )
     return report.orderBy("project_id", "currency_symbol")
 
@@ -52,7 +52,7 @@ def daily_transactions(metrics: DataFrame) -> DataFrame:
     """Transactions and dollar value per date and currency."""
     report = _by_day(metrics).agg(
         F.sum("num_transactions").alias("num_transactions"),
-        sum_cents("usd_volume").alias("total_usd_volume"),
+        total_cents("usd_volume").alias("total_usd_volume"),
     )
     return report.orderBy("date", "currency_symbol")
 
@@ -61,7 +61,7 @@ def project_totals(metrics: DataFrame) -> DataFrame:
     """Transactions and dollar value per project, over all currencies."""
     report = metrics.groupBy("project_id").agg(
         F.sum("num_transactions").alias("num_transactions"),
-        sum_cents("usd_volume").alias("total_usd_volume"),
+        total_cents("usd_volume").alias("total_usd_volume"),
     )
     return report.orderBy("project_id")
 

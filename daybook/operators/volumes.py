@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.numbers import without_nan
+from daybook.functions.numbers import total, without_nan
 
 PROJECT_KEY = ("date", "project_id")
 CURRENCY_KEY = ("date", "currency_symbol", "project_id")
@@ -19,7 +19,7 @@ def _totals() -> tuple[Column, Column]:
     amount = without_nan("amount")
     return (
         F.count(amount).alias("num_transactions"),
-        F.coalesce(F.sum(amount), F.lit(0.0)).alias("raw_volume"),
+        F.coalesce(total(amount), F.lit(0.0)).alias("raw_volume"),
     )
 
 
@@ -67,7 +67,7 @@ def project_metrics_of(volumes: DataFrame) -> DataFrame:
         .groupBy(*PROJECT_KEY)
         .agg(
             F.sum("num_transactions").alias("num_transactions"),
-            F.sum("raw_volume").alias("raw_volume"),
+            total("raw_volume").alias("raw_volume"),
         )
     )
 

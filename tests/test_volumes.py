@@ -6,6 +6,8 @@ import datetime
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from fixtures import DAY15, DAY16, DAY17, QUOTES, VALUED
 
 from daybook import schemas
@@ -80,6 +82,37 @@ def test_nan_amounts_are_skipped(spark):
     assert by_project(currency_volumes(frame)) == expected
 
 
+amounts = st.lists(
+    st.one_of(
+        st.floats(-1e6, 1e6),
+        st.integers(0, 10**7).map(lambda n: n * 1e18),
+        st.floats(0, 1e-9),
+    ),
+    min_size=1,
+    max_size=60,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(amounts, st.randoms())
+def test_sums_are_exact_in_any_order(spark, values, chance):
+    rows = [(DAY15, 1, "SFL", value) for value in values]
+    sums = set()
+    for partitions in (1, 5):
+        chance.shuffle(rows)
+        frame = spark.createDataFrame(rows, schemas.TRANSACTIONS).repartition(partitions)
+        sums.add(currency_volumes(frame).first().raw_volume)
+    (raw_volume,) = sums
+    assert raw_volume == pytest.approx(math.fsum(values), rel=1e-15, abs=1e-17)
+
+
+@pytest.mark.parametrize("odd", [math.inf, -math.inf, 1e300])
+def test_sums_of_very_large_amounts(spark, odd):
+    rows = [(DAY15, 1, "SFL", odd), (DAY15, 1, "SFL", 1.5)]
+    frame = spark.createDataFrame(rows, schemas.TRANSACTIONS)
+    assert by_project(currency_volumes(frame)) == {(DAY15, 1): (2, odd)}
+
+
 def test_absent_keys_are_left_out(spark):
     frame = spark.createDataFrame(
         [(None, 1, "SFL", 1.0), (DAY15, None, "SFL", 1.0), (DAY15, 1, None, 1.0)],
