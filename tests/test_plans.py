@@ -1,0 +1,106 @@
+"""What the physical plans must not contain, and results under heavy skew."""
+
+from __future__ import annotations
+
+import datetime
+import math
+import re
+
+import pytest
+from fixtures import DAY15, DAY16
+
+import __spark_entry__ as contract
+from daybook import schemas
+from daybook.operators.pricing import valued, with_prices
+from daybook.operators.volumes import all_volumes, currency_volumes, project_metrics_of
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_no_python_and_no_cross_join(spark, name):
+    plan = plan_of(contract.queries()[name](spark, SMALL))
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in plan
+
+
+def test_scans_read_what_is_needed(spark):
+    plan = plan_of(contract.queries()["daily_volumes"](spark, SMALL))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    columns = {tuple(re.sub(r"#\d+L?", "", scan).split(",")) for scan in scans}
+    assert columns == {("ts", "user_id", "event_type", "props"), ("ts", "event_type", "value")}
+
+
+def test_amounts_are_summed_before_the_shuffle(spark):
+    plan = plan_of(contract.queries()["daily_currency_volumes"](spark, SMALL))
+    assert plan.count("Exchange") == 1
+    below = plan[plan.index("Exchange") :]
+    assert "partial_try_sum" in below
+    assert below.index("partial_try_sum") < below.index("FileScan")
+
+
+def test_only_the_bounded_side_is_broadcast_without_a_check(spark):
+    """With size-based broadcasts off, one join still broadcasts: the provider's symbols."""
+    quotes = spark.createDataFrame([("SFL", DAY15, 0.05)], schemas.QUOTES)
+    volumes = all_volumes(spark.createDataFrame([(DAY15, 1, "SFL", 1.0)], schemas.TRANSACTIONS))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(with_prices(volumes, quotes))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1
+    assert plan.count("SortMergeJoin") == 1
+
+
+def test_the_quotes_are_shuffled_once(spark, tmp_path):
+    path = str(tmp_path / "quotes")
+    spark.createDataFrame([("SFL", DAY15, 0.05)], schemas.QUOTES).write.parquet(path)
+    volumes = spark.createDataFrame(
+        [(DAY16, "SFL", 1, 1, 2.0)],
+        "date date, currency_symbol string, project_id bigint, num_transactions bigint, raw_volume double",
+    )
+    frame = valued(volumes, spark.read.parquet(path))
+    assert frame.first().price_source == "last_known"
+    frame.collect()
+    assert "ReusedExchange" in plan_of(frame)
+
+
+@pytest.mark.parametrize("broadcast_limit", ["10485760", "-1"])
+def test_a_third_of_all_rows_in_one_group(spark, broadcast_limit):
+    hot = (DAY15, 1, "MATIC")
+    rows = [(*hot, 1e18 * (n % 7)) for n in range(4000)]
+    rows += [
+        (DAY15 + datetime.timedelta(days=n % 5), n % 97, ("SFL", "USDC", None, "WETH")[n % 4], n / 8)
+        for n in range(8000)
+    ]
+    expected = {}
+    for day, project, symbol, amount in rows:
+        expected.setdefault((day, symbol, project), []).append(amount)
+    quotes = spark.createDataFrame([("MATIC", DAY15, 0.5), ("SFL", DAY15, 0.25)], schemas.QUOTES)
+    frame = spark.createDataFrame(rows, schemas.TRANSACTIONS).repartition(16)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": broadcast_limit,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = valued(currency_volumes(frame), quotes).collect()
+        projects = project_metrics_of(all_volumes(frame)).collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    seen = {(r.date, r.currency_symbol, r.project_id): r for r in result}
+    assert set(seen) == {key for key in expected if key[1] is not None}
+    assert len(result) == len(seen)
+    for key, row in seen.items():
+        assert row.num_transactions == len(expected[key])
+        assert row.raw_volume == math.fsum(expected[key])
+    assert seen[DAY15, "MATIC", 1].usd_volume == seen[DAY15, "MATIC", 1].raw_volume / 1e18 * 0.5
+    assert sum(row.num_transactions for row in projects) == len(rows)
