@@ -33,15 +33,21 @@ def without_nan(value: Column | str) -> Column:
 def total(value: Column | str) -> Column:
     """Sum of doubles that does not depend on the order in which rows arrive.
 
-    So a repeated or restarted run gives the same figures. Whole and fractional parts are added
-    as decimals and put together at the end. If a value does not fit (infinite, NaN, or 1e38
-    and more) or a sum overflows, the plain sum of doubles is used. NULL for no values.
+    So a repeated or restarted run gives the same figures. Each value is taken apart into whole
+    multiples of falling powers of two, which add up as integers without rounding; the five sums
+    are put together at the end. If a value does not fit (infinite, NaN, or 2**123 and more) or a
+    sum overflows, the plain sum of doubles is used. NULL for no values.
     """
     value = F.col(value) if isinstance(value, str) else value
-    whole = F.rint(value).try_cast("decimal(38,0)")
-    part = (value - F.rint(value)).try_cast("decimal(38,20)")
-    all_fit = F.count(whole) == F.count(value)
-    exact = F.try_sum(whole).cast("double") + F.try_sum(part).cast("double")
+    rest, multiples = value, []
+    for power in (60, 30, 0, -30, -60):
+        multiple = F.rint(rest / 2.0**power)
+        rest = rest - multiple * 2.0**power
+        multiples.append((multiple.try_cast("bigint"), 2.0**power))
+    all_fit = F.count(multiples[0][0]) == F.count(value)
+    exact = F.lit(0.0)
+    for multiple, unit in reversed(multiples):
+        exact = exact + F.try_sum(multiple).cast("double") * unit
     return F.coalesce(F.when(all_fit, exact), F.sum(value))
 
 
