@@ -33,20 +33,22 @@ def without_nan(value: Column | str) -> Column:
 def total(value: Column | str) -> Column:
     """Sum of doubles that does not depend on the order in which rows arrive.
 
-    So a repeated or restarted run gives the same figures. Each value is taken apart into whole
-    multiples of falling powers of two, which add up as integers without rounding; the five sums
-    are put together at the end. If a value does not fit (infinite, NaN, or 2**123 and more) or a
-    sum overflows, the plain sum of doubles is used. NULL for no values.
+    So a repeated or restarted run gives the same figures. Each value is rounded to falling
+    powers of two; the steps from one rounding to the next are whole multiples of the finer
+    power, exact, and small enough to be added as integers. The sums are put together at the
+    end, starting with what is left below the last power. If a value does not fit (infinite,
+    NaN, or 2**123 and more) or a sum overflows, the plain sum of doubles is used. NULL for no
+    values.
     """
     value = F.col(value) if isinstance(value, str) else value
-    rest, multiples = value, []
-    for power in (60, 30, 0, -30, -60):
-        multiple = F.rint(rest / 2.0**power)
-        rest = rest - multiple * 2.0**power
-        multiples.append((multiple.try_cast("bigint"), 2.0**power))
-    all_fit = F.count(multiples[0][0]) == F.count(value)
-    exact = F.lit(0.0)
-    for multiple, unit in reversed(multiples):
+    units = [2.0**power for power in (60, 30, 0, -30, -60, -90)]
+    rounded = [F.rint(value / unit) for unit in units]
+    steps = [rounded[0]]
+    steps += [fine - coarse * 2.0**30 for coarse, fine in zip(rounded, rounded[1:])]
+    multiples = [step.try_cast("bigint") for step in steps]
+    all_fit = F.count(multiples[0]) == F.count(value)
+    exact = F.sum(value - rounded[-1] * units[-1])
+    for multiple, unit in zip(reversed(multiples), reversed(units)):
         exact = exact + F.try_sum(multiple).cast("double") * unit
     return F.coalesce(F.when(all_fit, exact), F.sum(value))
 

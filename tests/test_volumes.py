@@ -87,6 +87,8 @@ amounts = st.lists(
         st.floats(-1e6, 1e6),
         st.integers(0, 10**7).map(lambda n: n * 1e18),
         st.floats(0, 1e-9),
+        st.integers(0, 50).map(lambda n: n * 1e-18),
+        st.floats(0, 1e-30),
     ),
     min_size=1,
     max_size=60,
@@ -103,7 +105,15 @@ def test_sums_are_exact_in_any_order(spark, values, chance):
         frame = spark.createDataFrame(rows, schemas.TRANSACTIONS).repartition(partitions)
         sums.add(currency_volumes(frame).first().raw_volume)
     (raw_volume,) = sums
-    assert raw_volume == pytest.approx(math.fsum(values), rel=1e-15, abs=1e-17)
+    # Relative to the size of the terms, as positive and negative ones may cancel out.
+    assert abs(raw_volume - math.fsum(values)) <= 1e-15 * math.fsum(map(abs, values))
+
+
+@pytest.mark.parametrize("dust", [1e-18, 3e-18, 1e-25, 7e-40, 5e-324])
+def test_dust_is_kept(spark, dust):
+    rows = [(DAY15, 1, "SFL", dust)]
+    frame = spark.createDataFrame(rows, schemas.TRANSACTIONS)
+    assert by_project(currency_volumes(frame)) == {(DAY15, 1): (1, dust)}
 
 
 @pytest.mark.parametrize("odd", [math.inf, -math.inf, 1e300])
