@@ -48,6 +48,14 @@ from daybook.sources.quotes import response_quotes
 from daybook.sources.transactions import stream_transactions
 from daybook.streaming.arrivals import refresh_on_arrival
 
+# The corpus operators are an optional part: without their folder the other queries remain.
+try:
+    import daybook.llm.queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("daybook.llm", "corpus_pipeline"):
+        raise
+    corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -378,7 +386,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    corpus = corpus_queries.QUERIES if corpus_queries else {}
+    return {query.__name__: query for query in _QUERIES} | corpus
 
 
 # --- SQL counterparts -----------------------------------------------------------------------
@@ -513,7 +522,8 @@ FROM tx GROUP BY date, project_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    corpus = corpus_queries.ORACLE_SQL if corpus_queries else {}
+    return corpus | {
         "tx_extract": """
 SELECT event_id, CAST(ts AS DATE) AS date,
        CASE event_type WHEN 'purchase' THEN 'MATIC' WHEN 'click' THEN 'SFL'
