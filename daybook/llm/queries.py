@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.line_dedup import line_dedup
+from daybook.llm.minhash_dedup import near_duplicates
+from daybook.llm.quality_rules import COUNTS, quality_rules
 from daybook.llm.substring_dedup import substring_dedup
 
 
@@ -37,11 +39,22 @@ def op2_substring_dedup(spark, sf_dir):
     )
 
 
+def op5_quality_rules(spark, sf_dir):
+    judged = quality_rules(_texts(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def op7_minhash_dedup(spark, sf_dir):
+    return near_duplicates(_texts(spark, sf_dir)).drop("key")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_line_dedup,
         op2_substring_dedup,
+        op5_quality_rules,
+        op7_minhash_dedup,
     )
 }
 
@@ -99,4 +112,36 @@ kept AS (
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k USING (doc_id)""",
+    "op7_minhash_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[start:start + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS start
+        FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY x, y
+),
+links AS (
+  SELECT x, y FROM shared o JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * o.n >= 75 * (a.n + b.n - o.n)
+),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sizes
+  UNION
+  SELECT r.x, l.y FROM reach r
+  JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON l.x = r.y
+),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.y, w.doc_id) AS component_id,
+       coalesce(l.y, w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.x = w.doc_id""",
 }
