@@ -6,14 +6,18 @@ digests.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.byte_bpe import decode, encode
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_duplicates
 from daybook.llm.quality_rules import COUNTS, quality_rules
 from daybook.llm.substring_dedup import substring_dedup
 
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,6 +48,17 @@ def op5_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")
 
 
+def op6_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = encode(_texts(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return decode(encoded, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_minhash_dedup(spark, sf_dir):
     return near_duplicates(_texts(spark, sf_dir)).drop("key")
 
@@ -54,6 +69,7 @@ QUERIES = {
         op1_line_dedup,
         op2_substring_dedup,
         op5_quality_rules,
+        op6_byte_bpe,
         op7_minhash_dedup,
     )
 }
