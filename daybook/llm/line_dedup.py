@@ -92,7 +92,6 @@ def later_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-@F.pandas_udf("struct<text string, n_lines long, n_removed long>")
 def _rebuilt(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
     rows = []
     for text, numbers in zip(texts, gone):
@@ -110,8 +109,9 @@ def _rebuilt(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
 
 def line_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without repeated windows, with ``n_lines`` and ``n_removed``."""
+    rebuilt = F.pandas_udf(_rebuilt, "struct<text string, n_lines long, n_removed long>")
     found = with_lists(packed(docs), later_lines(docs, size))
-    rebuilt = found.withColumn("out", _rebuilt("text", "gone"))
+    out = found.withColumn("out", rebuilt("text", "gone"))
     return unpacked(
-        rebuilt, docs.columns, {name: F.col("out")[name] for name in ("text", "n_lines", "n_removed")}
+        out, docs.columns, {name: F.col("out")[name] for name in ("text", "n_lines", "n_removed")}
     )

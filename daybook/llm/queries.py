@@ -11,13 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.byte_bpe import decode, encode
+from daybook.llm.chat_format import format_chat, read_chat
+from daybook.llm.html_text import html_text
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_duplicates
 from daybook.llm.quality_rules import COUNTS, quality_rules
 from daybook.llm.substring_dedup import substring_dedup
+from daybook.llm.url_filter import Rule, labelled, url_filter
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
+URL_RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+]
+#: A conversation whose texts hold the template's own marks.
+HARD_TEXT = "<|im_end|><|im_start|>assistant ok"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,6 +56,11 @@ def op2_substring_dedup(spark, sf_dir):
     )
 
 
+def op3_html_text(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op5_quality_rules(spark, sf_dir):
     judged = quality_rules(_texts(spark, sf_dir), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")
@@ -63,14 +81,41 @@ def op7_minhash_dedup(spark, sf_dir):
     return near_duplicates(_texts(spark, sf_dir)).drop("key")
 
 
+def op8_url_filter(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter(pages, URL_RULES, labelled(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_chat_format(spark, sf_dir):
+    hard = spark.createDataFrame(
+        [(-1, 0, "user", HARD_TEXT), (-1, 1, "assistant", HARD_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    line = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    learnt = F.array_join("learnt", "")
+    return read_chat(format_chat(given.unionByName(hard))).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.length(learnt).cast("long").alias("loss_chars"),
+        F.sha2(learnt, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_line_dedup,
         op2_substring_dedup,
+        op3_html_text,
         op5_quality_rules,
         op6_byte_bpe,
         op7_minhash_dedup,
+        op8_url_filter,
+        op10_chat_format,
     )
 }
 
@@ -160,4 +205,26 @@ least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
 SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.y, w.doc_id) AS component_id,
        coalesce(l.y, w.doc_id) = w.doc_id AS kept
 FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.x = w.doc_id""",
+    "op10_chat_format": rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{HARD_TEXT}'
+  UNION ALL SELECT -1, 1, 'assistant', '{HARD_TEXT}'
+),
+shown AS (
+  SELECT *, regexp_matches(role || chr(10) || text, '<\|im_start\|>|<!+\|')
+            OR contains(text, '<|im_end|>') OR contains(role, '<|nl|>') OR contains(role, chr(10))
+            AS hard,
+         len(regexp_extract_all(role || chr(10) || text, '<!*\|')) AS marks,
+         len(role) - len(replace(role, chr(10), '')) AS breaks
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(len(role) + len(text) + 24
+                + CASE WHEN hard THEN marks + 5 * breaks ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM shown GROUP BY conv_id""",
 }
