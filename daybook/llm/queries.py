@@ -17,6 +17,7 @@ from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_duplicates
 from daybook.llm.quality_rules import COUNTS, quality_rules
 from daybook.llm.substring_dedup import substring_dedup
+from daybook.llm.suffix_dedup import suffix_dedup
 from daybook.llm.url_filter import Rule, labelled, url_filter
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -61,6 +62,16 @@ def op3_html_text(spark, sf_dir):
     return html_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(_texts(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_quality_rules(spark, sf_dir):
     judged = quality_rules(_texts(spark, sf_dir), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")
@@ -111,6 +122,7 @@ QUERIES = {
         op1_line_dedup,
         op2_substring_dedup,
         op3_html_text,
+        op4_suffix_dedup,
         op5_quality_rules,
         op6_byte_bpe,
         op7_minhash_dedup,

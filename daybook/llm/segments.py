@@ -10,16 +10,39 @@ segments, windows are compared with those of segments that share the anchor.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import KEY, stored
-from daybook.llm.text_arrays import RUN_BASES, WORD_BASE, RunHashes, sliding_min, window_starts
+from daybook.llm.rows import KEY, KEY_TYPE, keyed, stored, with_lists
+from daybook.llm.text_arrays import (
+    BYTE_SYMBOLS,
+    RUN_BASES,
+    WORD_BASE,
+    RunHashes,
+    Words,
+    blocks,
+    sliding_min,
+    utf8,
+    window_starts,
+)
 
-SEGMENT_TYPE = "first int, n int, anchor long, left long, right long"
+#: Turns the texts of a block into symbols and tells where each text's symbols start.
+Symbols = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+
+
+def word_symbols(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    words = Words(*utf8(block.column("text")))
+    return words.hashes(), words.first
+
+
+def byte_symbols(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = utf8(block.column("text"))
+    return BYTE_SYMBOLS[data], offsets
 
 
 class Segments(NamedTuple):
@@ -50,17 +73,40 @@ def segments(symbols: np.ndarray, first: np.ndarray, window: int, anchor: int) -
     return Segments(text, begins - first[text], n, grams[chosen[change]].view(np.int64), *hashes)
 
 
+def _segments(batches, symbols_of: Symbols, window: int, anchor: int):
+    for batch in batches:
+        for block in blocks(batch, "text"):
+            found = segments(*symbols_of(block), window, anchor)
+            row = pa.array(found.text)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("doc_id").take(row),
+                    block.column("key").take(row),
+                    pa.array(found.first.astype(np.int32)),
+                    pa.array(found.n.astype(np.int32)),
+                    pa.array(found.anchor),
+                    pa.array(found.left),
+                    pa.array(found.right),
+                ],
+                [*KEY, "first", "n", "anchor", "left", "right"],
+            )
+
+
 class Repeats(NamedTuple):
     whole: DataFrame  # doc_id, key, first, n: segments that occur again
     open: DataFrame  # one of each segment that shares an anchor with another, and its weight
 
 
-def repeats(found: DataFrame) -> Repeats:
-    """Splits segments into those repeated whole and those whose windows must be compared.
+def repeats(docs: DataFrame, symbols_of: Symbols, window: int, anchor: int) -> Repeats:
+    """Segments that occur again, and those whose windows must be compared.
 
     ``weight`` is 2 for a segment that occurs more than once, else 1; ``kinds`` is the number of
     different segments with the anchor.
     """
+    found = keyed(docs).mapInArrow(
+        lambda b: _segments(b, symbols_of, window, anchor),
+        f"{KEY_TYPE}, first int, n int, anchor long, left long, right long",
+    )
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     candidates = stored(found.join(anchors.select("anchor"), "anchor"))
     kind = ["anchor", "left", "right"]
@@ -76,6 +122,58 @@ def repeats(found: DataFrame) -> Repeats:
     return Repeats(whole.select(*KEY, "first", "n"), opened)
 
 
+def asked(docs: DataFrame, opened: DataFrame) -> DataFrame:
+    """The texts of open segments, each with the list ``wanted`` of its segments."""
+    part = F.struct("first", "n", "weight", "anchor")
+    wanted = opened.groupBy(*KEY).agg(F.collect_list(part).alias("wanted"))
+    return with_lists(keyed(docs), wanted).where("wanted is not null")
+
+
+def _windows(batches, symbols_of: Symbols, window: int):
+    """A row for each window of the listed segments: hashes of its first half and of all of it."""
+    half = -(-window // 2)
+    for batch in batches:
+        for block in blocks(batch, "text"):
+            symbols, begins = symbols_of(block)
+            lists = block.column("wanted")
+            parts = lists.flatten()
+            first, n, weight = (parts.field(k).to_numpy() for k in range(3))
+            row = np.repeat(np.arange(block.num_rows), lists.value_lengths().to_numpy())
+            each = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + first[each]
+            at = begins[row[each]] + place
+            hashes = RunHashes(symbols, RUN_BASES[0])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("doc_id").take(pa.array(row[each])),
+                    block.column("key").take(pa.array(row[each])),
+                    pa.array(place.astype(np.int32)),
+                    pa.array(weight[each].astype(np.int32)),
+                    pa.array(hashes.of(at, at + half).view(np.int64)),
+                    pa.array(hashes.of(at, at + window).view(np.int64)),
+                ],
+                [*KEY, "first", "weight", "half", "full"],
+            )
+
+
+def compared(docs: DataFrame, opened: DataFrame, symbols_of: Symbols, window: int) -> DataFrame:
+    """Windows of the open segments that occur again, by their first half, then as a whole."""
+    windows = stored(
+        asked(docs, opened).mapInArrow(
+            lambda b: _windows(b, symbols_of, window),
+            f"{KEY_TYPE}, first int, weight int, half long, full long",
+        )
+    )
+    halves = windows.groupBy("half").agg(F.sum("weight").alias("times")).where("times > 1")
+    longer = windows.join(halves.select("half"), "half", "left_semi")
+    again = longer.groupBy("half", "full").agg(F.sum("weight").alias("times")).where("times > 1")
+    return (
+        longer.where("weight = 1")
+        .join(again.select("half", "full"), ["half", "full"], "left_semi")
+        .select(*KEY, "first", F.lit(1).alias("n"))
+    )
+
+
 def covered(n: int, firsts: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
     """Which of ``n`` symbols lie in the windows that start at ``first`` .. ``first + count - 1``."""
     edge = np.zeros(n + 1, np.int64)

@@ -18,86 +18,20 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import KEY, KEY_TYPE, keyed, packed, stored, unpacked, with_lists
-from daybook.llm.segments import SEGMENT_TYPE, covered, repeats, segments
-from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, utf8
+from daybook.llm.rows import KEY, packed, unpacked, with_lists
+from daybook.llm.segments import compared, covered, repeats, word_symbols
+from daybook.llm.text_arrays import Words
 
 WINDOW = 35
 
 
-def _segments(batches, window):
-    for batch in batches:
-        for block in blocks(batch, "text"):
-            words = Words(*utf8(block.column("text")))
-            found = segments(words.hashes(), words.first, window, -(-window // 4))
-            row = pa.array(found.text)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("doc_id").take(row),
-                    block.column("key").take(row),
-                    pa.array(found.first.astype(np.int32)),
-                    pa.array(found.n.astype(np.int32)),
-                    pa.array(found.anchor),
-                    pa.array(found.left),
-                    pa.array(found.right),
-                ],
-                [*KEY, "first", "n", "anchor", "left", "right"],
-            )
-
-
-def _windows(batches, window):
-    """A row for each window of the listed segments: hashes of its first half and of all of it."""
-    half = -(-window // 2)
-    for batch in batches:
-        for block in blocks(batch, "text"):
-            words = Words(*utf8(block.column("text")))
-            lists = block.column("wanted")
-            lengths = lists.value_lengths().to_numpy()
-            parts = lists.flatten()
-            first, n, weight = (parts.field(k).to_numpy() for k in range(3))
-            row = np.repeat(np.arange(block.num_rows), lengths)
-            each = np.repeat(np.arange(len(n)), n)
-            place = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + first[each]
-            at = words.first[row[each]] + place
-            hashes = RunHashes(words.hashes(), RUN_BASES[0])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("doc_id").take(pa.array(row[each])),
-                    block.column("key").take(pa.array(row[each])),
-                    pa.array(place.astype(np.int32)),
-                    pa.array(weight[each].astype(np.int32)),
-                    pa.array(hashes.of(at, at + half).view(np.int64)),
-                    pa.array(hashes.of(at, at + window).view(np.int64)),
-                ],
-                [*KEY, "first", "weight", "half", "full"],
-            )
-
-
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id``, ``key``, ``first``, ``n``: runs of window starts whose windows occur again."""
-    texts = keyed(docs)
-    found = texts.mapInArrow(lambda b: _segments(b, window), f"{KEY_TYPE}, {SEGMENT_TYPE}")
-    whole, opened = repeats(found)
-    wanted = opened.groupBy(*KEY).agg(F.collect_list(F.struct("first", "n", "weight")).alias("wanted"))
-    asked = with_lists(texts, wanted).where("wanted is not null")
-    windows = stored(
-        asked.mapInArrow(
-            lambda b: _windows(b, window), f"{KEY_TYPE}, first int, weight int, half long, full long"
-        )
-    )
-    halves = windows.groupBy("half").agg(F.sum("weight").alias("times")).where("times > 1")
-    longer = windows.join(halves.select("half"), "half", "left_semi")
-    again = longer.groupBy("half", "full").agg(F.sum("weight").alias("times")).where("times > 1")
-    single = (
-        longer.where("weight = 1")
-        .join(again.select("half", "full"), ["half", "full"], "left_semi")
-        .select(*KEY, "first", F.lit(1).alias("n"))
-    )
-    return whole.unionByName(single)
+    found = repeats(docs, word_symbols, window, -(-window // 4))
+    return found.whole.unionByName(compared(docs, found.open, word_symbols, window))
 
 
 def _kept(texts, runs, window):
@@ -121,6 +55,7 @@ def _kept(texts, runs, window):
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without repeated windows, with ``n_words`` and ``n_removed``."""
+
     @F.pandas_udf("struct<text string, n_words long, n_removed long>")
     def rebuilt(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(_kept(texts, runs, window), columns=["text", "n_words", "n_removed"])
