@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.byte_bpe import decode, encode
 from daybook.llm.chat_format import format_chat, read_chat
+from daybook.llm.decontamination import leaks
 from daybook.llm.html_text import html_text
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_duplicates
@@ -98,6 +99,10 @@ def op8_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_decontamination(spark, sf_dir):
+    return leaks(_texts(spark, sf_dir), _table(spark, sf_dir, "benchmark")).drop("key")
+
+
 def op10_chat_format(spark, sf_dir):
     hard = spark.createDataFrame(
         [(-1, 0, "user", HARD_TEXT), (-1, 1, "assistant", HARD_TEXT)],
@@ -127,6 +132,7 @@ QUERIES = {
         op6_byte_bpe,
         op7_minhash_dedup,
         op8_url_filter,
+        op9_decontamination,
         op10_chat_format,
     )
 }

@@ -103,9 +103,9 @@ class RunHashes:
 class Words:
     """The words of a block: byte starts and ends, and the first word of each text."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
         self.data, self.offsets = data, offsets
-        inside = ~_SPACE[data]
+        inside = ~between[data]
         before = np.empty(len(data) + 1, bool)
         before[0] = False
         before[1:] = inside
