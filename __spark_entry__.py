@@ -50,6 +50,7 @@ from daybook.streaming.arrivals import refresh_on_arrival
 
 # The corpus operators are an optional part: without their folder the other queries remain.
 try:
+    import corpus_pipeline
     import daybook.llm.queries as corpus_queries
 except ModuleNotFoundError as missing:
     if missing.name not in ("daybook.llm", "corpus_pipeline"):
@@ -386,7 +387,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    corpus = corpus_queries.QUERIES if corpus_queries else {}
+    corpus = corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run} if corpus_queries else {}
     return {query.__name__: query for query in _QUERIES} | corpus
 
 
@@ -522,7 +523,9 @@ FROM tx GROUP BY date, project_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    corpus = corpus_queries.ORACLE_SQL if corpus_queries else {}
+    corpus = dict(corpus_queries.ORACLE_SQL) if corpus_queries else {}
+    if corpus_queries and corpus_pipeline.ORACLE_SQL:
+        corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
     return corpus | {
         "tx_extract": """
 SELECT event_id, CAST(ts AS DATE) AS date,
