@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from daybook.llm.rows import packed, unpacked
 from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, mixed, utf8, window_starts
 
-TRAINING_ROWS = 4000
+TRAINING_ROWS = 3000
 BUCKET_BITS = 14
 THRESHOLD = 0.5
 MIN_WORDS = 50
@@ -146,17 +146,24 @@ def _balance(labels: np.ndarray) -> np.ndarray:
     return np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(labels)
 
 
-def fitted(block: Block, labels: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+def _table(texts: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and its share of the row's n-grams, block by block."""
+    parts, done = [], 0
+    for rows in blocks(texts, "text"):
+        for number, edges in Block(rows).features():
+            n = np.diff(edges)
+            row = np.repeat(np.arange(len(n)), n)
+            pair, times = np.unique(row * FEATURES + number, return_counts=True)
+            row = pair // FEATURES
+            share = (times / n[row]).astype(np.float32)
+            parts.append(((row + done).astype(np.int32), (pair % FEATURES).astype(np.int32), share))
+        done += rows.num_rows
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def fitted(texts: pa.RecordBatch, labels: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, float, float, float]:
     """Weights and bias from the ``seen`` rows, slope and shift of the probability from the others."""
-    rows, numbers, values = [], [], []
-    for number, edges in block.features():
-        n = np.diff(edges)
-        row = np.repeat(np.arange(len(n)), n)
-        pair, times = np.unique(row * FEATURES + number, return_counts=True)
-        rows.append(pair // FEATURES)
-        numbers.append(pair % FEATURES)
-        values.append(times / n[pair // FEATURES])
-    rows, numbers, values = (np.concatenate(x) for x in (rows, numbers, values))
+    rows, numbers, values = _table(texts)
     used = seen[rows]
     rows_seen, numbers_seen, values_seen = rows[used], numbers[used], values[used]
     share = _balance(labels[seen])
@@ -186,10 +193,10 @@ def _fit(batches):
     rows = rows.take(pa.compute.sort_indices(rows, [("doc_id", "ascending"), ("quality", "ascending")]))
     labels = rows.column("quality").to_numpy().astype(float)
     if len(set(labels)) == 2:
-        block = Block(rows.combine_chunks().to_batches()[0])
+        texts = rows.select(["text"]).combine_chunks().to_batches()[0]
         seen = np.arange(len(labels)) % 4 != 3
         if len(set(labels[seen])) == 2:
-            weights, bias, slope, shift = fitted(block, labels, seen)
+            weights, bias, slope, shift = fitted(texts, labels, seen)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([weights.tolist()]), *(pa.array([x]) for x in (bias, slope, shift))],
                 ["weights", "bias", "slope", "shift"],
