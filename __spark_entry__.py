@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 from daybook import schemas
 from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.numbers import number
-from daybook.functions.prices import tokens
 from daybook.operators import pricing, quality, quote_store, reports, volumes
-from daybook.operators.extraction import extract_with_rejects
+from daybook.operators.extraction import read_fields
 from daybook.operators.sinks import (
     append_rows,
     as_table,
-    create_empty,
+    land,
     replace_partitions,
     store_quotes,
 )
+from daybook.operators.totals import summed
 from daybook.operators.updates import updated
 from daybook.plans.initial_load import initial_load as load_delivery
 from daybook.plans.lake import Lake
@@ -44,7 +44,7 @@ from daybook.sources.events import (
     event_transactions,
 )
 from daybook.sources.metrics import read_metrics
-from daybook.sources.quotes import response_quotes
+from daybook.sources.quotes import read_responses, response_quotes
 from daybook.sources.transactions import stream_transactions
 from daybook.streaming.arrivals import refresh_on_arrival
 
@@ -146,29 +146,15 @@ def rejected_records(spark, sf_dir):
             ).otherwise(F.col("nums")),
         }
     )
-    readable, rejects = extract_with_rejects(spoiled)
-    kept = volumes.project_metrics(readable).select(
-        "project_id",
-        F.lit("none").alias("problem"),
-        F.col("num_transactions").alias("records"),
-        F.col("raw_volume").alias("amount"),
-    )
-    left_out = rejects.select(
-        F.col("project_id").cast("bigint"),
-        "problem",
-        F.lit(1).cast("bigint").alias("records"),
-        F.lit(None).cast("double").alias("amount"),
-    )
-    return (
-        kept.unionByName(left_out)
-        .groupBy("project_id", "problem")
-        .agg(F.sum("records").alias("records"), F.sum("amount").alias("amount"))
-    )
+    problem = F.coalesce("problem", F.lit("none")).alias("problem")
+    amount = F.when(F.col("problem").isNull(), F.col("amount"))
+    counts = {"records": F.count("*")}
+    return summed(read_fields(spoiled), ("project_id", problem), amount, "amount", counts)
 
 
 def daily_project_metrics(spark, sf_dir):
-    whole = tokens(F.col("currency_symbol"), F.col("amount"))
-    return volumes.project_metrics(_transactions(spark, sf_dir).withColumn("amount", whole))
+    """Raw amounts of all currencies together, base units and tokens alike."""
+    return volumes.project_metrics(_transactions(spark, sf_dir))
 
 
 def daily_currency_volumes(spark, sf_dir):
@@ -293,10 +279,47 @@ def metrics_validation(spark, sf_dir):
 
 def initial_load(spark, sf_dir):
     lake = Lake.under(scratch_dir(spark))
-    load_delivery(spark, _deliveries(spark, sf_dir, base_units=False), lake)
+    load_delivery(spark, _deliveries(spark, sf_dir), lake)
     return spark.read.schema(schemas.PROJECT_METRICS).parquet(lake.project_metrics)
 
 
+def rows_loaded(spark, sf_dir):
+    """What a first load reports."""
+    lake = Lake.under(scratch_dir(spark))
+    added = load_delivery(spark, _deliveries(spark, sf_dir), lake)
+    return spark.createDataFrame([(added,)], "rows_loaded bigint")
+
+
+def metrics_table(spark, sf_dir):
+    """Metrics read as a table of a database."""
+    root = scratch_dir(spark)
+    lake = Lake.under(root, database=root.rsplit("/", 1)[-1].replace("-", "_"))
+    lake.create(spark)
+    store_quotes(_quotes(spark, sf_dir), lake.quotes)
+    load_delivery(spark, _deliveries(spark, sf_dir), lake)
+    refresh(spark, lake)
+    return pricing.priced(spark.table(f"{lake.database}.daily_metrics"))
+
+
+def redelivery(spark, sf_dir):
+    """A delivery with wrong dates, its correction under the same label, and a refresh of both."""
+    lake = _lake(spark, sf_dir)
+    records = event_records(_events(spark, sf_dir))
+    moved = F.date_format(F.col("ts").cast("timestamp") + F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd")
+    land(records.withColumn("ts", moved), lake.bronze, "shop")
+    refresh(spark, lake)
+    dates = land(records, lake.bronze, "shop")
+    refresh(spark, lake, dates)
+    return pricing.priced(read_metrics(spark, lake.metrics))
+
+
+def landed_responses(spark, sf_dir):
+    """Quotes of answers that were kept in JSON files."""
+    path = f"{scratch_dir(spark)}/answers"
+    event_responses(_events(spark, sf_dir)).write.json(path)
+    return response_quotes(read_responses(spark, path))
+
+
 def refresh_metrics(spark, sf_dir):
     """Load, refresh, and refresh again, which changes nothing."""
     lake = _lake(spark, sf_dir)
@@ -373,6 +396,10 @@ _QUERIES = (
     duplicate_keys,
     metrics_validation,
     initial_load,
+    rows_loaded,
+    metrics_table,
+    redelivery,
+    landed_responses,
     refresh_metrics,
     quotes_refresh,
     late_quotes,
@@ -401,8 +428,9 @@ tx AS (
               WHEN 'view' THEN 'USDC' WHEN 'signup' THEN 'USDC.E' WHEN 'error' THEN 'WETH'
          END AS currency_symbol,
          COALESCE(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0) AS k,
-         COALESCE(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0)
-           * CASE event_type WHEN 'purchase' THEN 1e18 ELSE 1 END AS amount,
+         CAST(COALESCE(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0) AS HUGEINT)
+           * CAST(CASE event_type WHEN 'purchase' THEN 1000000000000000000 ELSE 1 END AS HUGEINT)
+           AS amount,
          value
   FROM events
 )"""
@@ -518,7 +546,7 @@ SELECT project_id, currency_symbol, count(*) AS total_transactions,
 FROM metrics GROUP BY project_id, currency_symbol"""
 
 _PROJECT_METRICS = """
-SELECT date, project_id, count(k) AS num_transactions, CAST(sum(k) AS DOUBLE) AS raw_volume
+SELECT date, project_id, count(amount) AS num_transactions, CAST(sum(amount) AS DOUBLE) AS raw_volume
 FROM tx GROUP BY date, project_id"""
 
 
@@ -638,6 +666,10 @@ SELECT true AS readable, count(*) = count(usd_volume) AS complete,
        count(*) = count(usd_volume) AS ok
 FROM metrics"""),
         "initial_load": _sql(_TX, _PROJECT_METRICS),
+        "rows_loaded": _sql(_TX, f"SELECT count(*) AS rows_loaded FROM ({_PROJECT_METRICS})"),
+        "metrics_table": _over_metrics(_PRICED),
+        "redelivery": _over_metrics(_PRICED),
+        "landed_responses": _sql(_TX, _RESPONSES, "SELECT * FROM responses"),
         "refresh_metrics": _over_metrics(_PRICED),
         "quotes_refresh": _sql(_TX, _QUOTES, _RESPONSES, _MERGED, """
 SELECT DISTINCT t.currency_symbol AS symbol, t.date

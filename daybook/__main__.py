@@ -3,6 +3,7 @@
     load ROOT CSV              land CSV deliveries and append raw volumes per project
     refresh ROOT [--dates D..] [--responses PATH]   value volumes, all dates or some
     arrivals ROOT FOLDER --name N --progress P      take up newly arrived CSV files
+    quotes ROOT FOLDER         take over quotes kept as JSON objects
     missing ROOT               quotes still to be fetched
     daily-volumes ROOT         JSON records per date and currency
     project-volumes ROOT       JSON records per project and currency
@@ -19,12 +20,13 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators import quality, reports
+from daybook.operators.sinks import store_quotes
 from daybook.plans.initial_load import initial_load
 from daybook.plans.lake import Lake
 from daybook.plans.refresh import refresh, worklist
 from daybook.plans.validation import validate
 from daybook.sources.metrics import read_metrics
-from daybook.sources.quotes import read_responses
+from daybook.sources.quotes import read_quote_objects, read_responses
 from daybook.sources.transactions import stream_transactions
 from daybook.streaming.arrivals import refresh_on_arrival
 
@@ -41,7 +43,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     load = command("load")
     load.add_argument("csv")
-    load.add_argument("--batch", default="initial")
+    load.add_argument("--batch", help="label; by default one for these paths")
+    load.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
+    load.add_argument("--gather", action="store_true", help="bring the rows of a date together")
     again = command("refresh")
     again.add_argument("--dates", nargs="*", type=datetime.date.fromisoformat)
     again.add_argument("--responses", help="landed answers of the quote provider")
@@ -50,6 +54,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     arrivals.add_argument("folder")
     arrivals.add_argument("--name", required=True)
     arrivals.add_argument("--progress", required=True, help="checkpoint of the stream")
+    arrivals.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
+    arrivals.add_argument("--gather", action="store_true", help="bring the rows of a date together")
+    take = command("quotes")
+    take.add_argument("objects", help="folder of quotes, one JSON object per symbol and day")
     for name in ("missing", "daily-volumes", "project-volumes", "verify", "validate"):
         command(name)
     return parser.parse_args(argv)
@@ -64,13 +72,19 @@ def _print(frame: DataFrame) -> None:
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     lake = Lake.under(args.root, args.database)
     if args.command == "load":
-        print(f"{initial_load(spark, args.csv, lake, args.batch)} rows added")
+        added = initial_load(spark, args.csv, lake, args.batch, args.multi_line, args.gather)
+        print(f"{added} rows added")
     elif args.command == "refresh":
         responses = read_responses(spark, args.responses, args.format) if args.responses else None
         refresh(spark, lake, args.dates, responses)
     elif args.command == "arrivals":
-        arriving = stream_transactions(spark, args.folder)
-        refresh_on_arrival(arriving, lake, args.name, args.progress).awaitTermination()
+        arriving = stream_transactions(spark, args.folder, multi_line=args.multi_line)
+        refresh_on_arrival(
+            arriving, lake, args.name, args.progress, gather=args.gather
+        ).awaitTermination()
+    elif args.command == "quotes":
+        lake.create(spark)
+        store_quotes(read_quote_objects(spark, args.objects), lake.quotes)
     elif args.command == "missing":
         _print(worklist(spark, lake))
     elif args.command == "daily-volumes":

@@ -30,39 +30,66 @@ def without_nan(value: Column | str) -> Column:
     return F.nanvl(value, F.lit(None))
 
 
-def total(value: Column | str) -> Column:
-    """Sum of doubles that does not depend on the order in which rows arrive.
-
-    So a repeated or restarted run gives the same figures. Each value is rounded to falling
-    powers of two; the steps from one rounding to the next are whole multiples of the finer
-    power, exact, and small enough to be added as integers. The sums are put together at the
-    end, starting with what is left below the last power. If a value does not fit (infinite,
-    NaN, or 2**123 and more) or a sum overflows, the plain sum of doubles is used. NULL for no
-    values.
-    """
-    value = F.col(value) if isinstance(value, str) else value
-    units = [2.0**power for power in (60, 30, 0, -30, -60, -90)]
-    rounded = [F.rint(value / unit) for unit in units]
-    steps = [rounded[0]]
-    steps += [fine - coarse * 2.0**30 for coarse, fine in zip(rounded, rounded[1:])]
-    multiples = [step.try_cast("bigint") for step in steps]
-    all_fit = F.count(multiples[0]) == F.count(value)
-    exact = F.sum(value - rounded[-1] * units[-1])
-    for multiple, unit in zip(reversed(multiples), reversed(units)):
-        exact = exact + F.try_sum(multiple).cast("double") * unit
-    return F.coalesce(F.when(all_fit, exact), F.sum(value))
-
-
-def total_cents(value: Column | str) -> Column:
-    """Sum of doubles rounded to two places, halves away from zero, whatever their order.
-
-    Values are added as decimals with twelve places, or as doubles if they do not fit.
+#: Doubles whose exponents lie in one band of this width are multiples of one unit.
+_BAND = 8
+
+
+def band(value: Column) -> Column:
+    """Number of the band of exponents of a double; NULL for zero, NaN and infinities."""
+    return F.when(F.abs(value) < float("inf"), F.floor(F.log2(F.abs(value)) / _BAND))
+
+
+def _scaled(value: Column, exponent: Column) -> Column:
+    """``value * 2**exponent``, in two steps, as the power itself may be out of range."""
+    half = F.floor(exponent / 2)
+    return value * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
+
+
+def _unit(number: Column) -> Column:
+    """Exponent of a band's unit, fine enough for the last bit of the smallest double in it."""
+    return number * _BAND - 54
+
+
+def units(value: Column, number: Column) -> Column:
+    """A double as a whole multiple of its band's unit, below 2**63 and exact."""
+    return _scaled(value, -_unit(number)).cast("bigint").cast("decimal(28,0)")
+
+
+def _exact_parts(part: Column) -> Column:
+    """Doubles that add up to a band's sum: its multiple of the unit in three pieces."""
+    high = F.call_function("div", part["units"], F.lit(1 << 53))
+    low = part["units"] - high.cast("decimal(19,0)") * F.lit(1 << 53).cast("decimal(17,0)")
+    unit = _unit(part["band"])
+    return F.array(
+        _scaled(F.shiftright(high, 31).cast("double"), unit + 84),
+        _scaled(high.bitwiseAND(F.lit((1 << 31) - 1)).cast("double"), unit + 53),
+        _scaled(low.cast("double"), unit),
+    )
+
+
+def put_together(sums: Column) -> Column:
+    """The sum of bands (structs of ``band`` and ``units``), from the highest band down.
+
+    What each addition of doubles rounds off is added at the end.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    as_decimal = value.try_cast("decimal(38,12)")
-    all_fit = F.count(as_decimal) == F.count(value)
-    exact = F.round(F.try_sum(as_decimal), 2).cast("double")
-    return F.coalesce(F.when(all_fit, exact), F.round(F.sum(value), 2))
+    parts = F.flatten(F.transform(F.sort_array(sums, asc=False), _exact_parts))
+
+    def add(state: Column, value: Column) -> Column:
+        total = state["total"] + value
+        larger = F.abs(state["total"]) >= F.abs(value)
+        lost = F.when(larger, state["total"] - total + value).otherwise(
+            value - total + state["total"]
+        )
+        return F.struct(total.alias("total"), (state["lost"] + lost).alias("lost"))
+
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("lost"))
+    return F.aggregate(
+        parts,
+        start,
+        add,
+        lambda state: F.when(F.abs(state["total"]) < float("inf"), state["total"] + state["lost"])
+        .otherwise(state["total"]),
+    )
 
 
 def with_cents(value: Column | str) -> Column:

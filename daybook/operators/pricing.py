@@ -1,6 +1,6 @@
 """The price that holds for a currency on a date.
 
-Quotes have at most one row per symbol and calendar day, so all rows of one symbol are few.
+Of several quotes for one symbol and calendar day one is taken, so all rows of one symbol are few.
 
 Volumes find their price by equality joins alone. ``price_by_day`` spreads each quote over the
 days until the next quote of its symbol, so "the newest quote before this date" becomes a row
@@ -18,20 +18,13 @@ from pyspark.sql import functions as F
 
 from daybook.constants import COIN_IDS, EXACT, LAST_KNOWN, PEG, PEG_PRICE, UNPRICED
 from daybook.functions.prices import is_pegged, is_quoted, usable, usd_value
-
-
-def exact_prices(keys: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Adds the usable quote of the same day as ``price``."""
-    same_day = quotes.select(
-        F.col("symbol").alias("currency_symbol"), "date", usable("price").alias("price")
-    )
-    return keys.join(same_day, ["currency_symbol", "date"], "left")
+from daybook.operators.quote_store import one_quote_a_day
 
 
 def _spans(quotes: DataFrame) -> DataFrame:
     """Each quote with the price before it and the day of the next one of its symbol."""
     by_date = Window.partitionBy("symbol").orderBy("date")
-    return quotes.select(
+    return one_quote_a_day(quotes).select(
         F.col("symbol").alias("currency_symbol"),
         F.col("date").alias("quoted_on"),
         "price",
@@ -79,26 +72,41 @@ def latest_quotes(quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS) ->
     )
 
 
-def last_known_prices(keys: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Each key with the newest quote strictly before its date; NULL if that is unusable.
-
-    For symbols of any kind, at the grain of ``price_keys``: a symbol has one key and one quote
-    a day at most.
-    """
-    quoted = quotes.select(
-        F.col("symbol").alias("currency_symbol"), "date", F.struct("price").alias("quote")
+def with_quotes(
+    frame: DataFrame, quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS
+) -> DataFrame:
+    """Adds the usable quote of the same day, and for symbols the provider knows the newest before."""
+    # One row at most per entry of ``coin_ids``, hence safe to broadcast.
+    latest = F.broadcast(latest_quotes(quotes, coin_ids))
+    earlier = F.when(F.col("date") > F.col("latest_date"), F.col("latest_price")).otherwise(
+        F.col("earlier_price")
     )
-    dates = keys.select("currency_symbol", "date", F.lit(True).alias("is_key"))
-    by_day = Window.partitionBy("currency_symbol").orderBy(F.unix_date("date"))
-    before = by_day.rangeBetween(Window.unboundedPreceding, -1)
     return (
-        quoted.unionByName(dates, allowMissingColumns=True)
-        .withColumn("newest", F.last("quote", ignorenulls=True).over(before))
-        .where("is_key")
-        .select("currency_symbol", "date", usable(F.col("newest.price")).alias("price"))
+        frame.join(price_by_day(quotes, coin_ids), ["currency_symbol", "date"], "left")
+        .join(latest, "currency_symbol", "left")
+        .withColumns({"exact_price": usable("exact_price"), "earlier_price": usable(earlier)})
+        .drop("latest_date", "latest_price")
     )
 
 
+def exact_prices(keys: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Adds the usable quote of the same day as ``price``."""
+    found = with_quotes(keys, quotes)
+    return found.withColumnRenamed("exact_price", "price").drop("earlier_price")
+
+
+def last_known_prices(
+    keys: DataFrame, quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS
+) -> DataFrame:
+    """Adds the newest quote strictly before the day as ``price``; NULL if that is unusable.
+
+    Only symbols the provider knows have one.
+    """
+    found = with_quotes(keys, quotes, coin_ids)
+    known = F.when(is_quoted("currency_symbol", coin_ids), F.col("earlier_price"))
+    return found.withColumn("price", known).drop("exact_price", "earlier_price")
+
+
 def with_prices(
     frame: DataFrame, quotes: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS
 ) -> DataFrame:
@@ -108,17 +116,7 @@ def with_prices(
     that, for symbols the provider knows, the newest quote before the day.
     """
     symbol = F.col("currency_symbol")
-    # One row at most per entry of ``coin_ids``, hence safe to broadcast.
-    latest = F.broadcast(latest_quotes(quotes, coin_ids))
-    earlier = F.when(F.col("date") > F.col("latest_date"), F.col("latest_price")).otherwise(
-        F.col("earlier_price")
-    )
-    quoted = (
-        frame.join(price_by_day(quotes, coin_ids), ["currency_symbol", "date"], "left")
-        .join(latest, "currency_symbol", "left")
-        .withColumns({"exact_price": usable("exact_price"), "earlier_price": usable(earlier)})
-        .drop("latest_date", "latest_price")
-    )
+    quoted = with_quotes(frame, quotes, coin_ids)
     source = (
         F.when(is_pegged(symbol), PEG)
         .when(F.col("exact_price").isNotNull(), EXACT)

@@ -11,7 +11,7 @@ from daybook import schemas
 from daybook.constants import UNPRICED
 from daybook.functions.numbers import without_nan
 from daybook.functions.prices import usd_value
-from daybook.operators.volumes import with_keys
+from daybook.operators.volumes import keyed_groups
 
 
 def _nulls(column: str) -> Column:
@@ -45,10 +45,14 @@ def count_reconciliation(metrics: DataFrame, transactions: DataFrame) -> DataFra
     The source side is what the metrics should count: keys present and amount not NaN.
     """
     counted = metrics.groupBy("date").agg(F.sum("num_transactions").alias("metrics_count"))
+    # Grouped before keys are looked at, as a filter would parse the records again.
+    groups = transactions.groupBy(*schemas.METRICS_KEY).agg(
+        F.count(without_nan("amount")).alias("num_transactions")
+    )
     expected = (
-        with_keys(transactions, *schemas.METRICS_KEY)
+        keyed_groups(groups, *schemas.METRICS_KEY)
         .groupBy("date")
-        .agg(F.count(without_nan("amount")).alias("source_count"))
+        .agg(F.sum("num_transactions").alias("source_count"))
     )
     return (
         expected.join(counted, "date", "full_outer")

@@ -36,6 +36,19 @@ def missing_quotes(
     )
 
 
+def one_quote_a_day(quotes: DataFrame) -> DataFrame:
+    """One quote per symbol and date: of several, the lowest usable one.
+
+    Rows are dealt by symbol, so that windows per symbol need no further shuffle.
+    """
+    has_price = F.when(usable("price").isNotNull(), 0).otherwise(1)
+    return (
+        quotes.repartition("symbol")
+        .groupBy("symbol", "date")
+        .agg(F.min_by("price", F.struct(has_price, "price")).alias("price"))
+    )
+
+
 def merged_quotes(stored: DataFrame, fetched: DataFrame) -> DataFrame:
     """One quote per symbol and date.
 

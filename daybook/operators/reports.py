@@ -6,64 +6,57 @@ transactions behind them. Reports group by the calendar date, never by a column
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import http_date
-from daybook.functions.numbers import plain_cents, total, total_cents, with_cents
+from daybook.functions.numbers import plain_cents, with_cents
+from daybook.operators.totals import summed
 
 
-def _by_day(metrics: DataFrame):
-    return metrics.groupBy(F.to_date("date").alias("date"), "currency_symbol")
+def _by_day(metrics: DataFrame, count: str, counted: Column) -> DataFrame:
+    keys = (F.to_date("date").alias("date"), "currency_symbol")
+    return summed(metrics, keys, "usd_volume", "total_usd_volume", {count: counted})
 
 
-def _by_project(metrics: DataFrame):
-    return metrics.groupBy("project_id", "currency_symbol")
+def _by_project(metrics: DataFrame, keys: tuple[str, ...], count: str, counted: Column, name: str):
+    return summed(metrics, keys, "usd_volume", name, {count: counted})
+
+
+def _cents(report: DataFrame, name: str) -> DataFrame:
+    """The total rounded to two places, halves away from zero."""
+    return report.withColumn(name, F.round(name, 2))
 
 
 def verify_volumes(metrics: DataFrame) -> DataFrame:
     """Groups and unrounded dollar value per date and currency."""
-    report = _by_day(metrics).agg(
-        F.count("*").alias("transactions"),
-        total("usd_volume").alias("total_usd_volume"),
-    )
-    return report.orderBy("date", "currency_symbol")
+    return _by_day(metrics, "transactions", F.count("*")).orderBy("date", "currency_symbol")
 
 
 def daily_volumes(metrics: DataFrame) -> DataFrame:
     """Groups and dollar value per date and currency."""
-    report = _by_day(metrics).agg(
-        F.count("*").alias("transactions"),
-        total_cents("usd_volume").alias("total_usd_volume"),
-    )
-    return report.orderBy("date", "currency_symbol")
+    return _cents(verify_volumes(metrics), "total_usd_volume")
 
 
 def project_volumes(metrics: DataFrame) -> DataFrame:
     """Groups and dollar value per project and currency."""
-    report = _by_project(metrics).agg(
-        F.count("*").alias("total_transactions"),
-        total_cents("usd_volume").alias("total_project_volume"),
-    )
-    return report.orderBy("project_id", "currency_symbol")
+    keys = ("project_id", "currency_symbol")
+    name = "total_project_volume"
+    report = _by_project(metrics, keys, "total_transactions", F.count("*"), name)
+    return _cents(report, name).orderBy(*keys)
 
 
 def daily_transactions(metrics: DataFrame) -> DataFrame:
     """Transactions and dollar value per date and currency."""
-    report = _by_day(metrics).agg(
-        F.sum("num_transactions").alias("num_transactions"),
-        total_cents("usd_volume").alias("total_usd_volume"),
-    )
-    return report.orderBy("date", "currency_symbol")
+    report = _by_day(metrics, "num_transactions", F.sum("num_transactions"))
+    return _cents(report, "total_usd_volume").orderBy("date", "currency_symbol")
 
 
 def project_totals(metrics: DataFrame) -> DataFrame:
     """Transactions and dollar value per project, over all currencies."""
-    report = metrics.groupBy("project_id").agg(
-        F.sum("num_transactions").alias("num_transactions"),
-        total_cents("usd_volume").alias("total_usd_volume"),
-    )
-    return report.orderBy("project_id")
+    name, count = "total_usd_volume", F.sum("num_transactions")
+    report = _by_project(metrics, ("project_id",), "num_transactions", count, name)
+    return _cents(report, name).orderBy("project_id")
 
 
 def verify_text(metrics: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql.types import StructType
 
 from daybook import schemas
 from daybook.functions.dates import wall_clock_date
+from daybook.operators.quote_store import one_quote_a_day
+from daybook.session import matching
+from daybook.sources.transactions import NO_VALUE, read_landed
 
 
 def _gathered(frame: DataFrame, column: str) -> DataFrame:
@@ -32,24 +36,70 @@ def replace_partitions(frame: DataFrame, path: str, *columns: str, gather: bool
     )
 
 
-def land(transactions: DataFrame, path: str, batch: str, gather: bool = True) -> None:
+def replace_table(frame: DataFrame, path: str, *columns: str) -> None:
+    """Replaces all partitions; those that do not occur in ``frame`` are gone."""
+    rows = _gathered(frame, columns[0])
+    (
+        rows.write.partitionBy(*columns)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .parquet(path)
+    )
+
+
+def empty_partitions(
+    spark: SparkSession, path: str, schema: str, partitions: Iterable[Mapping[str, object]]
+) -> None:
+    """Leaves the given partitions without rows."""
+    for values in partitions:
+        folder = "/".join(f"{name}={NO_VALUE if x is None else x}" for name, x in values.items())
+        rest = [name for name in StructType.fromDDL(schema).names if name not in values]
+        nothing = _no_rows(spark, schema).select(*rest).coalesce(1)
+        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
+def land(
+    transactions: DataFrame, path: str, batch: str, gather: bool = False
+) -> list[datetime.date | None]:
     """Keeps raw records word for word, filed under their date and a batch label.
 
-    Landing the same records again under the same label replaces them. Records without a
-    date are kept as well. ``gather=False`` saves the shuffle where each delivered file holds
-    one date or few; otherwise it would leave a file per task and date.
+    Landing under a label that exists replaces what was there, on all of its dates. Records without a
+    date are kept as well, under the date NULL. Returns the dates that had or have records of this label.
+
+    Rows are sorted by date within each task, not shuffled, so a task leaves a file per date that
+    it saw. ``gather`` brings the rows of a date together first.
     """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"a batch label has letters, digits, '_', '-' and '.' only: {batch!r}")
+    spark = transactions.sparkSession
+    former = _dates(spark, path, batch)
+    seen = Observation()
     dated = transactions.select(
         *schemas.RAW_COLUMNS, wall_clock_date("ts").alias("date"), F.lit(batch).alias("batch")
+    ).observe(
+        seen,
+        F.collect_set("date").alias("dates"),
+        F.count(F.when(F.col("date").isNull(), 1)).alias("undated"),
     )
-    replace_partitions(dated, path, "date", "batch", gather=gather)
+    dates: set[datetime.date | None] = set()
+    if not transactions.isEmpty():
+        replace_partitions(dated, path, "date", "batch", gather=gather)
+        dates = {*seen.get["dates"], *([None] if seen.get["undated"] else [])}
+    gone = [{"date": day, "batch": batch} for day in former - dates]
+    empty_partitions(spark, path, schemas.BRONZE, gone)
+    return sorted(former | dates, key=lambda day: (day is not None, day))
+
+
+def _dates(spark: SparkSession, path: str, batch: str) -> set[datetime.date | None]:
+    """Dates under which a label has records; the partition values alone are read."""
+    rows = read_landed(spark, path, batch=batch).select("date").distinct().collect()
+    return {row.date for row in rows}
 
 
 def store_quotes(quotes: DataFrame, path: str) -> None:
-    """Replaces all stored quotes of the symbols in ``quotes``."""
-    replace_partitions(quotes.select("date", "price", "symbol"), path, "symbol")
+    """Replaces all stored quotes of the symbols in ``quotes``; one is kept per symbol and day."""
+    single = one_quote_a_day(quotes)
+    replace_partitions(single.select("date", "price", "symbol"), path, "symbol")
 
 
 def as_table(frame: DataFrame, schema: str) -> DataFrame:
@@ -80,21 +130,24 @@ def append_rows(frame: DataFrame, path: str, schema: str, columns: Iterable[str]
     return loaded.get["rows"]
 
 
+def _no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
 def create_empty(spark: SparkSession, path: str, schema: str, *columns: str) -> None:
     """Makes sure that a partitioned table exists at ``path``; rows already there stay."""
-    fields = [
-        F.lit(None).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(schema)
-    ]
-    spark.range(0).select(*fields).write.partitionBy(*columns).mode("append").parquet(path)
+    if not matching(spark, path):
+        _no_rows(spark, schema).write.partitionBy(*columns).mode("append").parquet(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: str) -> str:
     """Declares the table at ``path`` under ``database.table``, unless it is, for use in SQL."""
     database = name.rsplit(".", 1)[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
-        f"PARTITIONED BY (date) LOCATION '{path}'"
+        f"PARTITIONED BY (date) LOCATION '{location}'"
     )
     refresh_table(spark, name)
     return name

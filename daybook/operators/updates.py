@@ -19,10 +19,15 @@ def updated(metrics: DataFrame, valuations: DataFrame) -> DataFrame:
     """Metrics with price and dollar value taken from ``valuations`` where those have a price.
 
     Rows without a match, or matched by a group without a price, stay as they are. Every copy
-    of a row that was appended twice is updated. ``valuations`` has each key once.
+    of a row that was appended twice is updated. Of several valuations of a key the one with
+    the lowest price is taken, as for quotes.
     """
-    new = valuations.where(F.col("price").isNotNull()).select(
-        *schemas.METRICS_KEY, *[F.col(name).alias(f"new_{name}") for name in _VALUES]
+    lowest = F.min(F.struct(*_VALUES))
+    new = (
+        valuations.where(F.col("price").isNotNull())
+        .groupBy(*schemas.METRICS_KEY)
+        .agg(lowest.alias("new"))
+        .select(*schemas.METRICS_KEY, *[F.col(f"new.{name}").alias(f"new_{name}") for name in _VALUES])
     )
     matched = metrics.join(new, list(schemas.METRICS_KEY), "left")
     values = {name: F.coalesce(F.col(f"new_{name}"), F.col(name)) for name in _VALUES}

@@ -6,21 +6,22 @@ reaches the shuffle as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.numbers import total, without_nan
+from daybook.functions.numbers import without_nan
+from daybook.operators.totals import summed
 
 PROJECT_KEY = ("date", "project_id")
 CURRENCY_KEY = ("date", "currency_symbol", "project_id")
 
 
-def _totals() -> tuple[Column, Column]:
+def _totals(transactions: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Count and sum of the amounts that are numbers; the sum of none is 0."""
     amount = without_nan("amount")
-    return (
-        F.count(amount).alias("num_transactions"),
-        F.coalesce(total(amount), F.lit(0.0)).alias("raw_volume"),
-    )
+    counts = {"num_transactions": F.count(amount)}
+    totals = summed(transactions, keys, amount, "raw_volume", counts)
+    return totals.withColumn("raw_volume", F.coalesce("raw_volume", F.lit(0.0)))
 
 
 def with_keys(frame: DataFrame, *keys: str) -> DataFrame:
@@ -30,7 +31,7 @@ def with_keys(frame: DataFrame, *keys: str) -> DataFrame:
     return frame
 
 
-def _keyed_groups(groups: DataFrame, *keys: str) -> DataFrame:
+def keyed_groups(groups: DataFrame, *keys: str) -> DataFrame:
     """Groups whose keys are all present.
 
     A condition on keys alone would be moved below the aggregation, where it would parse the
@@ -44,7 +45,7 @@ def _keyed_groups(groups: DataFrame, *keys: str) -> DataFrame:
 
 def project_metrics(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date and project, over all currencies together."""
-    return _keyed_groups(transactions.groupBy(*PROJECT_KEY).agg(*_totals()), *PROJECT_KEY)
+    return keyed_groups(_totals(transactions, PROJECT_KEY), *PROJECT_KEY)
 
 
 def all_volumes(transactions: DataFrame) -> DataFrame:
@@ -52,24 +53,18 @@ def all_volumes(transactions: DataFrame) -> DataFrame:
 
     Both other volume relations follow from this one, so that a job parses its source once.
     """
-    return transactions.groupBy(*CURRENCY_KEY).agg(*_totals())
+    return _totals(transactions, CURRENCY_KEY)
 
 
 def currency_volumes(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date, currency and project."""
-    return _keyed_groups(all_volumes(transactions), *CURRENCY_KEY)
+    return keyed_groups(all_volumes(transactions), *CURRENCY_KEY)
 
 
 def project_metrics_of(volumes: DataFrame) -> DataFrame:
     """``project_metrics`` from ``all_volumes``."""
-    return (
-        with_keys(volumes, *PROJECT_KEY)
-        .groupBy(*PROJECT_KEY)
-        .agg(
-            F.sum("num_transactions").alias("num_transactions"),
-            total("raw_volume").alias("raw_volume"),
-        )
-    )
+    counts = {"num_transactions": F.sum("num_transactions")}
+    return summed(with_keys(volumes, *PROJECT_KEY), PROJECT_KEY, "raw_volume", "raw_volume", counts)
 
 
 def price_keys(volumes: DataFrame) -> DataFrame:

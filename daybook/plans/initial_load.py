@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 from daybook import schemas
@@ -16,16 +18,20 @@ def initial_load(
     spark: SparkSession,
     csv: str | list[str],
     lake: Lake,
-    batch: str = "initial",
-    multi_line: bool = True,
-    gather: bool = True,
+    batch: str | None = None,
+    multi_line: bool = False,
+    gather: bool = False,
 ) -> int:
     """Lands the CSV files, appends volumes per date and project, returns the rows added.
 
-    Landing the same batch again replaces it, but the append is an append: a second call
-    doubles the project rows. ``refresh`` rewrites whole dates instead.
+    Without a label the batch is named after the paths, so another delivery is another batch, and
+    the same one landed again replaces itself. The append is an append: a second call for the same
+    batch doubles its project rows. ``refresh`` rewrites whole dates instead.
     """
     lake.create(spark)
+    if batch is None:
+        paths = [csv] if isinstance(csv, str) else sorted(csv)
+        batch = "load-" + hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
     land(read_transactions(spark, csv, multi_line), lake.bronze, batch, gather)
     added = append_rows(
         project_metrics(extract(read_landed(spark, lake.bronze, batch=batch))),

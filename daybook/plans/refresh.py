@@ -18,9 +18,22 @@ from daybook.functions.prices import usable
 from daybook.operators.extraction import extract
 from daybook.operators.pricing import valued
 from daybook.operators.quote_store import merged_quotes, missing_quotes
-from daybook.operators.sinks import as_table, replace_partitions, required, store_quotes
+from daybook.operators.sinks import (
+    as_table,
+    empty_partitions,
+    replace_partitions,
+    replace_table,
+    required,
+    store_quotes,
+)
 from daybook.operators.updates import repriced, updated
-from daybook.operators.volumes import all_volumes, price_keys, project_metrics_of, with_keys
+from daybook.operators.volumes import (
+    PROJECT_KEY,
+    all_volumes,
+    price_keys,
+    project_metrics_of,
+    with_keys,
+)
 from daybook.plans.lake import Lake
 from daybook.session import settled
 from daybook.sources.metrics import read_metrics
@@ -94,23 +107,51 @@ def refresh(
 ) -> None:
     """Recomputes the given dates, or all, from landed records and replaces their partitions.
 
+    A date that has no rows any more is left without rows.
+
     Responses of the quote provider are stored first. A new quote can also change later dates
     for which it is now the last known one; those are repriced.
 
     The records are read and parsed once: both tables come from the settled group volumes.
     """
     earliest = add_quotes(spark, lake, responses, coin_ids) if responses is not None else None
-    dates = None if dates is None else list(dates)
-    volumes = settled(all_volumes(extract(read_landed(spark, lake.bronze, dates))))
+    dates = None if dates is None else [day for day in dates if day is not None]
+    # Records without a date are read along: one whose date cannot be read stops the job.
+    asked = None if dates is None else [*dates, None]
+    volumes = settled(all_volumes(extract(read_landed(spark, lake.bronze, asked))))
 
     projects = as_table(project_metrics_of(volumes), schemas.PROJECT_METRICS)
-    replace_partitions(
-        required(projects, schemas.PROJECT_METRICS_REQUIRED), lake.project_metrics, "date"
-    )
+    projects = required(projects, schemas.PROJECT_METRICS_REQUIRED)
+    _replace(projects, lake.project_metrics, dates)
     metrics = valued(
         with_keys(volumes, *schemas.METRICS_KEY), read_quotes(spark, lake.quotes), coin_ids
     )
-    replace_partitions(as_table(metrics, schemas.METRICS), lake.metrics, "date")
+    _replace(as_table(metrics, schemas.METRICS), lake.metrics, dates)
+    if dates is not None:
+        _empty_others(with_keys(volumes, *PROJECT_KEY), lake.project_metrics, schemas.PROJECT_METRICS, dates)
+        _empty_others(with_keys(volumes, *schemas.METRICS_KEY), lake.metrics, schemas.METRICS, dates)
     if dates is not None and earliest is not None:
         reprice(spark, lake, earliest, but_not=dates, coin_ids=coin_ids)
     lake.publish(spark)
+
+
+def _replace(
+    rows: DataFrame, path: str, dates: list[datetime.date] | None
+) -> None:
+    """Replaces the whole table, or the partitions that occur in ``rows``."""
+    if dates is None:
+        replace_table(rows, path, "date")
+    else:
+        replace_partitions(rows, path, "date")
+
+
+def _empty_others(
+    volumes: DataFrame, path: str, schema: str, dates: list[datetime.date]
+) -> None:
+    """Of the given dates, leaves those without rows that have no volumes now."""
+    spark = volumes.sparkSession
+    left = set(dates) - {row.date for row in volumes.select("date").distinct().collect()}
+    if left:
+        table = spark.read.schema(schema).parquet(path).where(F.col("date").isin(list(left)))
+        stale = [{"date": row.date} for row in table.select("date").distinct().collect()]
+        empty_partitions(spark, path, schema, stale)

@@ -40,3 +40,10 @@ def settled(frame: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return frame.checkpoint()
+
+
+def matching(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or one that fits the pattern, exists."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(system.globStatus(path))

@@ -57,8 +57,3 @@ def read_responses(spark: SparkSession, path: str, file_format: str = "json") ->
 def response_quotes(responses: DataFrame) -> DataFrame:
     """Quote carried by each response; NULL price where it failed or has none."""
     return responses.select("symbol", "date", response_price("status_code", "body").alias("price"))
-
-
-def successful_quotes(responses: DataFrame) -> DataFrame:
-    """Quotes of the responses that succeeded, other responses dropped."""
-    return response_quotes(responses).where(F.col("price").isNotNull())

@@ -5,11 +5,15 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas
+from daybook.session import matching
+
+# --- fixed value: the folder of a partition without a value ---
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# --- end of fixed values ---
 
 # A quote inside a quoted cell is doubled. enforceSchema=false makes a file whose header
 # differs from the first one fail instead of being read by position.
@@ -17,13 +21,13 @@ _CSV = {"header": True, "escape": '"', "enforceSchema": False}
 
 
 def read_transactions(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
 ) -> DataFrame:
     """Transactions of CSV files with a header; columns are found by name, others ignored.
 
-    ``multi_line=False`` lets Spark split large files, for producers that never put a line
-    break inside a cell. A record torn by such a break does not pass: what is left of its
-    JSON cells is not a JSON object, and ``extract`` raises.
+    Spark splits large files at line breaks. A record torn by a break inside a cell does not pass: what
+    is left of its JSON cells is not a JSON object, and ``extract`` raises. ``multi_line`` reads
+    such files, each in one task.
     """
     return (
         spark.read.options(**_CSV, multiLine=multi_line).csv(path).select(*schemas.RAW_COLUMNS)
@@ -35,12 +39,13 @@ def stream_transactions(
     path: str,
     header: str = schemas.RAW,
     max_files_per_trigger: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Transactions of CSV files as they arrive in a folder.
 
     ``header`` lists all columns of the files in their order, as a stream cannot look them up.
     """
-    reader = spark.readStream.schema(header).options(**_CSV, multiLine=True)
+    reader = spark.readStream.schema(header).options(**_CSV, multiLine=multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path).select(*[F.col(c).cast("string") for c in schemas.RAW_COLUMNS])
@@ -49,10 +54,11 @@ def stream_transactions(
 def read_landed(
     spark: SparkSession,
     path: str,
-    dates: Iterable[datetime.date] | None = None,
+    dates: Iterable[datetime.date | None] | None = None,
     batch: str | None = None,
 ) -> DataFrame:
-    """Landed transactions, all or those of some dates or one batch.
+    """Landed transactions, all or those of some dates or one batch; the date None is that of
+    records without a date.
 
     Only the folders asked for are listed, so that a refresh of one date does not go through
     the names of all files ever landed.
@@ -60,10 +66,10 @@ def read_landed(
     reader = spark.read.schema(schemas.BRONZE).option("basePath", path)
     if dates is None and batch is None:
         return reader.parquet(path)
-    days = "*" if dates is None else "{" + ",".join(map(str, dates)) + "}"
-    try:
-        return reader.parquet(f"{path}/date={days}/batch={batch or '*'}")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return reader.parquet(path).where(F.lit(False))
+    days = "*"
+    if dates is not None:
+        days = "{" + ",".join(NO_VALUE if day is None else str(day) for day in dates) + "}"
+    folders = f"{path}/date={days}/batch={batch or '*'}"
+    if days == "{}" or not matching(spark, folders):
+        return spark.createDataFrame([], schemas.BRONZE)
+    return reader.parquet(folders)

@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.constants import COIN_IDS
 from daybook.operators.sinks import land
 from daybook.plans.lake import Lake
 from daybook.plans.refresh import refresh
-from daybook.sources.transactions import read_landed
-
-
-def touched_dates(spark: SparkSession, lake: Lake, batch: str) -> list[datetime.date]:
-    """Dates of a landed batch; the partition values alone are read."""
-    days = read_landed(spark, lake.bronze, batch=batch).select("date").distinct()
-    return [row.date for row in days.where(F.col("date").isNotNull()).collect()]
 
 
 def refresh_on_arrival(
@@ -28,22 +19,22 @@ def refresh_on_arrival(
     name: str,
     checkpoint: str,
     coin_ids: Mapping[str, str] = COIN_IDS,
+    gather: bool = False,
 ) -> StreamingQuery:
     """Handles all files that are there now and stops; started again, it takes up the new ones.
 
     Each batch is landed under ``name`` and its number and the dates it touches are recomputed
     whole from everything landed so far. A batch that is repeated after a failure replaces
-    itself, so no record counts twice. ``name`` belongs to one ``checkpoint``: batch numbers
+    itself, so no record counts twice. A record whose date cannot be read stops the stream. ``name`` belongs to one ``checkpoint``: batch numbers
     start over with a new one.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         label = f"{name}-{number}"
-        land(batch, lake.bronze, label)
-        dates = touched_dates(spark, lake, label)
+        dates = land(batch, lake.bronze, label, gather)
         if dates:
-            refresh(spark, lake, dates, coin_ids=coin_ids)
+            refresh(spark, lake, [day for day in dates if day], coin_ids=coin_ids)
 
     lake.create(transactions.sparkSession)
     return (

@@ -143,6 +143,60 @@ def test_late_records_land_in_their_date(spark, lake, deliveries, tmp_path):
     assert by_key(spark, lake)[DAY16, "USDC.E", 4974] == VALUED[DAY16, "USDC.E", 4974]
 
 
+def record(day, amount, project="7", symbol='"USDC"'):
+    props = '{"currencySymbol": %s}' % symbol
+    return (day, project, props, json.dumps({"currencyValueDecimal": str(amount)}))
+
+
+def volumes_of(spark, lake):
+    rows = read_metrics(spark, lake.metrics).collect()
+    projects = read_project_metrics(spark, lake.project_metrics).collect()
+    return {r.date: r.raw_volume for r in rows}, {r.date: r.raw_volume for r in projects}
+
+
+def test_a_second_delivery_adds_to_the_first(spark, lake, tmp_path):
+    first = write_csv(tmp_path / "a.csv", [record("2024-04-15", 10), record("2024-04-16", 20)])
+    second = write_csv(tmp_path / "b.csv", [record("2024-04-15", 5)])
+    assert initial_load(spark, first, lake) == 2
+    assert initial_load(spark, second, lake) == 1
+    assert read_project_metrics(spark, lake.project_metrics).count() == 3
+    refresh(spark, lake)
+    assert volumes_of(spark, lake) == ({DAY15: 15.0, DAY16: 20.0},) * 2
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_a_corrected_date_counts_once(spark, lake, whole):
+    def deliver(*rows):
+        dates = land(spark.createDataFrame(list(rows), schemas.RAW), lake.bronze, "shop")
+        refresh(spark, lake, None if whole else dates)
+        return dates
+
+    deliver(record("2024-04-15", 10))
+    assert deliver(record("2024-04-16", 10)) == [DAY15, DAY16]
+    assert volumes_of(spark, lake) == ({DAY16: 10.0},) * 2
+    # without a symbol there is no group per currency any more
+    deliver(record("2024-04-16", 10, symbol="null"))
+    assert volumes_of(spark, lake) == ({}, {DAY16: 10.0})
+    assert deliver(record(None, 10)) == [None, DAY16]
+    assert volumes_of(spark, lake) == ({}, {})
+
+
+def test_landing_does_not_shuffle(spark, tmp_path):
+    frame = spark.createDataFrame([record("2024-04-15", 1)], schemas.RAW)
+    assert land(frame, str(tmp_path / "t"), "a") == [DAY15]
+    assert land(frame, str(tmp_path / "u"), "a", gather=True) == [DAY15]
+
+
+def test_an_unreadable_date_stops_a_refresh_of_some_dates(spark, lake):
+    rows = [record("2024-04-15", 10), record(None, 3)]
+    land(spark.createDataFrame(rows, schemas.RAW), lake.bronze, "a")
+    refresh(spark, lake, [DAY15])
+    assert volumes_of(spark, lake)[0] == {DAY15: 10.0}
+    land(spark.createDataFrame([record("yesterday", 99)], schemas.RAW), lake.bronze, "b")
+    with pytest.raises(Exception, match="unreadable transaction field: ts"):
+        refresh(spark, lake, [DAY15])
+
+
 def test_keyed_update(spark, lake, deliveries):
     initial_load(spark, deliveries, lake)
     refresh(spark, lake)
@@ -243,6 +297,12 @@ class TestStream:
         assert state(spark, lake) == once
         assert read_landed(spark, lake.bronze).count() == len(TRANSACTIONS)
 
+    def test_an_unreadable_date_stops_the_stream(self, spark, lake, tmp_path):
+        folder = tmp_path / "in"
+        write_csv(folder / "a.csv", [record("yesterday", 99)])
+        with pytest.raises(Exception, match="unreadable transaction field: ts"):
+            self.run(spark, lake, folder, tmp_path / "progress")
+
     def test_other_columns_and_order(self, spark, lake, tmp_path):
         folder = tmp_path / "in"
         folder.mkdir()

@@ -19,11 +19,14 @@ def connection():
     return connect(str(SF_DIR))
 
 
+NAMES = [query.__name__ for query in contract._QUERIES]
+
+
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(NAMES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, connection, name):
     columns, rows = spark_rows(contract.queries()[name](spark, str(SF_DIR)))
     expected_columns, expected = sql_rows(connection, contract.oracle_sql()[name])

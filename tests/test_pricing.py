@@ -14,6 +14,7 @@ from daybook.functions.numbers import plain_cents, with_cents
 from daybook.functions.prices import coin_id, response_price, usable, usd_value
 from daybook.operators.pricing import exact_prices, last_known_prices, with_prices
 from daybook.operators.quote_store import merged_quotes, missing_quotes
+from daybook.operators.updates import updated
 
 EPOCH = datetime.date(2024, 1, 1)
 SYMBOLS = ["USDC", "USDC.E", "MATIC", "SFL", "WETH", "", "matic"]
@@ -60,13 +61,45 @@ def test_with_prices(spark, quotes, keys):
     assert len(rows) == len(keys)
 
 
+@relaxed
+@given(st.lists(st.tuples(symbols, days, prices), max_size=40), keys_of_cases)
+def test_with_prices_of_repeated_quotes(spark, quotes, keys):
+    """Of several quotes for a symbol and day the lowest usable one counts."""
+    first = {}
+    for symbol, day, price in sorted(quotes, key=lambda q: (not q[2], q[2] or 0)):
+        first.setdefault((symbol, day), price)
+    frame = spark.createDataFrame(quotes, schemas.QUOTES)
+    rows = with_prices(key_frame(spark, keys), frame).collect()
+    assert {(r.currency_symbol, r.date): (r.price, r.price_source) for r in rows} == {
+        key: rule(first, *key) for key in keys
+    }
+    assert len(rows) == len(keys)
+
+
+def test_two_quotes_of_a_day_do_not_reach_the_day_before(spark):
+    day = EPOCH + datetime.timedelta(days=9)
+    quotes = spark.createDataFrame([("SFL", day, 0.7), ("SFL", day, 0.5)], schemas.QUOTES)
+    keys = key_frame(spark, {("SFL", day), ("SFL", day - datetime.timedelta(days=1))})
+    rows = with_prices(keys, quotes).orderBy("date").collect()
+    assert [(r.price, r.price_source) for r in rows] == [(None, "unpriced"), (0.5, "exact")]
+
+
+def test_a_key_valued_twice_is_updated_once(spark):
+    row = (7, "SFL", 1, 2.0, None, "unpriced", None, EPOCH)
+    metrics = spark.createDataFrame([row], schemas.METRICS)
+    twice = [(7, "SFL", 1, 2.0, price, "exact", 2 * price, EPOCH) for price in (0.7, 0.5)]
+    rows = updated(metrics, spark.createDataFrame(twice, schemas.METRICS)).collect()
+    assert [(r.price, r.usd_volume) for r in rows] == [(0.5, 1.0)]
+
+
 @relaxed
 @given(quotes_of_cases, keys_of_cases)
 def test_lookups(spark, quotes, keys):
     keys_, quotes_ = key_frame(spark, keys), quote_frame(spark, quotes)
     exact = {(r.currency_symbol, r.date): r.price for r in exact_prices(keys_, quotes_).collect()}
     assert exact == {key: quotes.get(key) or None for key in keys}
-    earlier = last_known_prices(keys_, quotes_).collect()
+    every = dict.fromkeys(SYMBOLS, "id")
+    earlier = last_known_prices(keys_, quotes_, every).collect()
     assert {(r.currency_symbol, r.date): r.price for r in earlier} == {
         key: newest_before(quotes, *key) or None for key in keys
     }

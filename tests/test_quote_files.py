@@ -13,7 +13,6 @@ from daybook.sources.quotes import (
     read_quotes,
     read_responses,
     response_quotes,
-    successful_quotes,
 )
 
 DAY = datetime.date(2024, 4, 15)
@@ -77,4 +76,3 @@ def test_responses(spark, tmp_path):
         ("MATIC", NEXT, None),
         ("SFL", NEXT, None),
     }
-    assert [tuple(r) for r in successful_quotes(responses).collect()] == [("MATIC", DAY, 0.7)]

@@ -109,6 +109,35 @@ def test_sums_are_exact_in_any_order(spark, values, chance):
     assert abs(raw_volume - math.fsum(values)) <= 1e-15 * math.fsum(map(abs, values))
 
 
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        ([2.0**124, 1.5, -(2.0**124)], 1.5),
+        ([1e300, 2.5, -1e300], 2.5),
+        ([1.005, 1e27, -1e27], 1.005),
+        ([4e-13] * 50 + [0.00499999998], 0.005),
+        ([2.0**1000, 5e-324, -(2.0**1000)], 5e-324),
+        ([1e308, 1e308], math.inf),
+        ([math.inf, 1.0, -math.inf], math.nan),
+        ([0.0, -0.0], 0.0),
+    ],
+)
+def test_one_sum_in_every_order(spark, values, expected):
+    for rows in (values, values[::-1], values[1:] + values[:1]):
+        frame = spark.createDataFrame([(DAY15, 1, "SFL", x) for x in rows], schemas.TRANSACTIONS)
+        found = currency_volumes(frame.repartition(3)).first().raw_volume
+        assert found == pytest.approx(expected, rel=1e-15, abs=0, nan_ok=True)
+
+
+def test_a_sum_of_many_equal_amounts(spark):
+    """Whole multiples add up far beyond 2**63."""
+    frame = spark.range(2000).selectExpr(
+        "DATE'2024-04-15' AS date", "1L AS project_id", "'SFL' AS currency_symbol", "9.5e18 AS amount"
+    )
+    amounts = frame.withColumn("amount", frame.amount.cast("double"))
+    assert currency_volumes(amounts).first().raw_volume == 1.9e22
+
+
 @pytest.mark.parametrize("dust", [1e-18, 3e-18, 1e-25, 7e-40, 5e-324])
 def test_dust_is_kept(spark, dust):
     rows = [(DAY15, 1, "SFL", dust)]
