@@ -1,0 +1,89 @@
+"""Arrays of words and windows against plain Python."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from daybook.llm.segments import segments
+from daybook.llm.suffix_arrays import common_prefixes, suffix_array
+from daybook.llm.suffix_dedup import repeated_in_shard
+from daybook.llm.text_arrays import BYTE_SYMBOLS, Words, blocks, sliding_min, utf8
+
+texts = st.lists(st.one_of(st.none(), st.text(alphabet="ab é \n\t\x0c漢😀", max_size=30)), max_size=6)
+
+
+@given(texts)
+@settings(max_examples=60, deadline=None)
+def test_words(values):
+    words = Words(*utf8(pa.array(values, pa.string())))
+    data = words.data.tobytes()
+    for i, text in enumerate(values):
+        part = slice(words.first[i], words.first[i + 1])
+        found = [data[a:b].decode() for a, b in zip(words.starts[part], words.ends[part])]
+        assert found == re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    hashes, spelled = words.hashes(), [data[a:b] for a, b in zip(words.starts, words.ends)]
+    assert len(set(hashes.tolist())) == len(set(spelled))
+    assert len(set(zip(hashes.tolist(), spelled))) == len(set(spelled))
+
+
+def test_blocks_cover_all_rows():
+    batch = pa.record_batch({"text": pa.array(["abc" * 10, None, "", "x" * 100, "y"])})
+    parts = list(blocks(batch, "text", 40))
+    assert pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
+    assert len(parts) > 1
+
+
+@given(st.lists(st.integers(0, 9), max_size=40), st.integers(1, 12))
+@settings(max_examples=60, deadline=None)
+def test_sliding_min(values, width):
+    found = sliding_min(np.array(values, np.uint64), width).tolist()
+    assert found == [min(values[i : i + width]) for i in range(len(values) - width + 1)]
+
+
+@given(st.lists(st.text(alphabet="ab", max_size=40), max_size=4), st.integers(4, 9))
+@settings(max_examples=60, deadline=None)
+def test_segments_hold_every_window_once(values, window):
+    data, offsets = utf8(pa.array(values, pa.string()))
+    found = segments(BYTE_SYMBOLS[data], offsets, window, 3)
+    seen = [(t, f + k) for t, f, n in zip(found.text, found.first, found.n) for k in range(n)]
+    assert sorted(seen) == [
+        (t, f) for t, value in enumerate(values) for f in range(len(value) - window + 1)
+    ]
+    # equal windows lie in segments of the same anchor
+    anchors = {}
+    for t, f, n, anchor in zip(found.text, found.first, found.n, found.anchor):
+        for k in range(n):
+            content = values[t][f + k : f + k + window]
+            assert anchors.setdefault(content, anchor) == anchor
+
+
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=60), st.integers(1, 8))
+@settings(max_examples=120, deadline=None)
+def test_suffix_array_and_prefixes(values, most):
+    text = np.array(values)
+    order = suffix_array(text, 4)
+    expected = sorted(range(len(values)), key=lambda i: values[i:])
+    assert order.tolist() == expected
+    limits = len(values) - np.arange(len(values))
+    before, length = common_prefixes(text.astype(np.uint16), order, limits, most, step=4)
+    for i, j in zip(expected[1:], expected):
+        n = 0
+        while n < min(most, len(values) - max(i, j)) and values[i + n] == values[j + n]:
+            n += 1
+        assert (before[i], length[i]) == (j, n)
+
+
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=30), min_size=1, max_size=5))
+@settings(max_examples=60, deadline=None)
+def test_repeated_windows_of_a_shard(values):
+    window = 5
+    starts = [(p, o) for p, value in enumerate(values) for o in range(len(value) - window + 1)]
+    content = [values[p][o : o + window] for p, o in starts]
+    expected = [at for at, text in zip(starts, content) if content.count(text) > 1]
+    piece, offset = repeated_in_shard([value.encode() for value in values], window)
+    assert sorted(zip(piece.tolist(), offset.tolist())) == expected
