@@ -24,34 +24,39 @@ from collections.abc import Iterator
 
 import duckdb
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daybook.llm.rows import packed, quoted, unpacked
+from daybook.llm.rows import quoted
+from daybook.llm.text_arrays import blocks
 
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 LONG = 64
-CHUNK_BYTES = 4 << 20
 #: Bytes of pieces encoded by one query.
-QUERY_BYTES = 1 << 20
+QUERY_BYTES = 1 << 18
+DECODED_ROWS = 500
+RESULTS = ["ids", "n_tokens", "decoded"]
 
+# ``best`` holds, from high to low bits: rank, and 7 bits each for where the left token of the pair
+# starts, where the right one starts and where it stops.
 _SHORT_ROUND = """
-SELECT word, pos, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INT ELSE tok END, round + 1
-FROM (
-  SELECT *, min((m::BIGINT << 32) | pos) OVER (PARTITION BY word) AS best
-  FROM (
-    SELECT word, pos, tok, round, lead(tok) OVER near AS next_tok, lag(pos) OVER near AS last_pos
-    FROM state WINDOW near AS (PARTITION BY word ORDER BY pos)
-  ) LEFT JOIN merges ON l = tok AND r = next_tok
-)
-WHERE best IS NOT NULL AND last_pos IS DISTINCT FROM best & 4294967295
+SELECT word, pos, CASE WHEN pos = (best >> 14) & 127 THEN (best & 127)::INT ELSE stop END,
+       CASE WHEN pos = (best >> 14) & 127 THEN (best >> 21)::INT ELSE tok END, round + 1
+FROM state JOIN (
+  SELECT a.word, min((m << 21) | (a.pos << 14) | (b.pos << 7) | b.stop) AS best
+  FROM state a JOIN state b ON b.word = a.word AND b.pos = a.stop
+  JOIN merges ON pair = (a.tok::BIGINT << 20) | b.tok
+  GROUP BY a.word
+) USING (word)
+WHERE pos <> (best >> 7) & 127
 """
 
 _LONG_ROUND = """
-SELECT word, pos, CASE WHEN taken THEN best ELSE tok END, round + 1
+SELECT word, pos, CASE WHEN taken THEN next_stop ELSE stop END,
+       CASE WHEN taken THEN best::INT ELSE tok END, round + 1
 FROM (
   SELECT *, lag(taken) OVER (PARTITION BY word ORDER BY pos) AS absorbed
   FROM (
@@ -59,12 +64,12 @@ FROM (
     FROM (
       SELECT *, sum((NOT hit)::INT) OVER (PARTITION BY word ORDER BY pos) AS run
       FROM (
-        SELECT *, min(m) OVER (PARTITION BY word) AS best, coalesce(m = best, false) AS hit
+        SELECT *, min(m) OVER (PARTITION BY word) AS best,
+               coalesce(m = min(m) OVER (PARTITION BY word), false) AS hit
         FROM (
-          SELECT word, pos, tok, round,
-                 lead(tok) OVER (PARTITION BY word ORDER BY pos) AS next_tok
-          FROM state
-        ) LEFT JOIN merges ON l = tok AND r = next_tok
+          SELECT *, lead(tok) OVER near AS next_tok, lead(stop) OVER near AS next_stop
+          FROM state WINDOW near AS (PARTITION BY word ORDER BY pos)
+        ) LEFT JOIN merges ON pair = (tok::BIGINT << 20) | next_tok
       )
       WHERE best IS NOT NULL
     )
@@ -74,8 +79,8 @@ WHERE absorbed IS NOT TRUE
 """
 
 _ENCODE = """
-WITH RECURSIVE state(word, pos, tok, round) AS (
-  SELECT word, pos, tok, 0 FROM start UNION ALL {round}
+WITH RECURSIVE state(word, pos, stop, tok, round) AS (
+  SELECT word, pos, stop, tok, 0 FROM start UNION ALL {round}
 ),
 final AS (SELECT word, max(round) AS round FROM state GROUP BY word)
 SELECT word, tok FROM state JOIN final USING (word, round) ORDER BY word, pos
@@ -93,19 +98,19 @@ def vocabulary(content: bytes) -> dict[bytes, int]:
 
 
 def merges(ranks: dict[bytes, int]) -> pa.Table:
-    """Every two tokens that together are a token."""
+    """Every two tokens that together are a token, and its rank."""
     found = [
         (ranks[token[:cut]], ranks[token[cut:]], rank)
         for token, rank in ranks.items()
         for cut in range(1, len(token))
         if token[:cut] in ranks and token[cut:] in ranks
     ]
-    columns = np.array(found, np.int32).reshape(-1, 3).T
-    return pa.table(dict(zip("lrm", columns)))
+    left, right, rank = np.array(found, np.int64).reshape(-1, 3).T
+    return pa.table({"pair": (left << 20) | right, "m": rank})
 
 
 def _database() -> duckdb.DuckDBPyConnection:
-    return duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+    return duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
 
 
 class Encoder:
@@ -145,12 +150,14 @@ class Encoder:
         lengths = np.array([len(x) for x in words])
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         begins = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        pos = (np.arange(len(word)) - begins).astype(np.int32)
         self.database.register(
             "start",
             pa.table(
                 {
                     "word": word,
-                    "pos": (np.arange(len(word)) - begins).astype(np.int32),
+                    "pos": pos,
+                    "stop": pos + 1,
                     "tok": self.single[np.frombuffer(b"".join(words), np.uint8)],
                 }
             ),
@@ -219,48 +226,53 @@ class Decoder:
         return out
 
 
-def _chunks(values: list, limit: int) -> Iterator[list]:
-    """Consecutive values of about ``limit`` in total length, one at least."""
-    chunk, size = [], 0
-    for value in values:
-        chunk.append(value)
-        size += len(value)
-        if size >= limit:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
+def _coded(batches, content, pattern: str, decoded: bool):
+    encoder = Encoder(content.value, pattern)
+    decoder = Decoder(content.value) if decoded else None
+    for batch in batches:
+        for block in blocks(batch, "text"):
+            ids = encoder.encoded(["" if x is None else x for x in block.column("text").to_pylist()])
+            columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            if decoder:
+                columns.append(pa.array(decoder.decoded(ids), pa.binary()))
+            names = [*block.schema.names, *RESULTS[: len(columns)]]
+            yield pa.RecordBatch.from_arrays([*block.columns, *columns], names)
+
+
+def _decoded(batches, content):
+    decoder = Decoder(content.value)
+    for batch in batches:
+        for at in range(0, batch.num_rows, DECODED_ROWS):
+            rows = batch.slice(at, DECODED_ROWS)
+            texts = decoder.decoded([x or b"" for x in rows.column("ids").to_pylist()])
+            names = [*rows.schema.names, "decoded"]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.binary())], names)
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The documents with ``ids`` and ``n_tokens``."""
+def _content(frame: DataFrame, path: str):
     with open(path, "rb") as file:
-        content = docs.sparkSession.sparkContext.broadcast(file.read())
+        return frame.sparkSession.sparkContext.broadcast(file.read())
 
-    @F.pandas_udf("struct<ids: binary, n_tokens: long>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(content.value, pattern)
-        for texts in batches:
-            plain = ["" if text is None else text for text in texts]
-            ids = [x for part in _chunks(plain, CHUNK_BYTES) for x in encoder.encoded(part)]
-            yield pd.DataFrame({"ids": ids, "n_tokens": [len(x) // 4 for x in ids]})
 
-    out = packed(docs).withColumn("out", encoded("text"))
-    return unpacked(out, docs.columns, {name: F.col("out")[name] for name in ("ids", "n_tokens")})
+def _without(frame: DataFrame, names: list[str]) -> DataFrame:
+    return frame.select(*[F.col(quoted(name)) for name in frame.columns if name not in names])
+
+
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """The documents with ``ids`` and ``n_tokens``, and ``decoded``, the ids' bytes, if asked for."""
+    content = _content(docs, path)
+    results = RESULTS[: 2 + decoded]
+    given = _without(docs, results).withColumn("text", F.col("text").cast("string"))
+    types = [T.BinaryType(), T.LongType(), T.BinaryType()]
+    fields = [T.StructField(name, kind) for name, kind in zip(results, types)]
+    return given.mapInArrow(
+        lambda b: _coded(b, content, pattern, decoded), T.StructType([*given.schema.fields, *fields])
+    )
 
 
 def decode(frame: DataFrame, path: str) -> DataFrame:
     """The rows with ``decoded``, the bytes of ``ids``."""
-    with open(path, "rb") as file:
-        content = frame.sparkSession.sparkContext.broadcast(file.read())
-
-    @F.pandas_udf("binary")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decoder = Decoder(content.value)
-        for ids in batches:
-            given = [b"" if x is None else bytes(x) for x in ids]
-            parts = _chunks(given, CHUNK_BYTES)
-            yield pd.Series([x for part in parts for x in decoder.decoded(part)], dtype=object)
-
-    kept = [F.col(quoted(name)) for name in frame.columns if name != "decoded"]
-    return frame.select(*kept, decoded(F.col("ids")).alias("decoded"))
+    content = _content(frame, path)
+    given = _without(frame, ["decoded"])
+    fields = [*given.schema.fields, T.StructField("decoded", T.BinaryType())]
+    return given.mapInArrow(lambda b: _decoded(b, content), T.StructType(fields))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.byte_bpe import decode, encode
+from daybook.llm.byte_bpe import encode
 from daybook.llm.chat_format import format_chat, read_chat
 from daybook.llm.decontamination import leaks
 from daybook.llm.html_text import html_text
@@ -80,8 +80,8 @@ def op5_quality_rules(spark, sf_dir):
 
 def op6_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path(TOKENIZER)
-    encoded = encode(_texts(spark, sf_dir), path, public_tokenizers.PATTERN)
-    return decode(encoded, path).select(
+    texts = _texts(spark, sf_dir)
+    return encode(texts, path, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
