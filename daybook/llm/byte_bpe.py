@@ -226,12 +226,12 @@ class Decoder:
         return out
 
 
-def _coded(batches, content, pattern: str, decoded: bool):
+def _coded(batches, column: str, content, pattern: str, decoded: bool):
     encoder = Encoder(content.value, pattern)
     decoder = Decoder(content.value) if decoded else None
     for batch in batches:
-        for block in blocks(batch, "text"):
-            ids = encoder.encoded(["" if x is None else x for x in block.column("text").to_pylist()])
+        for block in blocks(batch, column):
+            ids = encoder.encoded(["" if x is None else x for x in block.column(column).to_pylist()])
             columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
             if decoder:
                 columns.append(pa.array(decoder.decoded(ids), pa.binary()))
@@ -239,12 +239,12 @@ def _coded(batches, content, pattern: str, decoded: bool):
             yield pa.RecordBatch.from_arrays([*block.columns, *columns], names)
 
 
-def _decoded(batches, content):
+def _decoded(batches, column: str, content):
     decoder = Decoder(content.value)
     for batch in batches:
         for at in range(0, batch.num_rows, DECODED_ROWS):
             rows = batch.slice(at, DECODED_ROWS)
-            texts = decoder.decoded([x or b"" for x in rows.column("ids").to_pylist()])
+            texts = decoder.decoded([x or b"" for x in rows.column(column).to_pylist()])
             names = [*rows.schema.names, "decoded"]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.binary())], names)
 
@@ -258,21 +258,26 @@ def _without(frame: DataFrame, names: list[str]) -> DataFrame:
     return frame.select(*[F.col(quoted(name)) for name in frame.columns if name not in names])
 
 
+def _mapped(frame: DataFrame, column: str, function, results: dict[str, T.DataType]) -> DataFrame:
+    """Applies a function of batches and a column's name; columns of any name pass through it."""
+    names = frame.columns
+    plain = frame.toDF(*[f"c{i}" for i in range(len(names))])
+    asked = f"c{names.index(column)}"
+    fields = [*plain.schema.fields, *[T.StructField(name, kind) for name, kind in results.items()]]
+    return plain.mapInArrow(lambda b: function(b, asked), T.StructType(fields)).toDF(*names, *results)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """The documents with ``ids`` and ``n_tokens``, and ``decoded``, the ids' bytes, if asked for."""
     content = _content(docs, path)
-    results = RESULTS[: 2 + decoded]
-    given = _without(docs, results).withColumn("text", F.col("text").cast("string"))
-    types = [T.BinaryType(), T.LongType(), T.BinaryType()]
-    fields = [T.StructField(name, kind) for name, kind in zip(results, types)]
-    return given.mapInArrow(
-        lambda b: _coded(b, content, pattern, decoded), T.StructType([*given.schema.fields, *fields])
-    )
+    results = dict(zip(RESULTS[: 2 + decoded], [T.BinaryType(), T.LongType(), T.BinaryType()]))
+    given = _without(docs, list(results)).withColumn("text", F.col("text").cast("string"))
+    return _mapped(given, "text", lambda b, text: _coded(b, text, content, pattern, decoded), results)
 
 
 def decode(frame: DataFrame, path: str) -> DataFrame:
     """The rows with ``decoded``, the bytes of ``ids``."""
     content = _content(frame, path)
-    given = _without(frame, ["decoded"])
-    fields = [*given.schema.fields, T.StructField("decoded", T.BinaryType())]
-    return given.mapInArrow(lambda b: _decoded(b, content), T.StructType(fields))
+    results = {"decoded": T.BinaryType()}
+    given = _without(frame, list(results))
+    return _mapped(given, "ids", lambda b, ids: _decoded(b, ids, content), results)
