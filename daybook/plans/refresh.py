@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook import schemas
@@ -52,39 +52,57 @@ def worklist(
 
 def add_quotes(
     spark: SparkSession, lake: Lake, responses: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS
-) -> datetime.date | None:
-    """Stores the usable quotes among ``responses``; returns the earliest date that changed.
+) -> DataFrame | None:
+    """Stores the usable quotes among ``responses``; returns where prices may differ now.
 
-    Only symbols the provider knows are taken, and only their partitions are rewritten.
+    That is ``symbol``, ``first`` and ``last``: from each new quote to the day of the next one of its
+    symbol, whose own price may be missing; ``last`` is NULL after the newest. Only symbols the provider
+    knows are taken, and only their partitions are rewritten. None if nothing changed.
     """
     symbols = list(coin_ids)
     stored = quotes_of(read_quotes(spark, lake.quotes), *symbols)
     fetched = quotes_of(response_quotes(responses), *symbols)
     merged = settled(merged_quotes(stored, fetched))
     had = stored.where(usable("price").isNotNull())
-    changed = merged.where(usable("price").isNotNull()).join(had, ["symbol", "date"], "left_anti")
-    earliest = changed.agg(F.min("date")).first()[0]
-    if earliest is not None:
-        store_quotes(merged, lake.quotes)
-    return earliest
+    following = F.lead("date").over(Window.partitionBy("symbol").orderBy("date"))
+    new = merged.withColumn("last", following).where(usable("price").isNotNull())
+    changed = settled(
+        new.join(had, ["symbol", "date"], "left_anti").select("symbol", F.col("date").alias("first"), "last")
+    )
+    if changed.isEmpty():
+        return None
+    store_quotes(merged, lake.quotes)
+    return changed
 
 
 def reprice(
     spark: SparkSession,
     lake: Lake,
-    since: datetime.date,
+    changed: DataFrame,
     but_not: Iterable[datetime.date] = (),
     coin_ids: Mapping[str, str] = COIN_IDS,
-) -> None:
-    """Values the metrics rows from ``since`` on again, without going back to the records.
+) -> list[datetime.date]:
+    """Values metrics rows again on the dates that have a symbol within a changed span.
 
-    The new rows are settled before any partition is replaced, as they are read from it.
+    The records are left alone. The new rows are settled before any partition is replaced, as they
+    are read from it. Returns the dates rewritten.
     """
-    rows = read_metrics(spark, lake.metrics).where(
-        (F.col("date") >= F.lit(since)) & ~F.col("date").isin(list(but_not))
+    metrics = read_metrics(spark, lake.metrics)
+    keys = metrics.select("currency_symbol", "date").distinct()
+    newest = keys.agg(F.max("date")).first()[0]
+    if newest is None:
+        return []
+    last = F.least(F.coalesce("last", F.lit(newest)), F.lit(newest))
+    days = changed.where(F.col("first") <= F.lit(newest)).select(
+        F.col("symbol").alias("currency_symbol"), F.explode(F.sequence("first", last)).alias("date")
     )
-    fresh = settled(repriced(rows, read_quotes(spark, lake.quotes), coin_ids))
-    replace_partitions(as_table(fresh, schemas.METRICS), lake.metrics, "date")
+    touched = keys.join(days.distinct(), ["currency_symbol", "date"]).select("date").distinct()
+    dates = sorted({row.date for row in touched.collect()} - set(but_not))
+    if dates:
+        rows = metrics.where(F.col("date").isin(dates))
+        fresh = settled(repriced(rows, read_quotes(spark, lake.quotes), coin_ids))
+        replace_partitions(as_table(fresh, schemas.METRICS), lake.metrics, "date")
+    return dates
 
 
 def apply_valuations(spark: SparkSession, lake: Lake, valuations: DataFrame) -> None:
@@ -114,7 +132,7 @@ def refresh(
 
     The records are read and parsed once: both tables come from the settled group volumes.
     """
-    earliest = add_quotes(spark, lake, responses, coin_ids) if responses is not None else None
+    changed = add_quotes(spark, lake, responses, coin_ids) if responses is not None else None
     dates = None if dates is None else [day for day in dates if day is not None]
     # Records without a date are read along: one whose date cannot be read stops the job.
     asked = None if dates is None else [*dates, None]
@@ -130,8 +148,8 @@ def refresh(
     if dates is not None:
         _empty_others(with_keys(volumes, *PROJECT_KEY), lake.project_metrics, schemas.PROJECT_METRICS, dates)
         _empty_others(with_keys(volumes, *schemas.METRICS_KEY), lake.metrics, schemas.METRICS, dates)
-    if dates is not None and earliest is not None:
-        reprice(spark, lake, earliest, but_not=dates, coin_ids=coin_ids)
+    if dates is not None and changed is not None:
+        reprice(spark, lake, changed, but_not=dates, coin_ids=coin_ids)
     lake.publish(spark)
 
 

@@ -133,6 +133,28 @@ def test_new_quotes_reach_later_dates(spark, lake, deliveries):
     assert state(spark, lake) == partial
 
 
+def test_a_late_quote_rewrites_the_days_up_to_the_next_one(spark, lake):
+    from datetime import date
+
+    days = [date(2024, 5, n) for n in range(1, 9)]
+    records = [record(str(day), 2, symbol='"SFL"') for day in days]
+    records += [record(str(day), 2, symbol='"MATIC"') for day in days[6:]]
+    land(spark.createDataFrame(records, schemas.RAW), lake.bronze, "a")
+    store_quotes(spark.createDataFrame([("SFL", days[4], 0.5)], schemas.QUOTES), lake.quotes)
+    refresh(spark, lake)
+
+    def files():
+        rows = read_metrics(spark, lake.metrics).select("date", "_metadata.file_path").collect()
+        return {(r.date, r.file_path) for r in rows}
+
+    before = files()
+    responses = spark.createDataFrame([response("SFL", days[2], 0.25)], schemas.RESPONSES)
+    refresh(spark, lake, dates=[], responses=responses)
+    assert {day for day, _ in files() - before} == set(days[2:5])
+    seen = by_key(spark, lake)
+    assert [seen[day, "SFL", 7][2] for day in days] == [None, None, 0.25, 0.25, 0.5, 0.5, 0.5, 0.5]
+
+
 def test_late_records_land_in_their_date(spark, lake, deliveries, tmp_path):
     initial_load(spark, deliveries, lake)
     refresh(spark, lake)
