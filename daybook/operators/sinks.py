@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from daybook import schemas
 from daybook.functions.dates import wall_clock_date
 from daybook.operators.quote_store import one_quote_a_day
-from daybook.session import matching
+from daybook.session import empty_folder, matching
 from daybook.sources.transactions import NO_VALUE, read_landed
 
 
@@ -48,14 +48,12 @@ def replace_table(frame: DataFrame, path: str, *columns: str) -> None:
 
 
 def empty_partitions(
-    spark: SparkSession, path: str, schema: str, partitions: Iterable[Mapping[str, object]]
+    spark: SparkSession, path: str, partitions: Iterable[Mapping[str, object]]
 ) -> None:
-    """Leaves the given partitions without rows."""
+    """Leaves the given partitions without rows; their folders stay, as a catalog may list them."""
     for values in partitions:
         folder = "/".join(f"{name}={NO_VALUE if x is None else x}" for name, x in values.items())
-        rest = [name for name in StructType.fromDDL(schema).names if name not in values]
-        nothing = _no_rows(spark, schema).select(*rest).coalesce(1)
-        nothing.write.mode("overwrite").parquet(f"{path}/{folder}")
+        empty_folder(spark, f"{path}/{folder}")
 
 
 def land(
@@ -86,7 +84,7 @@ def land(
         replace_partitions(dated, path, "date", "batch", gather=gather)
         dates = {*seen.get["dates"], *([None] if seen.get["undated"] else [])}
     gone = [{"date": day, "batch": batch} for day in former - dates]
-    empty_partitions(spark, path, schemas.BRONZE, gone)
+    empty_partitions(spark, path, gone)
     return sorted(former | dates, key=lambda day: (day is not None, day))
 
 

@@ -172,4 +172,4 @@ def _empty_others(
     if left:
         table = spark.read.schema(schema).parquet(path).where(F.col("date").isin(list(left)))
         stale = [{"date": row.date} for row in table.select("date").distinct().collect()]
-        empty_partitions(spark, path, schema, stale)
+        empty_partitions(spark, path, stale)

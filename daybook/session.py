@@ -47,3 +47,11 @@ def matching(spark: SparkSession, pattern: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(system.globStatus(path))
+
+
+def empty_folder(spark: SparkSession, path: str) -> None:
+    """Leaves a folder without files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(folder, True)
+    system.mkdirs(folder)
