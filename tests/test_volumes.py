@@ -168,7 +168,7 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         '7,"{""currencyValueDecimal"":""1.5""}",2024-04-15 01:00:00,"two\nlines",12,'
         '"{""currencySymbol"":""US,DC""}"\n'
     )
-    row = extract(read_transactions(spark, str(tmp_path))).first()
+    row = extract(read_transactions(spark, str(tmp_path), multi_line=True)).first()
     assert tuple(row) == (datetime.date(2024, 4, 15), 12, "US,DC", 1.5)
 
 
@@ -185,6 +185,6 @@ def test_torn_records_do_not_pass(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         'ts,project_id,note,props,nums\n2024-04-15,1,"two\nlines",{},{}\n2024-04-15,2,x,{},{}\n'
     )
-    assert extract(read_transactions(spark, str(tmp_path))).count() == 2
+    assert extract(read_transactions(spark, str(tmp_path), multi_line=True)).count() == 2
     with pytest.raises(PySparkException):
-        extract(read_transactions(spark, str(tmp_path), multi_line=False)).collect()
+        extract(read_transactions(spark, str(tmp_path))).collect()
