@@ -7,13 +7,14 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from daybook.llm import byte_bpe, chat_format, quality_rules, url_filter
-from daybook.llm.decontamination import common_subsequence, decontaminated, leaks
+from daybook.llm.decontamination import _chosen_passages, common_subsequence, decontaminated, leaks
 from daybook.llm.html_text import html_text, main_text
 from daybook.llm.queries import URL_RULES
 
@@ -303,3 +304,46 @@ def test_leaks(spark, no_docs):
     assert kept == {i for i, _ in docs} - {i for i, _ in truth}
     assert decontaminated(frame, bench.limit(0)).count() == len(docs)
     assert leaks(no_docs, bench).count() == 0
+
+
+def test_fit_passages_are_drawn_evenly():
+    """Far more passages than the fit takes, most of them starting with the same word."""
+    draw = np.random.default_rng(5)
+    names = np.array(["de", *(f"w{i}" for i in range(400))])
+    share = np.array([0.6, *[0.001] * 400])
+    texts = [" ".join(draw.choice(names, 400, p=share)) for _ in range(600)]
+    ids = draw.integers(-(2**63), 2**63, (2, len(texts)), dtype=np.int64)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(ids[0]), pa.array(ids[1]), pa.array(texts)], ["doc_id", "key", "text"]
+    )
+    total = 47 * len(texts)
+    for wanted in (500, 3000):
+        drawn = [x for part in _chosen_passages([batch], wanted / total) for x in part["words"].to_pylist()]
+        assert abs(len(drawn) - wanted) < 5 * wanted**0.5
+        starts = [words[0] for words in drawn]
+        assert len(set(starts)) > 100
+        assert 0.5 < max(map(starts.count, set(starts))) / len(drawn) < 0.7
+
+
+def test_leaks_in_a_corpus_above_the_fit(spark):
+    """Items verbatim and paraphrased, in ten times the passages that the fit takes."""
+    draw = random.Random(4)
+    names = ["de"] * 3000 + [f"w{i}" for i in range(2000) for _ in range(1 + 2000 // (i + 1))]
+    word = lambda: draw.choice(names)
+    items = [" ".join(f"w{draw.randrange(2000)}" for _ in range(draw.randint(20, 40))) for _ in range(60)]
+    docs, truth = [], set()
+    for doc_id in range(300):
+        words = [word() for _ in range(1600)]
+        if doc_id % 2:
+            part = items[doc_id % 60].split()
+            if doc_id % 4 == 1:
+                part = [word() if i % 9 == 4 else w for i, w in enumerate(part)]
+            words[700:700] = part
+            truth.add((doc_id, doc_id % 60))
+        docs.append((doc_id, " ".join(words)))
+    docs += [(None, docs[0][1])] * 50  # repeated rows
+    found = leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(list(enumerate(items)), "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == truth
