@@ -347,3 +347,57 @@ def test_leaks_in_a_corpus_above_the_fit(spark):
         spark.createDataFrame(list(enumerate(items)), "item_id long, text string"),
     )
     assert {(r.doc_id, r.item_id) for r in found.collect()} == truth
+
+
+def plainly_matched(item, words):
+    """The rule for a match in every stretch, the item being one sentence."""
+    n = len(item)
+    stretch = n + -(-n // 2)
+    answer = item[max(n - 8, 0) :]
+    for start in range(max(len(words) - stretch, 0) + 1):
+        part = words[start : start + stretch]
+        if not set(item) & set(part):
+            continue
+        found = plain_subsequence(item, part)
+        if found >= 0.8 * n or (found >= 0.6 * n and plain_subsequence(answer, part) == len(answer)):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("with_long", [False, True])
+def test_leaks_of_short_items(spark, with_long):
+    draw = random.Random(12)
+    word = lambda: f"w{draw.randrange(600)}"
+    sizes = [*range(1, 17)] * 2
+    items = [" ".join(word() for _ in range(n)) for n in sizes]
+    items.append("w77 w78 w77 w79 w77")  # a word more than once
+    docs = [(900, "w1"), (901, items[0]), (902, items[9])]
+    for doc_id in range(150):
+        words = [word() for _ in range(draw.randint(200, 300))]
+        part = items[doc_id % len(items)].split()
+        if doc_id % 3 == 1:  # enough of the words, or just too few
+            for _ in range(draw.randint(1, 3)):
+                part[draw.randrange(len(part))] = word()
+        if doc_id % 3 == 2:
+            part.insert(draw.randrange(len(part) + 1), word())
+        at = draw.choice([0, len(words), draw.randrange(len(words))])
+        words[at:at] = part
+        docs.append((doc_id, " ".join(words)))
+    truth = {
+        (doc_id, n)
+        for doc_id, text in docs
+        for n, item in enumerate(items)
+        if plainly_matched(item.split(), text.split())
+    }
+    assert len(truth) > 120
+    asked = list(enumerate(items))
+    if with_long:
+        asked.append((500, " ".join(f"x{i}" for i in range(30))))
+        docs.append((500, "w1 w2 " * 100 + asked[-1][1]))
+        truth.add((500, 500))
+        truth |= {(500, n) for n, x in enumerate(items) if plainly_matched(x.split(), docs[-1][1].split())}
+    found = leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(asked, "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == truth
