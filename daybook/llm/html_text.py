@@ -8,8 +8,12 @@ outermost ``article`` or ``main``, else the nearest enclosing container. Where a
 main region is selected, no other is.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are never lines, by their tag or by a word of their class, id or role. A header inside an
-article or main is the article's own and stays.
+are never lines, by their tag or by a word of their class, id or role. A class or role
+counts by its first or last part between hyphens and underscores, unless ``with``, ``no``, ``has`` or
+the like is before it. An id, often made from a heading, counts if all its parts are such words or
+words for boxes. Headings, articles, mains and the elements that hold one are not left out by a
+word; only lists of comments and of related pages may hold articles and go, unless nothing else is left.
+A header inside an article or main is the article's own and stays.
 
 Character references are decoded, white space in a block becomes one space, blocks are trimmed, empty
 ones left out, and the rest joined by line breaks. ``br`` is white space. Null and empty html
@@ -52,34 +56,66 @@ LEFT_OUT_WORDS = frozenset(
     "related recommended comment comments disqus replies toolbar pagination pager copyright "
     "complementary contentinfo".split()
 )
+#: Of these, what may be a list of articles.
+LISTS_OF_ARTICLES = frozenset("related recommended comment comments disqus replies".split())
+#: Before a word, these say what an element has or lacks, not what it is.
+HAVING = frozenset("with without no not has have hide hidden show".split())
+#: Parts that leave an id what it is.
+BOX_WORDS = frozenset(
+    "area bar block blocks bottom box button buttons col column container content div footer form google gpt "
+    "group header icons inner item items left links list main outer page panel post posts primary right "
+    "row secondary section site slot top unit widget widgets wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Open tags of these end when another of them starts.
 SIBLINGS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 
 
+def _names(attrs) -> set[str]:
+    """The words by which an element says what it is."""
+    names = set()
+    for name, value in attrs:
+        if not value or name not in ("class", "id", "role"):
+            continue
+        for token in value.lower().split():
+            parts = [part for part in re.split(r"[_-]+", token) if part]
+            if name == "id":
+                rest = [x for x in parts if x not in LEFT_OUT_WORDS and not x.isdigit()]
+                if all(x in BOX_WORDS for x in rest):
+                    names.update(parts)
+            elif parts and HAVING.isdisjoint(parts[:-1]):
+                names.update((parts[0], parts[-1]))
+    return names
+
+
 class _Lines(HTMLParser):
-    """Lines of text with their number of tags and region."""
+    """Lines of text with their number of tags, region and marks."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, left out, region
+        # tag, left out, region, marks of elements that words name
+        self.open: list[tuple[str, bool, int, tuple[int, ...]]] = []
         self.regions: list[bool] = [False]  # whether an article
-        self.lines: list[tuple[str, int, int]] = []
+        # whether left out, whether an article was in it, whether it may be a list of articles
+        self.marks: list[tuple[bool, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.parts: list[str] = []
         self.tags = 0
 
-    def _state(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, 0)
+    def _state(self) -> tuple[bool, int, tuple[int, ...]]:
+        return self.open[-1][1:] if self.open else (False, 0, ())
 
     def end_line(self):
-        left_out, region = self._state()
+        left_out, region, marks = self._state()
         text = " ".join("".join(self.parts).split())
         if text and not left_out:
-            self.lines.append((text, self.tags, region))
+            self.lines.append((text, self.tags, region, marks))
             self.tags = 0
         self.parts = []
 
     def _pop(self, at: int):
-        if any(tag in BLOCKS or out != self._state()[0] for tag, out, _ in self.open[at:]):
+        now = self._state()
+        if any(tag in BLOCKS or (out, marks) != (now[0], now[2]) for tag, out, _, marks in self.open[at:]):
             self.end_line()
         del self.open[at:]
 
@@ -98,23 +134,25 @@ class _Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        outside, region = self._state()
-        words = {
-            word
-            for name, value in attrs
-            if value and name in ("class", "id", "role")
-            for word in re.split(r"[\s_-]+", value.lower())
-        }
+        outside, region, marks = self._state()
         in_article = self.regions[region]
-        left_out = tag in LEFT_OUT or (words and not words.isdisjoint(LEFT_OUT_WORDS))
-        left_out = left_out or (not in_article and (tag == "header" or "header" in words))
-        left_out = bool(left_out) and tag not in ("html", "body")
-        if left_out and not outside:
+        left_out = tag in LEFT_OUT or (tag == "header" and not in_article)
+        left_out = left_out and tag not in ("html", "body")
+        if tag in ARTICLES and not outside:
+            for mark in marks:  # an element that holds it is left out at most as a list of articles
+                kept = tag == "main" or not self.marks[mark][0] or not self.marks[mark][2]
+                self.marks[mark] = (not kept, True, self.marks[mark][2])
+        words = set() if tag in ARTICLES or tag in HEADINGS or tag in ("html", "body") else _names(attrs)
+        named = words & LEFT_OUT_WORDS
+        if named or ("header" in words and not in_article):
+            marks = (*marks, len(self.marks))
+            self.marks.append((True, False, not named.isdisjoint(LISTS_OF_ARTICLES)))
+        if (left_out or marks != self._state()[2]) and not outside:
             self.end_line()
         if tag in CONTAINERS and not in_article:
             self.regions.append(tag in ARTICLES)
             region = len(self.regions) - 1
-        self.open.append((tag, outside or left_out, region))
+        self.open.append((tag, outside or left_out, region, marks))
 
     def handle_startendtag(self, tag, attrs):
         self.tags += 1
@@ -136,6 +174,20 @@ class _Lines(HTMLParser):
         self.parts.append(data)
 
 
+def _kept(parser: _Lines) -> list[tuple[str, int, int]]:
+    """The lines outside elements left out by a word; the next line counts the tags of these."""
+    for gone in ({n for n, x in enumerate(parser.marks) if x[0]}, {n for n, x in enumerate(parser.marks) if x[0] and not x[1]}):
+        lines, waiting = [], 0
+        for text, tags, region, marks in parser.lines:
+            waiting += tags
+            if gone.isdisjoint(marks):
+                lines.append((text, waiting, region))
+                waiting = 0
+        if lines:
+            break
+    return lines
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """Gaussian smoothing; the kernel is cut at the ends and its weights add to one."""
     kernel = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
@@ -148,14 +200,15 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     parser.end_line()
-    if not parser.lines:
+    lines = _kept(parser)
+    if not lines:
         return ""
-    ratios = smoothed(np.array([len(text) / max(tags, 1) for text, tags, _ in parser.lines]))
+    ratios = smoothed(np.array([len(text) / max(tags, 1) for text, tags, _ in lines]))
     threshold = min(ratios.std(), ratios.max())
-    chosen = {line[2] for line, ratio in zip(parser.lines, ratios) if ratio >= threshold}
+    chosen = {line[2] for line, ratio in zip(lines, ratios) if ratio >= threshold}
     articles = {region for region in chosen if parser.regions[region]}
     chosen = articles or chosen
-    return "\n".join(text for text, _, region in parser.lines if region in chosen)
+    return "\n".join(text for text, _, region in lines if region in chosen)
 
 
 def _main_texts(pages: pd.Series) -> pd.Series:

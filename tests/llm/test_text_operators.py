@@ -110,6 +110,31 @@ def test_main_text():
     assert len(main_text("<article>" + "<p>word</p>" * 5000 + "</article>")) == 5000 * 5 - 1
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<main class="content with-sidebar"><p>abc</p></main>', "abc"),
+        ('<div id="content" class="no-sidebar"><p>abc</p></div>', "abc"),
+        ('<div id="content" class="wide with_header"><p>abc</p></div>', "abc"),
+        ('<article class="post has-comments"><p>abc</p></article>', "abc"),
+        ('<article id="comments" class="ad">abc</article>', "abc"),
+        ('<article><h2 id="related-work">Related</h2><p>abc</p></article>', "Related\nabc"),
+        ('<article><p>abc</p><section id="social-history">def</section></article>', "abc\ndef"),
+        ('<article><h2 id="copyright-law" class="menu">Law</h2>abc</article>', "Law\nabc"),
+        ('<div class="page sidebar">x<article><p>abc</p></article></div>', "abc"),
+        ('<div class="comments"><main>abc</main></div>', "abc"),
+        ('<div class="comments"><article>abc</article></div>', "abc"),
+        ('<main>abc</main><div class="comments"><article>x</article></div>', "abc"),
+        ('<div class="text">abc</div><div id="comments"><article>x</article></div>', "abc"),
+        ('<article>abc<div class="ad">x</div><div id="ad-3">x</div><p class="cookie-banner">x</p></article>', "abc"),
+        ('<div>abc</div><div class="top-menu">x</div><div class="site-footer">x</div><div id="main-header">x</div>', "abc"),
+        ('<div>abc</div><div class="sidebar-left">x</div><div id="related-posts">x</div><div role="navigation">x</div>', "abc"),
+    ],
+)
+def test_main_text_left_out_by_words(html, text):
+    assert main_text(f"<html><body>{html}</body></html>") == text
+
+
 def test_html_text(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
