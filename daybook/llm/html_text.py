@@ -3,9 +3,10 @@
 The standard library's parser reports tags and text; block-level tags cut the text into lines
 (blocks). Each line has a ratio of text length to tags. Ratios are smoothed with a Gaussian
 kernel, and lines at or above the standard deviation of all (at most their maximum) are
-content. The regions that hold content lines are selected, and every line of theirs is text: an
-outermost ``article`` or ``main``, else the nearest enclosing container. Where an article or
-main region is selected, no other is.
+content. The regions that hold content lines are looked up: an outermost ``article`` or ``main``,
+else the nearest enclosing container. The nearest container that encloses them all, or the parent
+of a lone article or section, is selected with every line in it, however short its sections. Where an
+article or main region holds content lines, only the articles and mains in that container are text.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
 are never lines, by their tag or by a word of their class, id or role. A class or role
@@ -96,6 +97,8 @@ class _Lines(HTMLParser):
         # tag, left out, region, marks of elements that words name
         self.open: list[tuple[str, bool, int, tuple[int, ...]]] = []
         self.regions: list[bool] = [False]  # whether an article
+        self.tags_of: list[str] = [""]
+        self.parents: list[int] = [0]
         # whether left out, whether an article was in it, whether it may be a list of articles
         self.marks: list[tuple[bool, bool, bool]] = []
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
@@ -151,6 +154,8 @@ class _Lines(HTMLParser):
             self.end_line()
         if tag in CONTAINERS and not in_article:
             self.regions.append(tag in ARTICLES)
+            self.tags_of.append(tag)
+            self.parents.append(region)
             region = len(self.regions) - 1
         self.open.append((tag, outside or left_out, region, marks))
 
@@ -188,6 +193,38 @@ def _kept(parser: _Lines) -> list[tuple[str, int, int]]:
     return lines
 
 
+def _around(parser: _Lines, region: int) -> list[int]:
+    """The region and those that enclose it, from the outermost one."""
+    found = [region]
+    while found[-1]:
+        found.append(parser.parents[found[-1]])
+    return found[::-1]
+
+
+def _selected(parser: _Lines, chosen: set[int]) -> set[int]:
+    """All regions of the container that encloses the chosen ones; articles only, if one is chosen."""
+    articles = {region for region in chosen if parser.regions[region]}
+    chosen = articles or chosen
+    paths = [_around(parser, region) for region in chosen]
+    common = [level[0] for level in zip(*paths) if len(set(level)) == 1]
+    top = common[-1]
+    alone = top in chosen and parser.tags_of[top] in ("article", "main", "section")
+    if alone:  # others of its kind beside it belong to it
+        top = parser.parents[top]
+    kinds = ARTICLES if articles else {"section"}
+    inside = {top}
+    found = set() if alone else {top}
+    for region in range(1, len(parser.regions)):  # parents come first
+        parent = parser.parents[region]
+        if parent not in inside:
+            continue
+        if alone and parent == top and parser.tags_of[region] not in kinds:
+            continue
+        inside.add(region)
+        found.add(region)
+    return {region for region in found if parser.regions[region]} if articles else found
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """Gaussian smoothing; the kernel is cut at the ends and its weights add to one."""
     kernel = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
@@ -206,9 +243,8 @@ def main_text(html: str | None) -> str:
     ratios = smoothed(np.array([len(text) / max(tags, 1) for text, tags, _ in lines]))
     threshold = min(ratios.std(), ratios.max())
     chosen = {line[2] for line, ratio in zip(lines, ratios) if ratio >= threshold}
-    articles = {region for region in chosen if parser.regions[region]}
-    chosen = articles or chosen
-    return "\n".join(text for text, _, region in lines if region in chosen)
+    selected = _selected(parser, chosen)
+    return "\n".join(text for text, _, region in lines if region in selected)
 
 
 def _main_texts(pages: pd.Series) -> pd.Series:

@@ -135,6 +135,45 @@ def test_main_text_left_out_by_words(html, text):
     assert main_text(f"<html><body>{html}</body></html>") == text
 
 
+def sections(tag, *parts):
+    """Regions with a heading and so many paragraphs of so many characters, and their text."""
+    html, lines = "", []
+    for number, (count, size) in enumerate(parts):
+        own = [f"Part {number}", *[("word " * size)[: size - 1] + "." for _ in range(count)]]
+        html += f"<{tag}><h2>{own[0]}</h2>" + "".join(f"<p>{x}</p>" for x in own[1:]) + f"</{tag}>"
+        lines += own
+    return html, "\n".join(lines)
+
+
+@pytest.mark.parametrize("tag", ["section", "div", "article"])
+@pytest.mark.parametrize(
+    "parts",
+    [
+        [(5, 800), (4, 80), (5, 800)],
+        [(5, 800), (4, 120), (5, 800)],
+        [(5, 800), (1, 20), (1, 20), (2, 40), (5, 800)],
+    ],
+)
+def test_short_sections_between_long_ones_stay(tag, parts):
+    html, text = sections(tag, *parts)
+    page = f'<html><body><nav>x</nav><div id="page">{html}</div><div class="ad">x</div><footer>x</footer></body></html>'
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["section", "article"])
+@pytest.mark.parametrize("parts", [[(5, 800), (2, 40)], [(2, 40), (5, 800)], [(1, 10), (9, 800), (1, 10)]])
+def test_short_sections_beside_one_long_section_stay(tag, parts):
+    html, text = sections(tag, *parts)
+    page = f'<html><body><div class="top-menu">x</div><div>Home</div><div>{html}</div></body></html>'
+    assert main_text(page) == text
+
+
+def test_table_cells_stay():
+    rows = "".join(f"<tr><td>{n}</td><td>{'text ' * 200}</td></tr>" for n in range(5))
+    found = main_text(f"<body><div>Home</div><table>{rows}</table></body>").split("\n")
+    assert {str(n) for n in range(5)} <= set(found)
+
+
 def test_html_text(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
