@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from daybook.llm import byte_bpe, chat_format, quality_rules, url_filter
 from daybook.llm.decontamination import _chosen_passages, common_subsequence, decontaminated, leaks
@@ -86,6 +87,15 @@ def test_quality_counts(spark, odd_docs, no_docs):
     assert quality_rules.quality_rules(no_docs, none).count() == 0
 
 
+def test_fit_uses_4000_labelled_rows(spark):
+    """The only good rows come after 3000 others in the order by which rows are chosen."""
+    ids = [r.doc_id for r in spark.range(4000).selectExpr("id doc_id").orderBy(F.xxhash64("doc_id")).collect()]
+    rows = [(doc_id, int(n >= 3000), "good words" if n >= 3000 else "bad text") for n, doc_id in enumerate(ids)]
+    frame = spark.createDataFrame(rows, "doc_id long, quality int, text string")
+    weights, *_ = quality_rules.trained(frame.select("doc_id", "text"), frame.select("doc_id", "quality"))
+    assert len(weights) == quality_rules.FEATURES
+
+
 # --- pages ----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
