@@ -20,7 +20,7 @@ from daybook import schemas
 from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.numbers import number
 from daybook.operators import pricing, quality, quote_store, reports, volumes
-from daybook.operators.extraction import read_fields
+from daybook.operators.extraction import extract_with_rejects
 from daybook.operators.sinks import (
     append_rows,
     as_table,
@@ -146,10 +146,16 @@ def rejected_records(spark, sf_dir):
             ).otherwise(F.col("nums")),
         }
     )
-    problem = F.coalesce("problem", F.lit("none")).alias("problem")
-    amount = F.when(F.col("problem").isNull(), F.col("amount"))
+    readable, rejects = extract_with_rejects(spoiled, once=True)
+    records = readable.select("project_id", F.lit("none").alias("problem"), "amount").unionByName(
+        rejects.select(
+            F.col("project_id").try_cast("bigint").alias("project_id"),
+            "problem",
+            F.lit(None).cast("double").alias("amount"),
+        )
+    )
     counts = {"records": F.count("*")}
-    return summed(read_fields(spoiled), ("project_id", problem), amount, "amount", counts)
+    return summed(records, ("project_id", "problem"), "amount", "amount", counts)
 
 
 def daily_project_metrics(spark, sf_dir):

@@ -10,6 +10,7 @@ from daybook.constants import AMOUNT_KEY, DEFAULT_AMOUNT, DEFAULT_SYMBOL, SYMBOL
 from daybook.functions.dates import wall_clock_date
 from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.numbers import number
+from daybook.session import settled
 
 
 def read_fields(transactions: DataFrame) -> DataFrame:
@@ -57,13 +58,18 @@ def extract(transactions: DataFrame) -> DataFrame:
     )
 
 
-def extract_with_rejects(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def extract_with_rejects(transactions: DataFrame, once: bool = False) -> tuple[DataFrame, DataFrame]:
     """Readable records as ``extract`` gives them, and the others unchanged with the problem.
 
+    With ``once`` the parsed records are settled first, so that using both frames reads and parses
+    once; else each frame reads and parses on its own when it is used.
+
     Each record is unfolded from a list of one or none. A filter on ``problem`` would be moved
     below the parsing and repeat it for every mention of a parsed column.
     """
     fields = read_fields(transactions)
+    if once:
+        fields = settled(fields)
     columns = ("date", "project_id", "currency_symbol", "amount")
     readable = F.when(F.col("problem").isNull(), F.array(F.struct(*columns)))
     unreadable = F.when(

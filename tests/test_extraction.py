@@ -194,3 +194,40 @@ def test_no_filter_repeats_the_parsing(spark, tmp_path):
 def test_problem_is_the_first(spark):
     fields = read_fields(one(spark, ts="x", props="{", nums="["))
     assert fields.first().problem == "ts"
+
+
+def test_both_frames_of_one_parse(spark, tmp_path):
+    good = ("2024-04-15", "1", GOOD_PROPS, GOOD_NUMS)
+    bad = ("2024-04-15", "2", "{bad", GOOD_NUMS)
+    records(spark, good, bad, good).write.parquet(str(tmp_path / "raw"))
+    readable, rejects = extract_with_rejects(spark.read.parquet(str(tmp_path / "raw")), once=True)
+    for frame in (readable, rejects):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "FileScan" not in plan
+    assert [tuple(row) for row in readable.collect()] == [(datetime.date(2024, 4, 15), 1, "SFL", 0.5)] * 2
+    assert [tuple(row) for row in rejects.collect()] == [(*bad, "props")]
+
+
+def test_rejected_records_uses_the_operator(spark, monkeypatch):
+    import __spark_entry__
+
+    calls = []
+
+    def seen(frame, once=False):
+        calls.append(once)
+        return extract_with_rejects(frame, once)
+
+    monkeypatch.setattr(__spark_entry__, "extract_with_rejects", seen, raising=False)
+    monkeypatch.setattr(__spark_entry__, "_events", lambda *_: None)
+    monkeypatch.setattr(
+        __spark_entry__,
+        "event_records",
+        lambda *_, **__: records(
+            spark,
+            ("2024-04-15", "1", GOOD_PROPS, GOOD_NUMS),
+            ("2024-04-15", "1", '{"currencySymbol":"WETH"}', GOOD_NUMS),
+        ),
+    )
+    rows = {(r.project_id, r.problem, r.records, r.amount) for r in __spark_entry__.rejected_records(spark, "").collect()}
+    assert rows == {(1, "none", 1, 0.5), (1, "amount", 1, None)}
+    assert calls == [True]
