@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from daybook.llm.byte_bpe import encode
 from daybook.llm.chat_format import format_chat, read_chat
 from daybook.llm.decontamination import leaks
+from daybook.llm.hard_negatives import hard_negatives
 from daybook.llm.html_text import html_text
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_duplicates
@@ -121,6 +122,13 @@ def op10_chat_format(spark, sf_dir):
     )
 
 
+def op13_hard_negatives(spark, sf_dir):
+    """Every seventh label is moved on by one, so that labels and vectors disagree there."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -134,6 +142,7 @@ QUERIES = {
         op8_url_filter,
         op9_decontamination,
         op10_chat_format,
+        op13_hard_negatives,
     )
 }
 
@@ -245,4 +254,27 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(len(role) + len(text) + 24
                 + CASE WHEN hard THEN marks + 5 * breaks ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM shown GROUP BY conv_id""",
+    "op13_hard_negatives": """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
 }
