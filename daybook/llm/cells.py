@@ -96,27 +96,24 @@ def against_all(
 
 
 class Best:
-    """The ``k`` best entries of each group, by score, then by the smaller id."""
+    """The ``k`` best entries of each group, by score, then by the smaller id, then key."""
 
     def __init__(self, groups: int, k: int):
         self.k = k
-        self.group = np.zeros(0, np.int64)
-        self.score = np.zeros(0, np.int64)
-        self.id = np.zeros(0, np.int64)
+        self.group, self.score, self.id, self.key = (np.zeros(0, np.int64) for _ in range(4))
         self.lowest = np.full(groups, np.iinfo(np.int64).min)  # below it nothing enters
 
-    def offer(self, group: np.ndarray, score: np.ndarray, id_: np.ndarray) -> None:
+    def offer(self, group: np.ndarray, score: np.ndarray, ids: np.ndarray, keys: np.ndarray | None = None) -> None:
         if not len(group):
             return
-        group, score, id_ = (
-            np.concatenate(pair) for pair in ((self.group, group), (self.score, score), (self.id, id_))
-        )
-        order = np.lexsort((id_, -score, group))
-        sorted_group = group[order]
-        starts = np.flatnonzero(np.concatenate([[True], sorted_group[1:] != sorted_group[:-1]]))
-        sizes = np.diff(np.append(starts, len(order)))
-        place = np.arange(len(order)) - np.repeat(starts, sizes)
+        keys = np.zeros(len(group), np.int64) if keys is None else keys
+        held = (self.group, self.score, self.id, self.key)
+        group, score, ids, keys = (np.concatenate(x) for x in zip(held, (group, score, ids, keys)))
+        order = np.lexsort((keys, ids, -score, group))
+        in_order = group[order]
+        starts = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
+        place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
         kept = order[place < self.k]
-        self.group, self.score, self.id = group[kept], score[kept], id_[kept]
+        self.group, self.score, self.id, self.key = (x[kept] for x in (group, score, ids, keys))
         last = order[place == self.k - 1]
         self.lowest[group[last]] = score[last]

@@ -18,9 +18,13 @@ from daybook.llm.html_text import html_text
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_duplicates
 from daybook.llm.quality_rules import COUNTS, quality_rules
+from daybook.llm.ranked_search import ranked_search
+from daybook.llm.rows import stored
 from daybook.llm.substring_dedup import substring_dedup
 from daybook.llm.suffix_dedup import suffix_dedup
 from daybook.llm.url_filter import Rule, labelled, url_filter
+from daybook.llm.warc import dangling, page_id, read_warc, write_warc
+from daybook.session import scratch_dir
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -122,6 +126,27 @@ def op10_chat_format(spark, sf_dir):
     )
 
 
+def op11_warc(spark, sf_dir):
+    """All pages written as archives and read back; every revisit must refer to a record that was read."""
+    path = f"{scratch_dir(spark)}/archives"
+    write_warc(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    records = stored(read_warc(spark, path, payloads=False).where("record_type in ('response', 'revisit')"))
+    if not dangling(records).isEmpty():
+        raise ValueError("a revisit refers to a payload that is not in the archives")
+    return records.select(
+        page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_id("refers_to").alias("refers_to"),
+    )
+
+
+def op12_ranked_search(spark, sf_dir):
+    items = _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return ranked_search(_texts(spark, sf_dir), items).select("item_id", "rank", "doc_id", "score")
+
+
 def op13_hard_negatives(spark, sf_dir):
     """Every seventh label is moved on by one, so that labels and vectors disagree there."""
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
@@ -142,6 +167,8 @@ QUERIES = {
         op8_url_filter,
         op9_decontamination,
         op10_chat_format,
+        op11_warc,
+        op12_ranked_search,
         op13_hard_negatives,
     )
 }
@@ -254,6 +281,60 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(len(role) + len(text) + 24
                 + CASE WHEN hard THEN marks + 5 * breaks ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM shown GROUP BY conv_id""",
+    "op11_warc": """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+),
+described AS (
+  SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest
+  FROM payloads
+),
+shared AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM described
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM shared""",
+    "op12_ranked_search": r"""
+WITH terms AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+totals AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM terms),
+lengths AS (
+  SELECT doc_id, w, 100 - 75 + (75 * CAST(len(w) AS BIGINT) * t.docs) // t.terms AS m
+  FROM terms, totals t WHERE len(w) > 0
+),
+counted AS (
+  SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(w) AS term FROM lengths)
+  GROUP BY doc_id, m, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(t.docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals t GROUP BY term
+),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)
+  GROUP BY item_id, term
+),
+scored AS (
+  SELECT a.item_id, c.doc_id,
+         CAST(sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * c.m))) AS BIGINT) AS score
+  FROM asked a JOIN weights w USING (term) JOIN counted c USING (term)
+  GROUP BY a.item_id, c.doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10""",
     "op13_hard_negatives": """
 WITH usable AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.llm import cells, hard_negatives as hn
+from daybook.llm import cells, hard_negatives as hn, ranked_search
 
 VECTORS = "vec_id long, label int, embedding array<float>, `row` string, rank int, cell int"
 
@@ -85,3 +87,95 @@ def test_hard_negatives_plan(spark):
     plan = hn.hard_negatives(frame, F.col("vec_id") % 10 == 0)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan
+
+
+# --- ranked search --------------------------------------------------------------------------
+
+
+def plain_terms(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    term = lambda c: c.isascii() and c.isalnum() or not c.isascii()
+    return "".join(c if term(c) else " " for c in lowered).split(" ")
+
+
+def expected_ranks(docs, items, k=10):
+    texts = [(i, [t for t in plain_terms(text) if t]) for i, text in docs]
+    spoken = [x for x in texts if x[1]]
+    n_docs, length = len(spoken), sum(len(t) for _, t in spoken)
+    df = Counter(t for _, terms in spoken for t in set(terms))
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df.items()}
+    out = []
+    for item_id, text in set(items):
+        asked = Counter(t for t in plain_terms(text) if t)
+        scores = []
+        for doc_id, terms in spoken:
+            tf, m = Counter(terms), 25 + 75 * len(terms) * n_docs // length
+            score = sum(n * weight.get(t, 0) * (10**9 * tf[t] // (1000 * tf[t] + 8 * m)) for t, n in asked.items())
+            if score > 0 and doc_id is not None:
+                scores.append((-score, doc_id))
+        out += [(item_id, rank + 1, doc_id, -down) for rank, (down, doc_id) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def search_texts(seed, n):
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(60)] + ["É", "été", "漢字", "Zoo", "zoo"]
+    rare = [f"rare{i}" for i in range(200)]
+
+    def text(size):
+        return draw.choice([" ", ", ", "\n"]).join(
+            draw.choice(rare) if draw.random() < 0.1 else words[min(int(draw.expovariate(0.1)), 64)] for _ in range(size)
+        )
+
+    docs = [(i, text(draw.choice([1, 5, 30, 200]))) for i in range(n)]
+    docs += [(n, None), (n + 1, ""), (n + 2, " \t.,_"), (n + 3, "x" * 30_000), (n + 4, "w1 " * 30_000)]
+    docs += [(None, text(40)), docs[3], docs[3], (5, text(30))]  # no id, repeated rows, two texts of one id
+    items = [(i, text(draw.choice([1, 3, 20]))) for i in range(25)]
+    items += [(100, None), (101, ""), (102, "nowhere"), (103, text(400)), (104, docs[7][1]), items[2], (None, "w1 w2")]
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranked_search(spark, seed, monkeypatch):
+    monkeypatch.setattr(cells, "LEAST_ROWS", 64)
+    monkeypatch.setattr(ranked_search, "CELL_TERMS", 100)
+    docs, items = search_texts(seed, 400)
+    frame = spark.createDataFrame([(*x, 1, "t") for x in docs], "doc_id long, text string, rank int, terms string")
+    asked = spark.createDataFrame([(*x, 2) for x in items], "item_id long, text string, score int")
+    found = ranked_search.ranked_search(frame, asked).select("item_id", "rank", "doc_id", "score").collect()
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(map(tuple, found), key=order) == sorted(expected_ranks(docs, items), key=order)
+
+
+def test_ranked_search_leaves_documents_out(monkeypatch):
+    """Small buckets: few pairs are scored exactly, and long lists stop at a short document."""
+    monkeypatch.setattr(ranked_search, "BUCKET", 8)
+    draw = np.random.default_rng(3)
+    n, width = 4000, 300
+    docs = []
+    for i in range(n):
+        picked = draw.choice(width, draw.integers(3, 40), replace=False)
+        docs.append((i, {f"t{x}": int(draw.integers(1, 1000)) for x in picked}))
+    queries = [{f"t{x}": int(draw.integers(1, 50)) for x in draw.choice(width, 6, replace=False)} for _ in range(20)]
+    docs.sort(key=lambda x: -sum(v * v for v in x[1].values()))
+    rows = pa.array(
+        [
+            {"doc_id": i, "doc_key": 0, "terms": list(v), "impacts": list(v.values()), "norm": math.sqrt(sum(x * x for x in v.values()))}
+            for i, v in docs
+        ],
+        pa.struct({"doc_id": pa.int64(), "doc_key": pa.int64(), "terms": pa.list_(pa.string()), "impacts": pa.list_(pa.int32()), "norm": pa.float64()}),
+    )
+    asked = pa.array(
+        [{"item_id": i, "item_key": 0, "terms": list(q), "weights": list(q.values())} for i, q in enumerate(queries)],
+        pa.struct({"item_id": pa.int64(), "item_key": pa.int64(), "terms": pa.list_(pa.string()), "weights": pa.list_(pa.int64())}),
+    )
+    search = ranked_search._Search(asked, 10)
+    scored = []
+    rescore = search._rescore
+    monkeypatch.setattr(search, "_rescore", lambda docs, bucket, query, doc: (scored.append(len(query)), rescore(docs, bucket, query, doc)))
+    search.take(rows)
+    for number, query in enumerate(queries):
+        truth = sorted((-sum(w * v.get(t, 0) for t, w in query.items()), i) for i, v in docs)[:10]
+        mine = search.best.group == number
+        assert sorted(zip(-search.best.score[mine], search.best.id[mine])) == truth
+    assert sum(scored) < 0.2 * n * len(queries)
