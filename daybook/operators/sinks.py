@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import re
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,9 +13,10 @@ from pyspark.sql.types import StructType
 
 from daybook import schemas
 from daybook.functions.dates import wall_clock_date
+from daybook.operators.editions import Publication, catalogued
 from daybook.operators.quote_store import one_quote_a_day
-from daybook.session import empty_folder, matching
-from daybook.sources.transactions import NO_VALUE, read_landed
+from daybook.session import children, matching, remove_folder, write_text
+from daybook.sources.transactions import DELIVERIES, landed_dates
 
 
 def _gathered(frame: DataFrame, column: str) -> DataFrame:
@@ -47,22 +49,15 @@ def replace_table(frame: DataFrame, path: str, *columns: str) -> None:
     )
 
 
-def empty_partitions(
-    spark: SparkSession, path: str, partitions: Iterable[Mapping[str, object]]
-) -> None:
-    """Leaves the given partitions without rows; their folders stay, as a catalog may list them."""
-    for values in partitions:
-        folder = "/".join(f"{name}={NO_VALUE if x is None else x}" for name, x in values.items())
-        empty_folder(spark, f"{path}/{folder}")
-
-
 def land(
     transactions: DataFrame, path: str, batch: str, gather: bool = False
 ) -> list[datetime.date | None]:
-    """Keeps raw records word for word, filed under their date and a batch label.
+    """Keeps raw records word for word, filed under a batch label and their date.
 
-    Landing under a label that exists replaces what was there, on all of its dates. Records without a
-    date are kept as well, under the date NULL. Returns the dates that had or have records of this label.
+    Landing under a label that exists replaces what was there, on all of its dates and in one step: the
+    records are written below a new folder, and a small file per label says which folder holds.
+    Records without a date are kept as well, under the date NULL. Returns the dates that had or have
+    records of this label.
 
     Rows are sorted by date within each task, not shuffled, so a task leaves a file per date that
     it saw. ``gather`` brings the rows of a date together first.
@@ -70,34 +65,43 @@ def land(
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"a batch label has letters, digits, '_', '-' and '.' only: {batch!r}")
     spark = transactions.sparkSession
-    former = _dates(spark, path, batch)
-    seen = Observation()
-    dated = transactions.select(
-        *schemas.RAW_COLUMNS, wall_clock_date("ts").alias("date"), F.lit(batch).alias("batch")
-    ).observe(
-        seen,
-        F.collect_set("date").alias("dates"),
-        F.count(F.when(F.col("date").isNull(), 1)).alias("undated"),
-    )
-    dates: set[datetime.date | None] = set()
-    if not transactions.isEmpty():
-        replace_partitions(dated, path, "date", "batch", gather=gather)
-        dates = {*seen.get["dates"], *([None] if seen.get["undated"] else [])}
-    gone = [{"date": day, "batch": batch} for day in former - dates]
-    empty_partitions(spark, path, gone)
-    return sorted(former | dates, key=lambda day: (day is not None, day))
-
-
-def _dates(spark: SparkSession, path: str, batch: str) -> set[datetime.date | None]:
-    """Dates under which a label has records; the partition values alone are read."""
-    rows = read_landed(spark, path, batch=batch).select("date").distinct().collect()
-    return {row.date for row in rows}
-
-
-def store_quotes(quotes: DataFrame, path: str) -> None:
-    """Replaces all stored quotes of the symbols in ``quotes``; one is kept per symbol and day."""
-    single = one_quote_a_day(quotes)
-    replace_partitions(single.select("date", "price", "symbol"), path, "symbol")
+    former = landed_dates(spark, path, batch)
+    dated = transactions.select(*schemas.RAW_COLUMNS, wall_clock_date("ts").alias("date"))
+    rows = _gathered(dated, "date") if gather else dated
+    edition = uuid.uuid4().hex
+    rows.write.partitionBy("date").parquet(f"{path}/batch={batch}/edition={edition}")
+    write_text(spark, f"{path}/{DELIVERIES}/{batch}", edition, replace=True)
+    for name in children(spark, f"{path}/batch={batch}"):
+        if name != f"edition={edition}":  # named no more, or left by a run that was killed
+            remove_folder(spark, f"{path}/batch={batch}/{name}")
+    dates = former | landed_dates(spark, path, batch)
+    return sorted(dates, key=lambda day: (day is not None, day))
+
+
+def unland(spark: SparkSession, path: str, batch: str) -> list[datetime.date | None]:
+    """Takes back all records of a label; returns their dates."""
+    former = landed_dates(spark, path, batch)
+    remove_folder(spark, f"{path}/{DELIVERIES}/{batch}")
+    remove_folder(spark, f"{path}/batch={batch}")
+    return sorted(former, key=lambda day: (day is not None, day))
+
+
+def store_quotes(quotes: DataFrame, path: str, run: Publication | None = None) -> None:
+    """Replaces all stored quotes of the symbols in ``quotes``; one is kept per symbol and day.
+
+    As part of ``run``, they are seen by others when it publishes.
+    """
+    spark = quotes.sparkSession
+    single = one_quote_a_day(quotes).select("date", "price", "symbol")
+    home = catalogued(spark, path)
+    if home is None:
+        replace_partitions(single, path, "symbol")
+    elif run is not None:
+        run.replace_written(single, path, "symbol")
+    else:
+        run = Publication(spark, home[0])
+        run.replace_written(single, path, "symbol")
+        run.publish()
 
 
 def as_table(frame: DataFrame, schema: str) -> DataFrame:
@@ -142,16 +146,35 @@ def register_table(spark: SparkSession, name: str, path: str, schema: str) -> st
     """Declares the table at ``path`` under ``database.table``, unless it is, for use in SQL."""
     database = name.rsplit(".", 1)[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
-        f"PARTITIONED BY (date) LOCATION '{location}'"
+        f"PARTITIONED BY (date) LOCATION '{_escaped(path)}'"
     )
-    refresh_table(spark, name)
     return name
 
 
-def refresh_table(spark: SparkSession, name: str) -> None:
-    """Lets a declared table see the partitions that were written to its path."""
-    spark.catalog.recoverPartitions(name)
+def _escaped(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def show_partitions(
+    spark: SparkSession, name: str, path: str, partitions: Mapping[str, str | None]
+) -> None:
+    """Points the partitions of a declared table to their editions; None: the partition is gone.
+
+    Each partition changes in one step, but one after the other; the catalogue is ahead of them.
+    """
+    shown = {row.partition for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    new = []
+    for folder, edition in sorted(partitions.items()):
+        part = f"PARTITION (date='{folder.removeprefix('date=')}')"
+        location = f"LOCATION '{_escaped(path)}/edition={edition}/{folder}'"
+        if edition is None:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
+        elif folder in shown:
+            spark.sql(f"ALTER TABLE {name} {part} SET {location}")
+        else:
+            new.append(f"{part} {location}")
+    for start in range(0, len(new), 500):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new[start : start + 500])}")
     spark.catalog.refreshTable(name)

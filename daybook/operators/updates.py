@@ -15,6 +15,17 @@ from daybook.operators.pricing import with_prices
 _VALUES = ("price", "price_source", "usd_volume")
 
 
+def on_dates(metrics: DataFrame, days: DataFrame) -> DataFrame:
+    """Metrics rows of the dates in ``days``, a few rows with one column.
+
+    The join is on the partition column, so only the folders of these dates are read: Spark prunes
+    them when the days are known. A metrics table has at most one partition per day, which bounds the
+    side that is broadcast.
+    """
+    wanted = days.select("date").where(F.col("date") >= F.lit("0001-01-01").cast("date"))
+    return metrics.join(F.broadcast(wanted), "date", "left_semi").select(*metrics.columns)
+
+
 def updated(metrics: DataFrame, valuations: DataFrame) -> DataFrame:
     """Metrics with price and dollar value taken from ``valuations`` where those have a price.
 

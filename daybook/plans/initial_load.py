@@ -8,9 +8,12 @@ from pyspark.sql import SparkSession
 
 from daybook import schemas
 from daybook.operators.extraction import extract
-from daybook.operators.sinks import append_rows, land
+from daybook.operators.editions import Publication
+from daybook.operators.sinks import as_table, land, required
+from daybook.operators.updates import on_dates
 from daybook.operators.volumes import project_metrics
 from daybook.plans.lake import Lake
+from daybook.session import settled
 from daybook.sources.transactions import read_landed, read_transactions
 
 
@@ -33,11 +36,10 @@ def initial_load(
         paths = [csv] if isinstance(csv, str) else sorted(csv)
         batch = "load-" + hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
     land(read_transactions(spark, csv, multi_line), lake.bronze, batch, gather)
-    added = append_rows(
-        project_metrics(extract(read_landed(spark, lake.bronze, batch=batch))),
-        lake.project_metrics,
-        schemas.PROJECT_METRICS,
-        schemas.PROJECT_METRICS_REQUIRED,
-    )
-    lake.publish(spark)
-    return added
+    run = Publication(spark, lake.catalogue)
+    rows = as_table(project_metrics(extract(read_landed(spark, lake.bronze, batch=batch))), schemas.PROJECT_METRICS)
+    new = settled(required(rows, schemas.PROJECT_METRICS_REQUIRED))
+    former = on_dates(run.read(lake.project_metrics, schemas.PROJECT_METRICS), new.select("date").distinct())
+    run.replace_written(former.unionByName(new), lake.project_metrics, "date")
+    lake.publish(spark, run)
+    return new.count()

@@ -1,7 +1,8 @@
 """Conversion to dollars and its daily repetition.
 
 Everything is derived from landed records and stored quotes, and a date is always written
-whole, so a run can be repeated, or repeated after a failure, without changing the outcome.
+whole, so a run can be repeated, or repeated after a failure, without changing the outcome. All that a
+run writes is seen at once, when it publishes.
 """
 
 from __future__ import annotations
@@ -16,24 +17,12 @@ from daybook import schemas
 from daybook.constants import COIN_IDS
 from daybook.functions.prices import usable
 from daybook.operators.extraction import extract
+from daybook.operators.editions import Publication
 from daybook.operators.pricing import valued
 from daybook.operators.quote_store import merged_quotes, missing_quotes
-from daybook.operators.sinks import (
-    as_table,
-    empty_partitions,
-    replace_partitions,
-    replace_table,
-    required,
-    store_quotes,
-)
-from daybook.operators.updates import repriced, updated
-from daybook.operators.volumes import (
-    PROJECT_KEY,
-    all_volumes,
-    price_keys,
-    project_metrics_of,
-    with_keys,
-)
+from daybook.operators.sinks import as_table, required, store_quotes
+from daybook.operators.updates import on_dates, repriced, updated
+from daybook.operators.volumes import all_volumes, price_keys, project_metrics_of, with_keys
 from daybook.plans.lake import Lake
 from daybook.session import settled
 from daybook.sources.metrics import read_metrics
@@ -51,16 +40,22 @@ def worklist(
 
 
 def add_quotes(
-    spark: SparkSession, lake: Lake, responses: DataFrame, coin_ids: Mapping[str, str] = COIN_IDS
+    spark: SparkSession,
+    lake: Lake,
+    responses: DataFrame,
+    coin_ids: Mapping[str, str] = COIN_IDS,
+    run: Publication | None = None,
 ) -> DataFrame | None:
     """Stores the usable quotes among ``responses``; returns where prices may differ now.
 
     That is ``symbol``, ``first`` and ``last``: from each new quote to the day of the next one of its
     symbol, whose own price may be missing; ``last`` is NULL after the newest. Only symbols the provider
-    knows are taken, and only their partitions are rewritten. None if nothing changed.
+    knows are taken, and only their partitions are rewritten. None if nothing changed. As part of
+    ``run`` they are seen by others when it publishes.
     """
+    run, own = _run(spark, lake, run)
     symbols = list(coin_ids)
-    stored = quotes_of(read_quotes(spark, lake.quotes), *symbols)
+    stored = quotes_of(run.read(lake.quotes, schemas.QUOTES), *symbols)
     fetched = quotes_of(response_quotes(responses), *symbols)
     merged = settled(merged_quotes(stored, fetched))
     had = stored.where(usable("price").isNotNull())
@@ -71,7 +66,9 @@ def add_quotes(
     )
     if changed.isEmpty():
         return None
-    store_quotes(merged, lake.quotes)
+    store_quotes(merged, lake.quotes, run)
+    if own:
+        lake.publish(spark, run)
     return changed
 
 
@@ -81,39 +78,40 @@ def reprice(
     changed: DataFrame,
     but_not: Iterable[datetime.date] = (),
     coin_ids: Mapping[str, str] = COIN_IDS,
-) -> list[datetime.date]:
+    run: Publication | None = None,
+) -> None:
     """Values metrics rows again on the dates that have a symbol within a changed span.
 
-    The records are left alone. The new rows are settled before any partition is replaced, as they
-    are read from it. Returns the dates rewritten.
+    The records are left alone. Only the partitions of those dates are read, by a join on the
+    partition column.
     """
-    metrics = read_metrics(spark, lake.metrics)
+    run, own = _run(spark, lake, run)
+    metrics = run.read(lake.metrics, schemas.METRICS)
     keys = metrics.select("currency_symbol", "date").distinct()
     newest = keys.agg(F.max("date")).first()[0]
     if newest is None:
-        return []
+        return
     last = F.least(F.coalesce("last", F.lit(newest)), F.lit(newest))
     days = changed.where(F.col("first") <= F.lit(newest)).select(
         F.col("symbol").alias("currency_symbol"), F.explode(F.sequence("first", last)).alias("date")
     )
     touched = keys.join(days.distinct(), ["currency_symbol", "date"]).select("date").distinct()
-    dates = sorted({row.date for row in touched.collect()} - set(but_not))
-    if dates:
-        rows = metrics.where(F.col("date").isin(dates))
-        fresh = settled(repriced(rows, read_quotes(spark, lake.quotes), coin_ids))
-        replace_partitions(as_table(fresh, schemas.METRICS), lake.metrics, "date")
-    return dates
+    if but_not := list(but_not):
+        touched = touched.where(~F.col("date").isin(but_not))
+    rows = on_dates(metrics, settled(touched))
+    quotes = run.read(lake.quotes, schemas.QUOTES)
+    run.replace_written(as_table(repriced(rows, quotes, coin_ids), schemas.METRICS), lake.metrics, "date")
+    if own:
+        lake.publish(spark, run)
 
 
 def apply_valuations(spark: SparkSession, lake: Lake, valuations: DataFrame) -> None:
-    """Updates the stored metrics rows for which ``valuations`` has a price, date by date."""
+    """Updates the stored metrics rows for which ``valuations`` has a price, all dates at once."""
+    run = Publication(spark, lake.catalogue)
     new = settled(valuations.where(F.col("price").isNotNull()))
-    days = [row.date for row in new.select("date").distinct().collect()]
-    rows = read_metrics(spark, lake.metrics).where(F.col("date").isin(days))
-    replace_partitions(
-        settled(as_table(updated(rows, new), schemas.METRICS)), lake.metrics, "date"
-    )
-    lake.publish(spark)
+    rows = on_dates(run.read(lake.metrics, schemas.METRICS), new.select("date").distinct())
+    run.replace_written(as_table(updated(rows, new), schemas.METRICS), lake.metrics, "date")
+    lake.publish(spark, run)
 
 
 def refresh(
@@ -130,46 +128,27 @@ def refresh(
     Responses of the quote provider are stored first. A new quote can also change later dates
     for which it is now the last known one; those are repriced.
 
-    The records are read and parsed once: both tables come from the settled group volumes.
+    The records are read and parsed once: both tables come from the settled group volumes. Quotes
+    and both tables are published together at the end; a run that fails changes nothing.
     """
-    changed = add_quotes(spark, lake, responses, coin_ids) if responses is not None else None
+    run = Publication(spark, lake.catalogue)
+    changed = add_quotes(spark, lake, responses, coin_ids, run) if responses is not None else None
     dates = None if dates is None else [day for day in dates if day is not None]
     # Records without a date are read along: one whose date cannot be read stops the job.
     asked = None if dates is None else [*dates, None]
     volumes = settled(all_volumes(extract(read_landed(spark, lake.bronze, asked))))
 
+    if dates is not None and changed is not None:
+        reprice(spark, lake, changed, but_not=dates, coin_ids=coin_ids, run=run)
     projects = as_table(project_metrics_of(volumes), schemas.PROJECT_METRICS)
     projects = required(projects, schemas.PROJECT_METRICS_REQUIRED)
-    _replace(projects, lake.project_metrics, dates)
-    metrics = valued(
-        with_keys(volumes, *schemas.METRICS_KEY), read_quotes(spark, lake.quotes), coin_ids
-    )
-    _replace(as_table(metrics, schemas.METRICS), lake.metrics, dates)
-    if dates is not None:
-        _empty_others(with_keys(volumes, *PROJECT_KEY), lake.project_metrics, schemas.PROJECT_METRICS, dates)
-        _empty_others(with_keys(volumes, *schemas.METRICS_KEY), lake.metrics, schemas.METRICS, dates)
-    if dates is not None and changed is not None:
-        reprice(spark, lake, changed, but_not=dates, coin_ids=coin_ids)
-    lake.publish(spark)
-
-
-def _replace(
-    rows: DataFrame, path: str, dates: list[datetime.date] | None
-) -> None:
-    """Replaces the whole table, or the partitions that occur in ``rows``."""
-    if dates is None:
-        replace_table(rows, path, "date")
-    else:
-        replace_partitions(rows, path, "date")
+    run.replace(projects, lake.project_metrics, dates)
+    quotes = run.read(lake.quotes, schemas.QUOTES)
+    metrics = valued(with_keys(volumes, *schemas.METRICS_KEY), quotes, coin_ids)
+    run.replace(as_table(metrics, schemas.METRICS), lake.metrics, dates)
+    lake.publish(spark, run)
 
 
-def _empty_others(
-    volumes: DataFrame, path: str, schema: str, dates: list[datetime.date]
-) -> None:
-    """Of the given dates, leaves those without rows that have no volumes now."""
-    spark = volumes.sparkSession
-    left = set(dates) - {row.date for row in volumes.select("date").distinct().collect()}
-    if left:
-        table = spark.read.schema(schema).parquet(path).where(F.col("date").isin(list(left)))
-        stale = [{"date": row.date} for row in table.select("date").distinct().collect()]
-        empty_partitions(spark, path, stale)
+def _run(spark: SparkSession, lake: Lake, run: Publication | None) -> tuple[Publication, bool]:
+    """The run, or a new one that its user publishes."""
+    return (Publication(spark, lake.catalogue), True) if run is None else (run, False)

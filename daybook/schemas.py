@@ -7,6 +7,9 @@ BRONZE = f"{RAW}, date date, batch string"
 
 TRANSACTIONS = "date date, project_id bigint, currency_symbol string, amount double"
 
+# Files taken up from a folder; ``done`` comes after their batch is landed and valued.
+ARRIVALS = "file string, size bigint, label string, done boolean"
+
 QUOTES = "symbol string, date date, price double"
 RESPONSES = "symbol string, date date, status_code int, body string"
 

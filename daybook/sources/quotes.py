@@ -9,6 +9,7 @@ from daybook import schemas
 from daybook.constants import QUOTE_DATE_FORMAT
 from daybook.functions.json_fields import member_or, with_member
 from daybook.functions.prices import response_price
+from daybook.operators.editions import read_partitions
 
 
 def read_quote_objects(
@@ -41,7 +42,7 @@ def read_quote_objects(
 
 def read_quotes(spark: SparkSession, path: str) -> DataFrame:
     """Quotes kept as Parquet, partitioned by symbol."""
-    return spark.read.schema(schemas.QUOTES).parquet(path).select("symbol", "date", "price")
+    return read_partitions(spark, path, schemas.QUOTES).select("symbol", "date", "price")
 
 
 def quotes_of(quotes: DataFrame, *symbols: str) -> DataFrame:
@@ -54,6 +55,19 @@ def read_responses(spark: SparkSession, path: str, file_format: str = "json") ->
     return spark.read.schema(schemas.RESPONSES).format(file_format).load(path)
 
 
+def stream_responses(
+    spark: SparkSession,
+    path: str,
+    file_format: str = "json",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Answers of the quote provider as they arrive in a folder."""
+    reader = spark.readStream.schema(schemas.RESPONSES).format(file_format)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
 def response_quotes(responses: DataFrame) -> DataFrame:
     """Quote carried by each response; NULL price where it failed or has none."""
     return responses.select("symbol", "date", response_price("status_code", "body").alias("price"))

@@ -7,9 +7,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daybook import schemas
-from daybook.session import matching
+from daybook.session import children, matching, read_text
+
+#: In the folder of landed records: a small file per label that names the folder that holds.
+DELIVERIES = "_deliveries"
 
 # --- fixed value: the folder of a partition without a value ---
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -41,14 +45,36 @@ def stream_transactions(
     max_files_per_trigger: int | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Transactions of CSV files as they arrive in a folder.
+    """Transactions of CSV files as they arrive in a folder, with the ``file`` and its ``size``.
 
     ``header`` lists all columns of the files in their order, as a stream cannot look them up.
     """
     reader = spark.readStream.schema(header).options(**_CSV, multiLine=multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path).select(*[F.col(c).cast("string") for c in schemas.RAW_COLUMNS])
+    return reader.csv(path).select(
+        *[F.col(c).cast("string") for c in schemas.RAW_COLUMNS],
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
+    )
+
+
+def _deliveries(spark: SparkSession, path: str, batch: str | None = None) -> dict[str, str]:
+    """Each label's edition; of the named label only, where one is given."""
+    folder = f"{path}/{DELIVERIES}"
+    names = children(spark, folder) if batch is None else [batch] * matching(spark, f"{folder}/{batch}")
+    return {name: read_text(spark, f"{folder}/{name}") for name in names if not name.startswith("_")}
+
+
+def landed_dates(spark: SparkSession, path: str, batch: str) -> set[datetime.date | None]:
+    """Dates under which a label has records, by the names of its folders."""
+    found = set()
+    for name, edition in _deliveries(spark, path, batch).items():
+        for folder in children(spark, f"{path}/batch={name}/edition={edition}"):
+            if folder.startswith("date="):
+                day = folder.removeprefix("date=")
+                found.add(None if day == NO_VALUE else datetime.date.fromisoformat(day))
+    return found
 
 
 def read_landed(
@@ -63,13 +89,12 @@ def read_landed(
     Only the folders asked for are listed, so that a refresh of one date does not go through
     the names of all files ever landed.
     """
-    reader = spark.read.schema(schemas.BRONZE).option("basePath", path)
-    if dates is None and batch is None:
-        return reader.parquet(path)
-    days = "*"
+    editions = [f"{path}/batch={n}/edition={e}" for n, e in _deliveries(spark, path, batch).items()]
     if dates is not None:
         days = "{" + ",".join(NO_VALUE if day is None else str(day) for day in dates) + "}"
-    folders = f"{path}/date={days}/batch={batch or '*'}"
-    if days == "{}" or not matching(spark, folders):
+        folders = [f"{edition}/date={days}" for edition in editions]
+        editions = [folder for folder in folders if days != "{}" and matching(spark, folder)]
+    if not editions:
         return spark.createDataFrame([], schemas.BRONZE)
-    return reader.parquet(folders)
+    reader = spark.read.schema(schemas.BRONZE).option("basePath", path)
+    return reader.parquet(*editions).select(*StructType.fromDDL(schemas.BRONZE).names)
