@@ -20,16 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.rows import KEY, KEY_TYPE, keyed, packed, stored, unpacked, with_lists
-from daybook.llm.text_arrays import (
-    BYTE_SYMBOLS,
-    RUN_BASES,
-    WORD_BASE,
-    RunHashes,
-    Words,
-    blocks,
-    utf8,
-    window_starts,
-)
+from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, hash_runs, utf8, window_starts
 
 WINDOW = 3
 
@@ -50,14 +41,16 @@ def _windows(batches, size):
         for block in blocks(batch, "text"):
             data, offsets = utf8(block.column("text"))
             starts, ends, first = line_spans(data, offsets)
-            words = np.concatenate([[0], np.cumsum(np.isin(np.arange(len(data)), Words(data, offsets).starts))])
-            full = np.flatnonzero(words[ends] > words[starts])
+            words = Words(data, offsets).starts
+            full = np.flatnonzero(np.searchsorted(words, ends) > np.searchsorted(words, starts))
             first_full = np.searchsorted(full, first)
             at, counts = window_starts(first_full, size)
             if not len(at):
                 continue
-            lines = RunHashes(BYTE_SYMBOLS[data], WORD_BASE).of(starts[full], ends[full])
-            hashes = [RunHashes(lines, base).of(at, at + size) for base in RUN_BASES]
+            lines = hash_runs(data, starts[full], ends[full])
+            hashes = [
+                RunHashes(line.view(np.uint64), base).of(at, at + size) for line, base in zip(lines, RUN_BASES)
+            ]
             row = np.repeat(np.arange(block.num_rows), counts)
             number = full - first[np.searchsorted(first, full, "right") - 1]
             covered = number[at[:, None] + np.arange(size)].astype(np.int32).ravel()

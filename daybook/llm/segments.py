@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from daybook.llm.rows import KEY, KEY_TYPE, keyed, stored, with_lists
 from daybook.llm.text_arrays import (
     BYTE_SYMBOLS,
-    RUN_BASES,
     WORD_BASE,
     RunHashes,
     Words,
     blocks,
+    hash_runs,
     sliding_min,
     utf8,
     window_starts,
@@ -69,7 +69,7 @@ def segments(symbols: np.ndarray, first: np.ndarray, window: int, anchor: int) -
     begins = starts[change]
     ends = begins + n - 1 + window
     text = np.searchsorted(first, begins, "right") - 1
-    hashes = [RunHashes(symbols, base).of(begins, ends).view(np.int64) for base in RUN_BASES]
+    hashes = hash_runs(symbols, begins, ends)
     return Segments(text, begins - first[text], n, grams[chosen[change]].view(np.int64), *hashes)
 
 
@@ -142,15 +142,14 @@ def _windows(batches, symbols_of: Symbols, window: int):
             each = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n) + first[each]
             at = begins[row[each]] + place
-            hashes = RunHashes(symbols, RUN_BASES[0])
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id").take(pa.array(row[each])),
                     block.column("key").take(pa.array(row[each])),
                     pa.array(place.astype(np.int32)),
                     pa.array(weight[each].astype(np.int32)),
-                    pa.array(hashes.of(at, at + half).view(np.int64)),
-                    pa.array(hashes.of(at, at + window).view(np.int64)),
+                    pa.array(hash_runs(symbols, at, at + half)[0]),
+                    pa.array(hash_runs(symbols, at, at + window)[0]),
                 ],
                 [*KEY, "first", "weight", "half", "full"],
             )

@@ -5,8 +5,11 @@ looked at as a whole. Space is ``\\x20`` and ``\\x09``-``\\x0D``; these bytes ne
 another UTF-8 character, so words found in bytes are the words of the text. A null text has
 no bytes.
 
-Runs of symbols are hashed from prefix sums of ``symbol * B**position`` modulo 2**64: the
-difference of two sums, divided by a power of ``B``, does not depend on where the run stands.
+Words are hashed from their bytes and length, eight bytes at a time, and whole runs of symbols by
+a 128-bit hash of their memory; equality of words, lines and windows rests on these. ``RunHashes`` is
+for short runs only, and to choose anchors: it takes prefix sums of ``symbol * B**position`` modulo 2**64,
+whose difference, divided by a power of ``B``, does not depend on where the run stands. Sequences
+of a thousand symbols and more can be made to collide there under every base.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 BLOCK_BYTES = 2 << 20
 
@@ -28,6 +32,8 @@ _LOWER[65:91] += 32
 #: A random-looking 64-bit value for each byte.
 BYTE_SYMBOLS = np.random.default_rng(20240229).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -74,19 +80,30 @@ def _power_table(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
     table = _powers.get(base)
     if table is None or len(table[0]) < size:
-        length = max(size, 1 << 16)
+        length = max(size, BLOCK_BYTES + 1)
         bases = (base, pow(base, -1, 1 << 64))
         steps = [np.full(length, x, np.uint64) for x in bases]
         for step in steps:
             step[0] = 1
         with np.errstate(over="ignore"):
             table = tuple(np.multiply.accumulate(step) for step in steps)
-        _powers[base] = table
+        if size <= BLOCK_BYTES + 1:  # the table of a longer text is not kept
+            _powers[base] = table
     return table
 
 
+def hash_runs(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each run of symbols, of whatever length."""
+    size = symbols.itemsize
+    memory = memoryview(np.ascontiguousarray(symbols)).cast("B") if len(symbols) else memoryview(b"")
+    spans = zip((starts * size).tolist(), (ends * size).tolist())
+    digests = b"".join([xxh3_128_digest(memory[start:end]) for start, end in spans])
+    pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
+    return pairs[:, 0].copy(), pairs[:, 1].copy()
+
+
 class RunHashes:
-    """Hashes of any runs of a sequence of symbols."""
+    """Hashes of short runs of a sequence of symbols."""
 
     def __init__(self, symbols: np.ndarray, base: int):
         up, self.down = _power_table(base, len(symbols) + 1)
@@ -100,6 +117,11 @@ class RunHashes:
             return mixed(value + (ends - starts).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
+def _first_bytes(lengths: np.ndarray) -> np.ndarray:
+    """Masks for the first 0 to 8 of eight bytes."""
+    return _MASKS[np.clip(lengths, 0, 8)]
+
+
 class Words:
     """The words of a block: byte starts and ends, and the first word of each text."""
 
@@ -122,8 +144,18 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self, data: np.ndarray | None = None) -> np.ndarray:
-        symbols = BYTE_SYMBOLS[self.data if data is None else data]
-        return RunHashes(symbols, WORD_BASE).of(self.starts, self.ends)
+        """From the first and second eight bytes and the length; longer words by a string hash."""
+        data = self.data if data is None else data
+        padded = np.concatenate([data, np.zeros(16, np.uint8)])
+        eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+        lengths = self.ends - self.starts
+        with np.errstate(over="ignore"):
+            value = mixed((eight[self.starts] & _first_bytes(lengths)) + lengths.astype(np.uint64) * np.uint64(WORD_BASE))
+            second = eight[np.minimum(self.starts + 8, len(data))] & _first_bytes(lengths - 8)
+            value = mixed(value + second * np.uint64(RUN_BASES[0]))
+        for at in np.flatnonzero(lengths > 16).tolist():
+            value[at] = xxh3_64_intdigest(data[self.starts[at] : self.ends[at]].tobytes())
+        return value
 
 
 def window_starts(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

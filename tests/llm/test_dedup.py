@@ -160,3 +160,24 @@ def test_odd_rows(spark, odd_docs, no_docs, operator):
         assert all(row.n_removed >= 0 for row in rows)
     assert operator(no_docs).count() == 0
 
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """A word and its complement that every polynomial hash modulo 2**64 takes for equal."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_polynomials_take_for_equal(spark, size):
+    one, two = thue_morse(size)
+    before, after = " ".join(f"x{i}" for i in range(17)), " ".join(f"y{i}" for i in range(17))
+    docs = frame(spark, [(1, f"{before} {one} {after}"), (2, f"{before} {two} {after}")])
+    assert [r.n_removed for r in substring_dedup(docs).collect()] == [0, 0]
+    assert [r.n_removed for r in substring_dedup(docs, window=17).collect()] == [34, 34]
+    docs = frame(spark, [(1, f"first\n{one}\nlast"), (2, f"first\n{two}\nlast")])
+    assert [r.n_removed for r in line_dedup(docs).collect()] == [0, 0]
+    docs = frame(spark, [(1, f"p q r s {one}"), (2, f"p q r s {two}")])
+    assert sorted(r.component_id for r in near_duplicates(docs).collect()) == [1, 2]
+    docs = frame(spark, [(1, one), (2, two), (3, one)])
+    assert [r.n_removed for r in sorted(suffix_dedup(docs, window=size).collect())] == [size, 0, size]
