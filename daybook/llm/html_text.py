@@ -6,10 +6,12 @@ kernel, and lines at or above the standard deviation of all (at most their maxim
 content. The regions that hold content lines are looked up: an outermost ``article`` or ``main``,
 else the nearest enclosing container. The nearest container that encloses them all, or the parent
 of a lone article or section, is selected with every line in it, however short its sections. Where an
-article or main region holds content lines, only the articles and mains in that container are text.
+article or main region holds content lines, only the articles and mains in that container are text. Elsewhere
+lines of links that are no content by their ratio do not begin or end the text.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are never lines, by their tag or by a word of their class, id or role. A class or role
+are never text, by their tag or by a word of their class, id or role; those that are no blocks, as buttons or
+scripts, leave the line around them whole. A class or role
 counts by its first or last part between hyphens and underscores, unless ``with``, ``no``, ``has`` or
 the like is before it. An id, often made from a heading, counts if all its parts are such words or
 words for boxes. Headings, articles, mains and the elements that hold one are not left out by a
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -58,7 +61,9 @@ LEFT_OUT_WORDS = frozenset(
     "complementary contentinfo".split()
 )
 #: Of these, what may be a list of articles.
-LISTS_OF_ARTICLES = frozenset("related recommended comment comments disqus replies".split())
+LISTS_OF_ARTICLES = frozenset("related recommended comment comments disqus replies reviews responses".split())
+#: Further names of reader comments; as ids they are headings as often.
+CLASS_WORDS = frozenset("reviews responses".split())
 #: Before a word, these say what an element has or lacks, not what it is.
 HAVING = frozenset("with without no not has have hide hidden show".split())
 #: Parts that leave an id what it is.
@@ -101,25 +106,25 @@ class _Lines(HTMLParser):
         self.parents: list[int] = [0]
         # whether left out, whether an article was in it, whether it may be a list of articles
         self.marks: list[tuple[bool, bool, bool]] = []
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
-        self.parts: list[str] = []
+        # parts with their marks and whether in a link, tags, region
+        self.lines: list[tuple[list[tuple[str, tuple[int, ...], bool]], int, int]] = []
+        self.parts: list[tuple[str, tuple[int, ...], bool]] = []
         self.tags = 0
+        self.links = 0
 
     def _state(self) -> tuple[bool, int, tuple[int, ...]]:
         return self.open[-1][1:] if self.open else (False, 0, ())
 
     def end_line(self):
-        left_out, region, marks = self._state()
-        text = " ".join("".join(self.parts).split())
-        if text and not left_out:
-            self.lines.append((text, self.tags, region, marks))
+        if any(not part.isspace() for part, _, _ in self.parts):
+            self.lines.append((self.parts, self.tags, self._state()[1]))
             self.tags = 0
         self.parts = []
 
     def _pop(self, at: int):
-        now = self._state()
-        if any(tag in BLOCKS or (out, marks) != (now[0], now[2]) for tag, out, _, marks in self.open[at:]):
+        if any(tag in BLOCKS for tag, *_ in self.open[at:]):
             self.end_line()
+        self.links -= sum(tag == "a" for tag, *_ in self.open[at:])
         del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
@@ -133,9 +138,9 @@ class _Lines(HTMLParser):
                 break
             if name in BLOCKS:
                 break
-        if tag == "br":
-            self.parts.append(" ")
         if tag in VOID:
+            if tag == "br":
+                self.handle_data(" ")
             return
         outside, region, marks = self._state()
         in_article = self.regions[region]
@@ -146,17 +151,16 @@ class _Lines(HTMLParser):
                 kept = tag == "main" or not self.marks[mark][0] or not self.marks[mark][2]
                 self.marks[mark] = (not kept, True, self.marks[mark][2])
         words = set() if tag in ARTICLES or tag in HEADINGS or tag in ("html", "body") else _names(attrs)
-        named = words & LEFT_OUT_WORDS
+        named = words & (LEFT_OUT_WORDS | CLASS_WORDS)
         if named or ("header" in words and not in_article):
             marks = (*marks, len(self.marks))
             self.marks.append((True, False, not named.isdisjoint(LISTS_OF_ARTICLES)))
-        if (left_out or marks != self._state()[2]) and not outside:
-            self.end_line()
         if tag in CONTAINERS and not in_article:
             self.regions.append(tag in ARTICLES)
             self.tags_of.append(tag)
             self.parents.append(region)
             region = len(self.regions) - 1
+        self.links += tag == "a"
         self.open.append((tag, outside or left_out, region, marks))
 
     def handle_startendtag(self, tag, attrs):
@@ -164,7 +168,7 @@ class _Lines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         elif tag == "br":
-            self.parts.append(" ")
+            self.handle_data(" ")
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -176,17 +180,28 @@ class _Lines(HTMLParser):
                 return  # an inline tag ends inside its block
 
     def handle_data(self, data):
-        self.parts.append(data)
+        left_out, _, marks = self._state()
+        if data and not left_out:
+            self.parts.append((data, marks, self.links > 0))
+
+
+class _Line(NamedTuple):
+    text: str
+    tags: int
+    region: int
+    linked: bool  # whether all of it is in links
 
 
-def _kept(parser: _Lines) -> list[tuple[str, int, int]]:
-    """The lines outside elements left out by a word; the next line counts the tags of these."""
+def _kept(parser: _Lines) -> list[_Line]:
+    """The lines without elements left out by a word; the next line counts the tags of a line that went."""
     for gone in ({n for n, x in enumerate(parser.marks) if x[0]}, {n for n, x in enumerate(parser.marks) if x[0] and not x[1]}):
         lines, waiting = [], 0
-        for text, tags, region, marks in parser.lines:
+        for parts, tags, region in parser.lines:
             waiting += tags
-            if gone.isdisjoint(marks):
-                lines.append((text, waiting, region))
+            parts = [part for part in parts if gone.isdisjoint(part[1])]
+            text = " ".join("".join(part[0] for part in parts).split())
+            if text:
+                lines.append(_Line(text, waiting, region, all(linked or x.isspace() for x, _, linked in parts)))
                 waiting = 0
         if lines:
             break
@@ -240,11 +255,16 @@ def main_text(html: str | None) -> str:
     lines = _kept(parser)
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(text) / max(tags, 1) for text, tags, _ in lines]))
+    ratios = smoothed(np.array([len(line.text) / max(line.tags, 1) for line in lines]))
     threshold = min(ratios.std(), ratios.max())
-    chosen = {line[2] for line, ratio in zip(lines, ratios) if ratio >= threshold}
+    chosen = {line.region for line, ratio in zip(lines, ratios) if ratio >= threshold}
     selected = _selected(parser, chosen)
-    return "\n".join(text for text, _, region in lines if region in selected)
+    found = [(line, ratio >= threshold) for line, ratio in zip(lines, ratios) if line.region in selected]
+    if not any(parser.regions[region] for region in selected):
+        beside = [line.linked and not content for line, content in found]
+        if not all(beside):
+            found = found[beside.index(False) : len(beside) - beside[::-1].index(False)]
+    return "\n".join(line.text for line, _ in found)
 
 
 def _main_texts(pages: pd.Series) -> pd.Series:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import byte_bpe, chat_format, quality_rules, url_filter
 from daybook.llm.decontamination import _chosen_passages, common_subsequence, decontaminated, leaks
-from daybook.llm.html_text import html_text, main_text
+from daybook.llm.html_text import LEFT_OUT, html_text, main_text
 from daybook.llm.queries import URL_RULES
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -145,6 +145,56 @@ def test_main_text_left_out_by_words(html, text):
     assert main_text(f"<html><body>{html}</body></html>") == text
 
 
+INLINE = [tag for tag in sorted(LEFT_OUT - {"title", "head", "nav", "footer", "aside", "form", "menu", "dialog"})]
+
+
+@pytest.mark.parametrize("tag", INLINE)
+def test_left_out_tags_between_and_inside_paragraphs(tag):
+    gone = f"<{tag}>var x=1; a &lt; b</{tag}>"
+    html = f"<article><p>first</p>{gone}<p>It costs {gone} 5 EUR now.</p>text {gone}{gone}after<p>end</p></article>"
+    assert main_text(f"<body>{html}</body>") == "first\nIt costs 5 EUR now.\ntext after\nend"
+
+
+@pytest.mark.parametrize("tag", ["nav", "footer", "aside", "form", "menu", "dialog"])
+def test_left_out_blocks_between_paragraphs(tag):
+    gone = f"<{tag}><p>x</p>y</{tag}>"
+    html = f"<article><p>first</p>{gone}before {gone} after<div>{gone}</div><p>end</p></article>"
+    assert main_text(f"<body>{html}</body>") == "first\nbefore\nafter\nend"
+
+
+@pytest.mark.parametrize("mark", ['class="ad"', 'class="user-reviews"', 'class="responses"', 'id="ads"', 'role="navigation"'])
+def test_left_out_words_inside_paragraphs(mark):
+    html = f"<article><p>one <span {mark}>x<b>y</b></span> two</p><div {mark}><p>z</p></div><p>end</p></article>"
+    assert main_text(f"<body>{html}</body>") == "one two\nend"
+    assert main_text('<article><section id="responses"><p>text</p></section></article>') == "text"
+
+
+def flat_page():
+    links = "".join(f"<p><a href=x>Link {n}</a></p>" for n in range(4))
+    text = [f"Paragraph {n} " + "with words " * 30 for n in range(5)]
+    between = '<p><a href=x>Source</a></p>'
+    body = f"<p>{text[0]}</p><p>{text[1]}</p>{between}" + "".join(f"<p>{x}</p>" for x in text[2:])
+    return f"<body>{links}{body}{links}</body>", "\n".join([*map(str.strip, text[:2]), "Source", *map(str.strip, text[2:])])
+
+
+def test_the_threshold_decides_on_pages_without_marks(monkeypatch):
+    html, text = flat_page()
+    assert main_text(html) == text
+    monkeypatch.setattr("daybook.llm.html_text.smoothed", lambda ratios: np.ones(len(ratios)))
+    assert main_text(html) != text
+
+
+def test_html_text_of_odd_pages(spark):
+    """Very long html, ties, repeated rows and columns named like working columns."""
+    long = "<article>" + "<p>word</p>" * 60_000 + "</article>"
+    deep = "<div>" * 3000 + "deep" + "</div>" * 3000
+    rows = [(1, "u", long, "r", "f", 1), (2, "u", deep, "r", "f", 2), (2, "u", deep, "r", "f", 2), (None, None, "<p>x</p>", None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, `row` string, found string, n_chars int")
+    found = html_text(pages)
+    assert found.columns == ["page_id", "url", "html", "row", "found", "text", "n_chars"]
+    assert sorted((r.page_id or 0, r.n_chars, r.row or "") for r in found.collect()) == [(0, 1, ""), (1, 60_000 * 5 - 1, "r"), (2, 4, "r"), (2, 4, "r")]
+
+
 def sections(tag, *parts):
     """Regions with a heading and so many paragraphs of so many characters, and their text."""
     html, lines = "", []
