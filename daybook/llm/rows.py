@@ -7,10 +7,13 @@ Rows that repeat both are the same document twice and get the same result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import atexit
+from contextlib import suppress
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.session import scratch_dir
+from daybook.session import remove_folder, scratch_dir
 
 #: Working columns by which a row is found again.
 KEY = ["doc_id", "key"]
@@ -55,8 +58,39 @@ def with_lists(left: DataFrame, lists: DataFrame) -> DataFrame:
     return left.join(found, same, "left").drop("found_id", "found_key")
 
 
+#: Folders written by this process and not removed yet.
+_written: list[tuple[SparkSession, str]] = []
+
+
 def stored(frame: DataFrame) -> DataFrame:
-    """The frame written once to the shared folder and read from there."""
-    path = f"{scratch_dir(frame.sparkSession)}/stored"
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """The frame written once to the shared folder and read from there.
+
+    The folder is removed by ``remove_since`` or when the process ends.
+    """
+    spark = frame.sparkSession
+    folder = scratch_dir(spark)
+    if not _written:
+        atexit.register(_remove, 0)
+    _written.append((spark, folder))
+    frame.write.parquet(f"{folder}/stored")
+    return spark.read.schema(frame.schema).parquet(f"{folder}/stored")
+
+
+def mark() -> int:
+    """A place in the list of what was stored, for ``remove_since``."""
+    return len(_written)
+
+
+def remove_since(start: int) -> None:
+    """Removes what was stored since ``mark`` gave ``start``, all but the last."""
+    if len(_written) > start:
+        last = _written.pop()
+        _remove(start)
+        _written.append(last)
+
+
+def _remove(start: int) -> None:
+    while len(_written) > start:
+        spark, folder = _written.pop()
+        with suppress(Exception):  # a session that is gone, at the end of the process
+            remove_folder(spark, folder)

@@ -6,6 +6,7 @@ import pathlib
 
 import pytest
 
+import bench
 import corpus_pipeline
 from daybook.llm.decontamination import leaks
 from daybook.llm.line_dedup import line_dedup
@@ -41,3 +42,8 @@ def test_stages(spark):
     last = {r.doc_id: r.text for r in seen["decontamination"].collect()}
     assert {r.doc_id: r.text for r in seen["byte_bpe"].collect()} == last
     assert all(r.n_tokens * 4 == len(r.ids) for r in seen["byte_bpe"].collect())
+
+
+def test_the_bench_times_corpus_queries():
+    assert {"op1_line_dedup", "op10_chat_format", "pipeline"} <= set(bench.selected(""))
+    assert set(bench.selected("op3_html_text,pipeline")) == {"op3_html_text", "pipeline"}
