@@ -16,7 +16,7 @@ from daybook.llm.decontamination import decontaminated
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_dedup
 from daybook.llm.quality_rules import quality_rules
-from daybook.llm.rows import quoted, stored
+from daybook.llm.rows import mark, quoted, remove_since, stored
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -70,8 +70,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again by the next."""
+    """All stages over ``documents``, each written and read again by the next.
+
+    What a stage read and stored on its way is removed when its result is written.
+    """
+    start = mark()
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         frame = stored(stage(spark, frame, sf_dir))
+        remove_since(start)
     return STAGES[-1][1](spark, frame, sf_dir)
