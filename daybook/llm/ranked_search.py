@@ -36,13 +36,16 @@ from pyspark.sql import functions as F
 
 from daybook.llm.cells import Best, against_all, parts_of_rows
 from daybook.llm.rows import KEY, KEY_TYPE, keyed, stored
+from daybook.llm.text_arrays import blocks
 
 BEST = 10
 #: Terms of all queries of a cell, about.
 CELL_TERMS = 1 << 17
 #: Documents of a bucket, and the products looked up at once.
 BUCKET = 512
-PRODUCTS = 1 << 22
+PRODUCTS = 1 << 20
+#: Text whose terms are counted at once.
+COUNTED_BYTES = 1 << 20
 #: Room for rounding in bounds, which are compared as doubles.
 SLACK = 1 + 1e-9
 #: What differences of sums may be short of, as a share of the sum.
@@ -51,7 +54,8 @@ ROUNDING = 1e-14
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 
-_COUNTED = f"{KEY_TYPE}, n long, terms array<string>, tfs array<int>"
+#: Terms hold no space, so one string has them all; it takes less room than a list.
+_COUNTED = f"{KEY_TYPE}, n long, terms string, tfs array<int>"
 _FOUND = "item_id long, item_key long, doc_id long, doc_key long, score long"
 
 
@@ -61,21 +65,22 @@ def terms_of(text: str | None) -> list[str]:
 
 def _counted(batches):
     for batch in batches:
-        counts = [Counter(terms_of(text)) for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("key"),
-                pa.array([x.total() for x in counts], pa.int64()),
-                pa.array([list(x) for x in counts], pa.list_(pa.string())),
-                pa.array([list(x.values()) for x in counts], pa.list_(pa.int32())),
-            ],
-            [*KEY, "n", "terms", "tfs"],
-        )
+        for block in blocks(batch, "text", COUNTED_BYTES):
+            counts = [Counter(terms_of(text)) for text in block.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("doc_id"),
+                    block.column("key"),
+                    pa.array([x.total() for x in counts], pa.int64()),
+                    pa.array([" ".join(x) for x in counts], pa.string()),
+                    pa.array([list(x.values()) for x in counts], pa.list_(pa.int32())),
+                ],
+                [*KEY, "n", "terms", "tfs"],
+            )
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """``n``, the different ``terms`` and their ``tfs`` of each row that ``keyed`` gives."""
+    """``n``, the different ``terms``, joined by spaces, and their ``tfs`` of each row that ``keyed`` gives."""
     return texts.mapInArrow(_counted, _COUNTED)
 
 
@@ -101,7 +106,7 @@ class _Bucket:
     """The vectors of some documents: impacts by column, then by document."""
 
     def __init__(self, docs: pa.StructArray, vocabulary: pa.Array):
-        doc, terms = _lists(docs.field("terms"))
+        doc, terms = _lists(pc.split_pattern(docs.field("terms"), " "))
         found = pc.index_in(terms, vocabulary)
         known = found.is_valid().to_numpy(zero_copy_only=False)
         doc, column = doc[known], found.drop_null().to_numpy().astype(np.int64)
@@ -213,11 +218,13 @@ class _Search:
 
 def _weighted(items: DataFrame, counted: DataFrame, documents: int) -> DataFrame:
     """Queries as vectors: ``item_id``, ``item_key``, ``terms`` and ``weights``, without weights of 0."""
-    entries = items.select(
-        F.col("doc_id").alias("item_id"), F.col("key").alias("item_key"), F.inline(F.arrays_zip("terms", "tfs"))
-    ).withColumnsRenamed({"terms": "term", "tfs": "times"})
+    pairs = F.arrays_zip(F.split("terms", " ").alias("term"), F.col("tfs").alias("times"))
+    entries = items.where("n > 0").select(
+        F.col("doc_id").alias("item_id"), F.col("key").alias("item_key"), F.inline(pairs).alias("term", "times")
+    )
     # counted per term before the join, so no frequent term is shuffled by itself
-    frequencies = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    spoken = counted.where("n > 0").select(F.explode(F.split("terms", " ")).alias("term"))
+    frequencies = spoken.groupBy("term").agg(F.count("*").alias("df"))
     rarity = F.floor(1000 * F.log(F.lit(2.0 * documents + 2) / (2 * F.col("df") + 1)))
     weights = (
         frequencies.join(entries.select("term").distinct(), "term")

@@ -160,10 +160,10 @@ def test_ranked_search_leaves_documents_out(monkeypatch):
     docs.sort(key=lambda x: -sum(v * v for v in x[1].values()))
     rows = pa.array(
         [
-            {"doc_id": i, "doc_key": 0, "terms": list(v), "impacts": list(v.values()), "norm": math.sqrt(sum(x * x for x in v.values()))}
+            {"doc_id": i, "doc_key": 0, "terms": " ".join(v), "impacts": list(v.values()), "norm": math.sqrt(sum(x * x for x in v.values()))}
             for i, v in docs
         ],
-        pa.struct({"doc_id": pa.int64(), "doc_key": pa.int64(), "terms": pa.list_(pa.string()), "impacts": pa.list_(pa.int32()), "norm": pa.float64()}),
+        pa.struct({"doc_id": pa.int64(), "doc_key": pa.int64(), "terms": pa.string(), "impacts": pa.list_(pa.int32()), "norm": pa.float64()}),
     )
     asked = pa.array(
         [{"item_id": i, "item_key": 0, "terms": list(q), "weights": list(q.values())} for i, q in enumerate(queries)],
