@@ -30,6 +30,8 @@ from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, mixed,
 TRAINING_ROWS = 4000
 BUCKET_BITS = 14
 THRESHOLD = 0.5
+#: Text whose features are built at once for the fit.
+FIT_BLOCK_BYTES = 1 << 18
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
@@ -146,38 +148,52 @@ def _balance(labels: np.ndarray) -> np.ndarray:
     return np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(labels)
 
 
-def _table(texts: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, feature and its share of the row's n-grams, block by block."""
-    parts, done = [], 0
-    for rows in blocks(texts, "text"):
-        for number, edges in Block(rows).features():
-            n = np.diff(edges)
-            row = np.repeat(np.arange(len(n)), n)
-            pair, times = np.unique(row * FEATURES + number, return_counts=True)
-            row = pair // FEATURES
-            share = (times / n[row]).astype(np.float32)
-            parts.append(((row + done).astype(np.int32), (pair % FEATURES).astype(np.int32), share))
-        done += rows.num_rows
-    return tuple(np.concatenate(x) for x in zip(*parts))
+class _Table:
+    """The features of many rows, kept as blocks of row, feature, and its share of the row's n-grams.
+
+    Ten bytes an entry are held; what a step computes is as large as one block.
+    """
+
+    def __init__(self, texts: pa.RecordBatch):
+        self.size = texts.num_rows
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        done = 0
+        for rows in blocks(texts, "text", FIT_BLOCK_BYTES):
+            for number, edges in Block(rows).features():
+                n = np.diff(edges)
+                row = np.repeat(np.arange(len(n)), n)
+                pair, times = np.unique(row * FEATURES + number, return_counts=True)
+                row = pair // FEATURES
+                share = (times / n[row]).astype(np.float32)
+                self.parts.append(((row + done).astype(np.int32), (pair % FEATURES).astype(np.uint16), share))
+            done += rows.num_rows
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        total = np.zeros(self.size)
+        for row, number, share in self.parts:
+            total += np.bincount(row, weights[number] * share, self.size)
+        return total
+
+    def slopes(self, errors: np.ndarray) -> np.ndarray:
+        """Each feature's sum of the rows' errors; rows without an error count nothing."""
+        total = np.zeros(FEATURES)
+        for row, number, share in self.parts:
+            total += np.bincount(number, errors[row] * share, FEATURES)
+        return total
 
 
 def fitted(texts: pa.RecordBatch, labels: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, float, float, float]:
     """Weights and bias from the ``seen`` rows, slope and shift of the probability from the others."""
-    rows, numbers, values = _table(texts)
-    used = seen[rows]
-    rows_seen, numbers_seen, values_seen = rows[used], numbers[used], values[used]
-    share = _balance(labels[seen])
+    table = _Table(texts)
     weight = np.zeros(len(labels))
-    weight[seen] = share
+    weight[seen] = _balance(labels[seen])
 
     def gradient(x):
-        score = np.bincount(rows_seen, x[numbers_seen] * values_seen, len(labels)) + x[-1]
-        error = weight * (_logistic(score) - labels)
-        slopes = np.bincount(numbers_seen, error[rows_seen] * values_seen, FEATURES)
-        return np.append(slopes + 1e-7 * x[:-1], error.sum())
+        error = weight * (_logistic(table.scores(x[:-1]) + x[-1]) - labels)
+        return np.append(table.slopes(error) + 1e-7 * x[:-1], error.sum())
 
     model = _adam(gradient, FEATURES + 1, 120, 1.0)
-    score = np.bincount(rows, model[numbers] * values, len(labels)) + model[-1]
+    score = table.scores(model[:-1]) + model[-1]
     other = ~seen if len(set(labels[~seen])) == 2 else np.ones(len(labels), bool)
 
     def platt(x):
@@ -189,6 +205,7 @@ def fitted(texts: pa.RecordBatch, labels: np.ndarray, seen: np.ndarray) -> tuple
 
 
 def _fit(batches):
+    # at most TRAINING_ROWS rows, in a task of its own
     rows = pa.Table.from_batches(list(batches))
     rows = rows.take(pa.compute.sort_indices(rows, [("doc_id", "ascending"), ("quality", "ascending")]))
     labels = rows.column("quality").to_numpy().astype(float)
@@ -212,8 +229,8 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS):
         .limit(rows)
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # at most ``rows`` rows of two numbers
-    known = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "quality"])
+    # at most ``rows`` rows of two numbers; of texts that share an id the least is taken
+    known = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     model = known.repartition(1).mapInArrow(_fit, _MODEL).first()
     return model and (np.array(model["weights"]), model["bias"], model["slope"], model["shift"])
 
