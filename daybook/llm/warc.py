@@ -211,11 +211,14 @@ def archived(content: bytes) -> Iterator[bytes]:
 # --- writing --------------------------------------------------------------------------------
 
 
-def trained(pages: DataFrame) -> bytes | None:
-    """A dictionary for pages, or None where there are too few to train one."""
+def trained(pages: DataFrame, count: int) -> bytes | None:
+    """A dictionary for ``count`` pages, or None where there are too few to train one."""
+    place = F.xxhash64("page_id", "payload")
+    # about two samples' worth of rows pass, however many tasks there are; the first of them are taken
     sample = (
-        pages.where("length(payload) > 0")
-        .orderBy(F.xxhash64("page_id", "digest"))
+        pages.where(F.pmod(place, F.lit(max(count, 1))) < 2 * SAMPLES)
+        .where("length(payload) > 0")
+        .orderBy(place, "page_id")
         .select(F.substring("payload", 1, SAMPLE_BYTES).alias("start"))
         .limit(SAMPLES)
     )
@@ -284,7 +287,7 @@ def write_warc(
     """Writes the records of ``pages`` (``page_id``, ``url``, ``html``) as archive files below ``path``."""
     rows = with_targets(pages, least_bytes)
     payloads = pages.select(F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"), "page_id")
-    dictionary = trained(payloads.withColumn("digest", F.xxhash64("payload")))
+    dictionary = trained(payloads, pages.count())
     frames = rows.mapInArrow(lambda batches: _frames(batches, dictionary, date), _FRAMES)
     # Bytes pass through the text writer as they are. The files' order is that of the records.
     lines = frames.sortWithinPartitions("volume", "number").select(F.col("frame").cast("string").alias("value"), "volume")
