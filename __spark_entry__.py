@@ -22,20 +22,24 @@ from daybook.functions.numbers import number
 from daybook.operators import pricing, quality, quote_store, reports, volumes
 from daybook.operators.editions import Publication
 from daybook.operators.extraction import extract_with_rejects
+from daybook.operators.quote_objects import put_quotes
 from daybook.operators.sinks import (
     append_rows,
     as_table,
     land,
     replace_partitions,
     store_quotes,
+    write_lines,
 )
 from daybook.operators.totals import summed
 from daybook.operators.updates import updated
+from daybook.plans.control import control_totals, published_profile
 from daybook.plans.initial_load import initial_load as load_delivery
 from daybook.plans.lake import Lake
+from daybook.plans.quarantine import land_with_quarantine, quarantined, replay
 from daybook.plans.refresh import apply_valuations, refresh, worklist
 from daybook.plans.validation import validate
-from daybook.session import scratch_dir
+from daybook.session import scratch_dir, settled
 from daybook.sources.events import (
     currency,
     event_date,
@@ -45,9 +49,14 @@ from daybook.sources.events import (
     event_transactions,
 )
 from daybook.sources.metrics import read_metrics, read_project_metrics
-from daybook.sources.quotes import read_responses, response_quotes
-from daybook.sources.transactions import stream_transactions
-from daybook.streaming.arrivals import refresh_on_arrival
+from daybook.sources.quotes import (
+    read_quote_objects,
+    read_responses,
+    response_quotes,
+    stream_responses,
+)
+from daybook.sources.transactions import read_landed, stream_transactions
+from daybook.streaming.arrivals import refresh_on_arrival, reprice_on_arrival
 
 # The corpus operators are an optional part: without their folder the other queries remain.
 try:
@@ -373,6 +382,137 @@ def stream_refresh(spark, sf_dir):
     return pricing.priced(read_metrics(spark, lake.metrics))
 
 
+def unpublished_run(spark, sf_dir):
+    """A run that wrote other figures and new quotes but was stopped before it published shows nothing."""
+    lake = _lake(spark, sf_dir)
+    load_delivery(spark, _deliveries(spark, sf_dir), lake)
+    refresh(spark, lake)
+    run = Publication(spark, lake.catalogue)
+    store_quotes(_quotes(spark, sf_dir).withColumn("price", F.col("price") * 2), lake.quotes, run)
+    run.replace(as_table(_unvalued(spark, sf_dir), schemas.METRICS), lake.metrics)
+    refresh(spark, lake, dates=[])
+    return read_metrics(spark, lake.metrics)
+
+
+def quote_objects(spark, sf_dir):
+    """Quotes as JSON objects per symbol and day; those without a price are put again, one by one."""
+    path = f"{scratch_dir(spark)}/prices"
+    put_quotes(_quotes(spark, sf_dir), path)
+    lacking = read_quote_objects(spark, path).where(F.col("price").isNull())
+    put_quotes(settled(lacking).withColumn("price", F.lit(1.5)), path)
+    return read_quote_objects(spark, path)
+
+
+def quote_objects_import(spark, sf_dir):
+    """Quotes that were kept as objects value the transactions."""
+    path = f"{scratch_dir(spark)}/prices"
+    put_quotes(_quotes(spark, sf_dir), path)
+    lake = Lake.under(scratch_dir(spark))
+    lake.create(spark)
+    store_quotes(read_quote_objects(spark, path), lake.quotes)
+    load_delivery(spark, _deliveries(spark, sf_dir), lake)
+    refresh(spark, lake)
+    return pricing.priced(read_metrics(spark, lake.metrics))
+
+
+def stream_quotes(spark, sf_dir):
+    """Answers for even days arrive before the transactions, the others after."""
+    lake = _lake(spark, sf_dir)
+    answers = f"{scratch_dir(spark)}/answers"
+    progress = scratch_dir(spark)
+    responses = settled(event_responses(_events(spark, sf_dir)))
+
+    def arrive(days):
+        responses.where(days).write.mode("append").json(answers)
+        arriving = stream_responses(spark, answers)
+        reprice_on_arrival(arriving, lake, f"{progress}/answers").awaitTermination()
+
+    arrive(F.day("date") % 2 == 0)
+    arriving = stream_transactions(spark, _deliveries(spark, sf_dir))
+    refresh_on_arrival(arriving, lake, "events", f"{progress}/events").awaitTermination()
+    arrive(F.day("date") % 2 == 1)
+    return read_metrics(spark, lake.metrics)
+
+
+def stream_restart(spark, sf_dir):
+    """The stream's progress is lost: the files that were taken up do not count again."""
+    lake = _lake(spark, sf_dir)
+    folder = _deliveries(spark, sf_dir)
+    for most in (3, 1):
+        arriving = stream_transactions(spark, folder, max_files_per_trigger=most)
+        query = refresh_on_arrival(arriving, lake, "events", f"{scratch_dir(spark)}/progress")
+        query.awaitTermination()
+    return pricing.priced(read_metrics(spark, lake.metrics))
+
+
+def _loaded(spark, sf_dir):
+    lake = _lake(spark, sf_dir)
+    load_delivery(spark, _deliveries(spark, sf_dir), lake)
+    refresh(spark, lake)
+    return lake
+
+
+def landed_control_totals(spark, sf_dir):
+    """Counts kept at landing against those of the refresh, from what was published alone."""
+    return control_totals(spark, _loaded(spark, sf_dir))
+
+
+def kept_profile(spark, sf_dir):
+    """Rows, dates and nulls as counted when the metrics were written."""
+    return published_profile(spark, _loaded(spark, sf_dir))
+
+
+def _spoiled_deliveries(spark, sf_dir):
+    """Delivered lines of which errors lack their last cell and sign-ups have one too many."""
+    path = f"{scratch_dir(spark)}/spoiled"
+    records = event_records(_events(spark, sf_dir))
+    quoted = [F.concat(F.lit('"'), F.replace(F.col(x), F.lit('"'), F.lit('""')), F.lit('"')) for x in ("props", "nums")]
+    line = (
+        F.when(F.col("props").contains("WETH"), F.concat_ws(",", "ts", "project_id", quoted[0]))
+        .when(F.col("props").contains("USDC.E"), F.concat_ws(",", "ts", "project_id", *quoted, F.lit("x")))
+        .otherwise(F.concat_ws(",", "ts", "project_id", *quoted))
+    )
+    # A separator that does not occur leaves the lines as they are, below a header of their own.
+    lines = records.select(line.alias(",".join(schemas.RAW_COLUMNS))).repartition(4)
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
+    return path
+
+
+def csv_rejects(spark, sf_dir):
+    """Lines kept aside, by what is wrong with them, and the days whose other lines were landed."""
+    lake = _lake(spark, sf_dir)
+    land_with_quarantine(spark, _spoiled_deliveries(spark, sf_dir), lake, "shop")
+    landed = read_landed(spark, lake.bronze).select("date", F.lit("none").alias("problem"))
+    problem = F.when(F.col("line").endswith(",x"), F.lit("too many")).otherwise(F.lit("too few"))
+    aside = quarantined(spark, lake).where(F.col("file").contains("/spoiled/part-"))
+    day = F.to_date(F.substring("line", 1, 10))
+    both = landed.unionByName(aside.select(day.alias("date"), problem.alias("problem")))
+    return both.groupBy("date", "problem").agg(F.count("*").alias("lines"))
+
+
+def csv_replay(spark, sf_dir):
+    """Lines kept aside are put right and landed after all: the figures are those of whole deliveries."""
+    lake = _lake(spark, sf_dir)
+    land_with_quarantine(spark, _spoiled_deliveries(spark, sf_dir), lake, "shop")
+    refresh(spark, lake)
+    amount = F.lit(',"{""currencyValueDecimal"":""1""}"')
+    repaired = F.when(F.col("line").endswith(",x"), F.expr("left(line, length(line) - 2)")).otherwise(
+        F.concat("line", amount)
+    )
+    refresh(spark, lake, replay(spark, lake, "shop", repaired))
+    return read_metrics(spark, lake.metrics).select(
+        "date", "currency_symbol", "project_id", "num_transactions", "raw_volume"
+    )
+
+
+def report_files(spark, sf_dir):
+    """A report written as files of JSON lines, read back in the order of the files and lines."""
+    path = f"{scratch_dir(spark)}/report"
+    report = reports.json_records(reports.daily_volumes(_metrics(spark, sf_dir)))
+    write_lines(report, path, most=50)
+    return spark.read.text(path).select(F.col("value").alias("record"))
+
+
 _QUERIES = (
     tx_extract,
     rejected_records,
@@ -413,6 +553,16 @@ _QUERIES = (
     late_quotes,
     stored_update,
     stream_refresh,
+    unpublished_run,
+    quote_objects,
+    quote_objects_import,
+    stream_quotes,
+    stream_restart,
+    landed_control_totals,
+    kept_profile,
+    csv_rejects,
+    csv_replay,
+    report_files,
 )
 
 
@@ -691,4 +841,38 @@ WHERE t.currency_symbol IN ('MATIC', 'SFL') AND nullif(m.price, 0) IS NULL"""),
             "SELECT * EXCLUDE (expected_usd_volume) FROM updated",
         ),
         "stream_refresh": _over_metrics(_PRICED),
+        "unpublished_run": _over_metrics("SELECT * FROM metrics"),
+        "quote_objects": _sql(
+            _TX, _QUOTES, "SELECT symbol, date, COALESCE(price, 1.5) AS price FROM quotes"
+        ),
+        "quote_objects_import": _over_metrics(_PRICED),
+        "stream_quotes": _sql(
+            _TX, *_ALL_QUOTES, _VOLUMES, _RESOLVED, _METRICS, "SELECT * FROM metrics"
+        ),
+        "stream_restart": _over_metrics(_PRICED),
+        "landed_control_totals": _sql(_TX, """
+SELECT date, count(*) AS landed, count(*) AS read, count(amount) AS countable,
+       count(amount) AS counted, true AS matches
+FROM tx GROUP BY date"""),
+        "kept_profile": _over_metrics("""
+SELECT count(*) AS total_rows, count(*) - count(date) AS null_date,
+       count(*) - count(project_id) AS null_project_id,
+       count(*) - count(num_transactions) AS null_num_transactions,
+       count(*) - count(usd_volume) AS null_usd_volume, count(DISTINCT date) AS unique_dates
+FROM metrics"""),
+        "csv_rejects": _sql(_TX, """
+SELECT date, CASE currency_symbol WHEN 'WETH' THEN 'too few' WHEN 'USDC.E' THEN 'too many' ELSE 'none'
+       END AS problem, count(*) AS lines
+FROM tx GROUP BY 1, 2"""),
+        "csv_replay": _sql(_TX, """
+SELECT date, currency_symbol, project_id, count(amount) AS num_transactions,
+       CAST(sum(CASE currency_symbol WHEN 'WETH' THEN 1 ELSE amount END) AS DOUBLE) AS raw_volume
+FROM tx GROUP BY date, currency_symbol, project_id"""),
+        "report_files": _over_metrics(f"""
+SELECT CAST(to_json(struct_pack(
+         currency_symbol := currency_symbol,
+         date := strftime(date, '%a, %d %b %Y 00:00:00 GMT'),
+         total_usd_volume := total_usd_volume,
+         transactions := transactions)) AS VARCHAR) AS record
+FROM ({_DAILY})"""),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 import re
 import uuid
 from collections.abc import Iterable, Mapping
@@ -16,7 +17,10 @@ from daybook.functions.dates import wall_clock_date
 from daybook.operators.editions import Publication, catalogued
 from daybook.operators.quote_store import one_quote_a_day
 from daybook.session import children, matching, remove_folder, write_text
-from daybook.sources.transactions import DELIVERIES, landed_dates
+from daybook.sources.transactions import DELIVERIES, NO_VALUE, landed_records
+
+#: Dates that a delivery can have before they are counted by a job of their own.
+MOST_DATES = 10_000
 
 
 def _gathered(frame: DataFrame, column: str) -> DataFrame:
@@ -56,8 +60,8 @@ def land(
 
     Landing under a label that exists replaces what was there, on all of its dates and in one step: the
     records are written below a new folder, and a small file per label says which folder holds.
-    Records without a date are kept as well, under the date NULL. Returns the dates that had or have
-    records of this label.
+    Records without a date are kept as well, under the date NULL. The same file keeps how many records
+    each date has, counted in the writing tasks. Returns the dates that had or have records of this label.
 
     Rows are sorted by date within each task, not shuffled, so a task leaves a file per date that
     it saw. ``gather`` brings the rows of a date together first.
@@ -65,22 +69,45 @@ def land(
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"a batch label has letters, digits, '_', '-' and '.' only: {batch!r}")
     spark = transactions.sparkSession
-    former = landed_dates(spark, path, batch)
+    former = landed_records(spark, path, batch).keys()
     dated = transactions.select(*schemas.RAW_COLUMNS, wall_clock_date("ts").alias("date"))
     rows = _gathered(dated, "date") if gather else dated
     edition = uuid.uuid4().hex
-    rows.write.partitionBy("date").parquet(f"{path}/batch={batch}/edition={edition}")
-    write_text(spark, f"{path}/{DELIVERIES}/{batch}", edition, replace=True)
+    folder = f"{path}/batch={batch}/edition={edition}"
+    dates = _write_counted(rows, folder) if not transactions.isEmpty() else {}
+    delivery = {"edition": edition, "records": {NO_VALUE if d is None else str(d): n for d, n in dates.items()}}
+    write_text(spark, f"{path}/{DELIVERIES}/{batch}", json.dumps(delivery), replace=True)
     for name in children(spark, f"{path}/batch={batch}"):
         if name != f"edition={edition}":  # named no more, or left by a run that was killed
             remove_folder(spark, f"{path}/batch={batch}/{name}")
-    dates = former | landed_dates(spark, path, batch)
-    return sorted(dates, key=lambda day: (day is not None, day))
+    return sorted(former | dates.keys(), key=lambda day: (day is not None, day))
+
+
+def _write_counted(rows: DataFrame, folder: str) -> dict[datetime.date | None, int]:
+    """Writes landed records and returns how many each date has, as counted by the writing tasks."""
+    seen = Observation()
+    # Bars of one date are the first to be joined, so dates stay apart while there are fewer than bars.
+    bars = F.histogram_numeric(F.unix_date("date"), F.lit(MOST_DATES))
+    undated = F.count(F.when(F.col("date").isNull(), 1))
+    counted = rows.observe(
+        seen, bars.alias("bars"), undated.alias("undated"), F.count("*").alias("records")
+    )
+    counted.write.partitionBy("date").parquet(folder)
+    bars, undated, records = (seen.get[name] for name in ("bars", "undated", "records"))
+    days: dict[int, int] = {}
+    for bar in bars or []:  # tasks' bars stand side by side until there are too many
+        days[round(bar["x"])] = days.get(round(bar["x"]), 0) + round(bar["y"])
+    if len(days) < MOST_DATES and sum(days.values()) + undated == records:
+        first = datetime.date(1970, 1, 1)
+        dates = {first + datetime.timedelta(days=day): n for day, n in days.items()}
+        return dates | ({None: undated} if undated else {})
+    landed = rows.sparkSession.read.schema(f"{schemas.RAW}, date date").parquet(folder)
+    return {row.date: row["count"] for row in landed.groupBy("date").count().collect()}
 
 
 def unland(spark: SparkSession, path: str, batch: str) -> list[datetime.date | None]:
     """Takes back all records of a label; returns their dates."""
-    former = landed_dates(spark, path, batch)
+    former = landed_records(spark, path, batch).keys()
     remove_folder(spark, f"{path}/{DELIVERIES}/{batch}")
     remove_folder(spark, f"{path}/batch={batch}")
     return sorted(former, key=lambda day: (day is not None, day))
@@ -104,6 +131,15 @@ def store_quotes(quotes: DataFrame, path: str, run: Publication | None = None) -
         run.publish()
 
 
+def write_lines(lines: DataFrame, path: str, most: int = 1_000_000) -> None:
+    """Writes a relation of one text column as files of at most ``most`` lines each.
+
+    An ordered relation is dealt to tasks by ranges, so the files in the order of their names hold the lines
+    in order, and no task or driver sees all. An existing path is not written to.
+    """
+    lines.write.option("maxRecordsPerFile", most).text(path)
+
+
 def as_table(frame: DataFrame, schema: str) -> DataFrame:
     """Columns of a table, in its order."""
     return frame.select(*StructType.fromDDL(schema).names)

@@ -19,7 +19,7 @@ CURRENCY_KEY = ("date", "currency_symbol", "project_id")
 def _totals(transactions: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Count and sum of the amounts that are numbers; the sum of none is 0."""
     amount = without_nan("amount")
-    counts = {"num_transactions": F.count(amount)}
+    counts = {"num_transactions": F.count(amount), "records": F.count("*")}
     totals = summed(transactions, keys, amount, "raw_volume", counts)
     return totals.withColumn("raw_volume", F.coalesce("raw_volume", F.lit(0.0)))
 
@@ -45,20 +45,20 @@ def keyed_groups(groups: DataFrame, *keys: str) -> DataFrame:
 
 def project_metrics(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date and project, over all currencies together."""
-    return keyed_groups(_totals(transactions, PROJECT_KEY), *PROJECT_KEY)
+    return keyed_groups(_totals(transactions, PROJECT_KEY), *PROJECT_KEY).drop("records")
 
 
 def all_volumes(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date, currency and project; absent keys form groups of their own.
 
-    Both other volume relations follow from this one, so that a job parses its source once.
+    ``records`` counts amounts that are not numbers as well. Both other volume relations follow from this one, so that a job parses its source once.
     """
     return _totals(transactions, CURRENCY_KEY)
 
 
 def currency_volumes(transactions: DataFrame) -> DataFrame:
     """Count and raw sum per date, currency and project."""
-    return keyed_groups(all_volumes(transactions), *CURRENCY_KEY)
+    return keyed_groups(all_volumes(transactions), *CURRENCY_KEY).drop("records")
 
 
 def project_metrics_of(volumes: DataFrame) -> DataFrame:

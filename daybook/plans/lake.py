@@ -21,6 +21,7 @@ class Lake:
     metrics: str
     project_metrics: str
     arrivals: str
+    quarantine: str
     catalogue: str
     database: str | None = None
 
@@ -33,6 +34,7 @@ class Lake:
             metrics=f"{root}/daily_metrics",
             project_metrics=f"{root}/daily_project_metrics",
             arrivals=f"{root}/arrivals",
+            quarantine=f"{root}/quarantine",
             catalogue=f"{root}/_catalogue",
             database=database,
         )
@@ -48,6 +50,7 @@ class Lake:
         """Creates what does not exist yet; rows already there stay."""
         create_empty(spark, self.arrivals, schemas.ARRIVALS)
         enter(spark, self.quotes, self.catalogue, "quotes")
+        enter(spark, self.quarantine, self.catalogue, "quarantine")
         for name, (path, schema) in self._shown().items():
             enter(spark, path, self.catalogue, name)
             if self.database:
@@ -65,4 +68,4 @@ class Lake:
 
     def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
         """Removes what the last ``keep`` publications do not name; not while a run is writing."""
-        vacuum(spark, self.catalogue, (self.quotes, self.metrics, self.project_metrics), keep)
+        vacuum(spark, self.catalogue, (self.quotes, self.quarantine, *[p for p, _ in self._shown().values()]), keep)

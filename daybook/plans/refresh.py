@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook import schemas
@@ -30,6 +30,16 @@ from daybook.sources.quotes import quotes_of, read_quotes, response_quotes
 from daybook.sources.transactions import read_landed
 
 
+#: The name under which control totals of the records read are kept.
+SOURCE = "source"
+
+
+def _metrics_counts() -> dict[str, Column]:
+    """Kept of each date of the metrics, counted in what was written."""
+    nulls = {f"null_{n}": F.count(F.when(F.col(n).isNull(), 1)) for n in schemas.METRICS_REQUIRED}
+    return {"rows": F.count("*"), "transactions": F.sum("num_transactions"), **nulls}
+
+
 def worklist(
     spark: SparkSession, lake: Lake, coin_ids: Mapping[str, str] = COIN_IDS
 ) -> DataFrame:
@@ -100,7 +110,8 @@ def reprice(
         touched = touched.where(~F.col("date").isin(but_not))
     rows = on_dates(metrics, settled(touched))
     quotes = run.read(lake.quotes, schemas.QUOTES)
-    run.replace_written(as_table(repriced(rows, quotes, coin_ids), schemas.METRICS), lake.metrics, "date")
+    fresh = as_table(repriced(rows, quotes, coin_ids), schemas.METRICS)
+    run.replace_written(fresh, lake.metrics, "date", _metrics_counts())
     if own:
         lake.publish(spark, run)
 
@@ -110,7 +121,8 @@ def apply_valuations(spark: SparkSession, lake: Lake, valuations: DataFrame) ->
     run = Publication(spark, lake.catalogue)
     new = settled(valuations.where(F.col("price").isNotNull()))
     rows = on_dates(run.read(lake.metrics, schemas.METRICS), new.select("date").distinct())
-    run.replace_written(as_table(updated(rows, new), schemas.METRICS), lake.metrics, "date")
+    fresh = as_table(updated(rows, new), schemas.METRICS)
+    run.replace_written(fresh, lake.metrics, "date", _metrics_counts())
     lake.publish(spark, run)
 
 
@@ -145,10 +157,23 @@ def refresh(
     run.replace(projects, lake.project_metrics, dates)
     quotes = run.read(lake.quotes, schemas.QUOTES)
     metrics = valued(with_keys(volumes, *schemas.METRICS_KEY), quotes, coin_ids)
-    run.replace(as_table(metrics, schemas.METRICS), lake.metrics, dates)
+    run.replace(as_table(metrics, schemas.METRICS), lake.metrics, dates, _metrics_counts())
+    _keep_control_totals(run, volumes, dates)
     lake.publish(spark, run)
 
 
+def _keep_control_totals(
+    run: Publication, volumes: DataFrame, dates: list[datetime.date] | None
+) -> None:
+    """How many records the run read for each date, and how many of them metrics rows must count."""
+    keyed = F.forall(F.array(*[F.col(x).isNotNull() for x in schemas.METRICS_KEY]), lambda x: x)
+    countable = F.sum(F.when(keyed, F.col("num_transactions")).otherwise(0))
+    counted = volumes.groupBy("date").agg(
+        F.sum("records").alias("records"), countable.alias("countable")
+    )
+    run.keep_facts(SOURCE, counted, None if dates is None else [f"date={day}" for day in dates])
+
+
 def _run(spark: SparkSession, lake: Lake, run: Publication | None) -> tuple[Publication, bool]:
     """The run, or a new one that its user publishes."""
     return (Publication(spark, lake.catalogue), True) if run is None else (run, False)

@@ -10,6 +10,9 @@ TRANSACTIONS = "date date, project_id bigint, currency_symbol string, amount dou
 # Files taken up from a folder; ``done`` comes after their batch is landed and valued.
 ARRIVALS = "file string, size bigint, label string, done boolean"
 
+# CSV lines that do not fit their header.
+QUARANTINE = "line string, cells int, file string, block bigint, batch string"
+
 QUOTES = "symbol string, date date, price double"
 RESPONSES = "symbol string, date date, status_code int, body string"
 

@@ -42,3 +42,45 @@ def test_commands(spark, tmp_path, deliveries, capsys):
     progress = str(tmp_path / "progress")
     assert run("arrivals", str(folder), "--name", "in", "--progress", progress)[0] == 0
     assert run("verify")[1][1] == f"2024-04-15\tSFL\t1\t{2.5 * 0.05:.2f}"
+
+
+def test_further_commands(spark, tmp_path, deliveries, capsys, monkeypatch):
+    root = str(tmp_path / "lake")
+
+    def run(command, *more):
+        status = main([command, root, *more])
+        return status, capsys.readouterr().out.splitlines()
+
+    objects = tmp_path / "prices"
+    for symbol, day, price in QUOTES:
+        (objects / symbol).mkdir(parents=True, exist_ok=True)
+        (objects / symbol / f"{day}.json").write_text(json.dumps({"price": price}))
+    assert run("quotes-import", str(objects))[0] == 0
+    assert run("quotes-export", str(tmp_path / "out")) == (0, [f"{len(QUOTES)} objects"])
+    kept = {p.relative_to(objects): json.loads(p.read_text()) for p in objects.rglob("*.json")}
+    assert kept == {p.relative_to(tmp_path / "out"): json.loads(p.read_text()) for p in (tmp_path / "out").rglob("*.json")}
+
+    good = write_csv(tmp_path / "in" / "a.csv", TRANSACTIONS)
+    with open(good, "a") as more:
+        more.write("2024-04-15,7,{}\n")
+    assert run("load-checked", good, "--batch", "shop")[0] == 0
+    assert [line.split("\t")[0] for line in run("rejects")[1]] == ["2024-04-15,7,{}"]
+    assert run("refresh")[0] == 0
+    assert [line.split("\t")[-1] for line in run("control")[1]] == ["true"] * 3
+
+    shown = run("daily-volumes")[1]
+    assert run("daily-volumes", "--out", str(tmp_path / "report")) == (0, [])
+    files = sorted((tmp_path / "report").glob("part-*"))
+    assert "".join(p.read_text() for p in files).splitlines() == shown
+    monkeypatch.setattr("daybook.__main__.SHOWN", 2)
+    assert run("daily-volumes")[1] == shown[:2]
+
+    body = json.dumps({"market_data": {"current_price": {"usd": 0.9}}})
+    answer = {"symbol": "MATIC", "date": str(DAY15), "status_code": 200, "body": body}
+    (tmp_path / "answers").mkdir()
+    (tmp_path / "answers" / "a.json").write_text(json.dumps(answer))
+    assert run("answers", str(tmp_path / "answers"), "--progress", str(tmp_path / "p"))[0] == 0
+    monkeypatch.setattr("daybook.__main__.SHOWN", 100)
+    assert run("verify")[1][0] == "2024-04-15\tMATIC\t1\t1.80"
+    assert run("vacuum")[0] == 0
+    assert len(run("verify")[1]) == len(shown)

@@ -5,7 +5,12 @@ from __future__ import annotations
 import datetime
 import json
 
+import pyarrow as pa
+import pytest
+
 from daybook import schemas
+from daybook.operators import quote_objects
+from daybook.operators.quote_objects import put_quotes
 from daybook.operators.sinks import store_quotes
 from daybook.sources.quotes import (
     quotes_of,
@@ -76,3 +81,55 @@ def test_responses(spark, tmp_path):
         ("MATIC", NEXT, None),
         ("SFL", NEXT, None),
     }
+
+
+def objects(path):
+    return {str(p.relative_to(path)): p.read_text() for p in path.rglob("*") if p.is_file()}
+
+
+def test_putting_quote_objects(spark, tmp_path):
+    rows = [("SFL", DAY, 0.05), ("SFL", NEXT, None), ("USDC.E", DAY, 1.0), ("A+B C%2F=é", DAY, float("nan")), ("SFL", DAY, 0.04)]
+    path = f"file:{tmp_path}/prices"
+    assert put_quotes(spark.createDataFrame(rows, schemas.QUOTES), path) == 4
+    assert objects(tmp_path / "prices") == {
+        "SFL/2024-04-15.json": '{"price": 0.04}',
+        "SFL/2024-04-16.json": '{"price": null}',
+        "USDC.E/2024-04-15.json": '{"price": 1.0}',
+        "A+B C%2F=é/2024-04-15.json": '{"price": null}',
+    }
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "prices").rglob("*.json")}
+    assert put_quotes(spark.createDataFrame([("SFL", NEXT, 0.06)], schemas.QUOTES), path) == 1
+    changed = [p.name for p, at in untouched.items() if p.stat().st_mtime_ns != at]
+    assert changed == ["2024-04-16.json"]
+    found = {(r.symbol, r.date): r.price for r in read_quote_objects(spark, path).collect()}
+    assert found == {("SFL", DAY): 0.04, ("SFL", NEXT): 0.06, ("USDC.E", DAY): 1.0, ("A+B C%2F=é", DAY): None}
+    assert put_quotes(spark.createDataFrame([], schemas.QUOTES), path) == 0
+
+
+@pytest.mark.parametrize("symbol", [None, "", "a/b", "..", "_hidden", ".x"])
+def test_symbols_that_are_no_folder(spark, tmp_path, symbol):
+    with pytest.raises(Exception, match="no quote object for"):
+        put_quotes(spark.createDataFrame([(symbol, DAY, 1.0)], schemas.QUOTES), str(tmp_path / "p"))
+    with pytest.raises(Exception, match="no quote object for"):
+        put_quotes(spark.createDataFrame([("SFL", None, 1.0)], schemas.QUOTES), str(tmp_path / "p"))
+    assert not (tmp_path / "p").exists()
+
+
+def test_an_object_is_whole_or_not_there(tmp_path, monkeypatch):
+    """A task that stops while it writes leaves the former body."""
+    path = str(tmp_path)
+    batch = pa.table({"symbol": ["SFL"], "date": ["2024-04-15"], "price": [1.0]}).to_batches()[0]
+    assert [b.to_pydict() for b in quote_objects._put([batch], path)] == [{"objects": [1]}]
+
+    def stopped(price):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(quote_objects, "body_of", stopped)
+    with pytest.raises(OSError):
+        list(quote_objects._put([batch], path))
+    assert (tmp_path / "SFL" / "2024-04-15.json").read_text() == '{"price": 1.0}'
+
+
+def test_paths_of_object_stores():
+    known = {"s3a://b/p": "s3://b/p", "file:/a/b": "/a/b", "file:///a": "file:///a", "/a": "/a", "hdfs://h/p": "hdfs://h/p"}
+    assert {path: quote_objects.known_path(path) for path in known} == known
