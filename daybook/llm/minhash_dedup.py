@@ -9,8 +9,8 @@ one; without words empty. Documents link where the sets' similarity is 75 % or m
 3. For classes that share a band, 1024 samples are folded into 4096 parity bits (an odd sketch). The
    bits in which two sketches differ tell the similarity with a deviation of 0.018; pairs
    estimated below ``LEAST_ESTIMATE`` (4.5 deviations under the threshold) are left out.
-4. Each class is compared with the least class of each of its bands: first the one that looks most
-   similar, then those of other components.
+4. Each class is compared with the least class of each of its bands: first the one with which it shares
+   most bands, then those of other components.
 5. Bands of three or more classes that still lie in different components are gone through
    in blocks, and all pairs from different components whose sketches admit a link are compared. So
    a group of near copies never yields all its pairs, and no pair that could join two
@@ -37,6 +37,7 @@ from daybook.llm.text_arrays import (
     blocks,
     lowered,
     mixed,
+    trimmed,
     utf8,
     window_starts,
 )
@@ -201,7 +202,7 @@ def _block(rows: list[dict]) -> dict[str, np.ndarray]:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``key``, ``n_shingles``, ``component_id``, ``kept`` for each row."""
     texts = keyed(docs)
-    profiles = stored(texts.mapInArrow(_profiles, _PROFILE))
+    profiles = stored(texts.mapInArrow(lambda b: trimmed(_profiles(b)), _PROFILE))
     kind = ["left", "right", "n_shingles"]
     able = profiles.where("n_shingles > 0 and doc_id is not null")
     classes = stored(
@@ -213,18 +214,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     involved = buckets.select(F.col("id").alias("doc_id")).distinct()
     asked = texts.join(involved, "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(asked.mapInArrow(_sets, _SET))
+    sets = stored(asked.mapInArrow(lambda b: trimmed(_sets(b)), _SET))
 
-    stars = buckets.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    stars = stored(_estimated(stars, sets))
-    best = stars.groupBy("b").agg(F.min(F.struct("bits", "a")).alias("best")).select("best.a", "b")
-    links = stored(_confirmed(best, sets))
+    stars = stored(
+        buckets.where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("shared"))
+    )
+    most = F.max_by("a", F.struct("shared", F.negative("a"))).alias("a")
+    best = stars.groupBy("b").agg(most).select("a", "b")
+    links = stored(_confirmed(_estimated(best, sets), sets))
     labels = components(links)
     apart = _labelled(stars.withColumnRenamed("a", "id"), labels).withColumnsRenamed(
         {"id": "a", "component": "other", "b": "id"}
     )
     apart = _labelled(apart, labels).where("component <> other").select("a", F.col("id").alias("b"))
-    links = stored(links.unionByName(_confirmed(apart, sets)))
+    links = stored(links.unionByName(_confirmed(_estimated(apart, sets), sets)))
     labels = components(links)
 
     placed = _labelled(buckets.where("size > 2"), labels)
@@ -245,7 +248,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     other = grouped.select("band", F.col("one").alias("two"))
     rest = grouped.join(other, "band").select("place", "one", "two")
-    rest = stored(rest.mapInArrow(_block_pairs, "a long, b long").distinct())
+    rest = stored(rest.mapInArrow(lambda b: trimmed(_block_pairs(b)), "a long, b long").distinct())
     if not rest.isEmpty():
         labels = components(links.unionByName(_confirmed(rest, sets)))
 
