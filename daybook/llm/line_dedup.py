@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.rows import KEY, KEY_TYPE, keyed, packed, stored, unpacked, with_lists
-from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, hash_runs, utf8, window_starts
+from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, hash_runs, trimmed, utf8, window_starts
 
 WINDOW = 3
 
@@ -69,7 +69,7 @@ def _windows(batches, size):
 
 def later_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row (``doc_id``, ``key``) the numbers of the lines that go."""
-    windows = stored(keyed(docs).mapInArrow(lambda b: _windows(b, size), _WINDOWS))
+    windows = stored(keyed(docs).mapInArrow(lambda b: trimmed(_windows(b, size)), _WINDOWS))
     place = F.struct("doc_id", "key", F.col("lines")[0].alias("line"))
     repeated = (
         windows.groupBy("first", "second")

@@ -19,13 +19,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.rows import packed, unpacked
-from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, mixed, utf8, window_starts
+from daybook.llm.text_arrays import RUN_BASES, RunHashes, Words, blocks, mixed, trimmed, utf8, window_starts
 
 TRAINING_ROWS = 4000
 BUCKET_BITS = 14
@@ -231,11 +230,13 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS):
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most ``rows`` rows of two numbers; of texts that share an id the least is taken
     known = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-    model = known.repartition(1).mapInArrow(_fit, _MODEL).first()
+    model = known.repartition(1).mapInArrow(lambda b: trimmed(_fit(b)), _MODEL).first()
     return model and (np.array(model["weights"]), model["bias"], model["slope"], model["shift"])
 
 
-_FIELDS = [*COUNTS, "base_failed", "probability", "kept"]
+_TYPES = {name: pa.int64() for name in COUNTS} | {
+    "base_failed": pa.bool_(), "probability": pa.float64(), "kept": pa.bool_()
+}
 _RESULT = (
     "struct<" + ", ".join(f"{name}: long" for name in COUNTS)
     + ", base_failed: boolean, probability: double, kept: boolean>"
@@ -247,12 +248,11 @@ def judged(docs: DataFrame, model) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf(_RESULT)
-    def judge(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(_RESULT)
+    def judge(texts: pa.Array) -> pa.Array:
         model = shared.value
         parts = []
-        batch = pa.RecordBatch.from_arrays([pa.Array.from_pandas(texts, type=pa.large_string())], ["text"])
-        for rows in blocks(batch, "text"):
+        for rows in blocks(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
             block = Block(rows)
             out = block.counts()
             failed = (out["n_words"] < MIN_WORDS) | (
@@ -264,11 +264,12 @@ def judged(docs: DataFrame, model) -> DataFrame:
                 weights, bias, slope, shift = model
                 chance = _logistic(slope * (block.scores(weights) + bias) + shift)
             out |= {"base_failed": failed, "probability": chance, "kept": ~failed & (chance >= THRESHOLD)}
-            parts.append(pd.DataFrame(out))
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=_FIELDS)
+            columns = [pa.array(out[name], kind) for name, kind in _TYPES.items()]
+            parts.append(pa.StructArray.from_arrays(columns, names=list(_TYPES)))
+        return pa.chunked_array(parts, pa.struct(_TYPES)).combine_chunks()
 
     out = packed(docs).withColumn("out", judge("text"))
-    return unpacked(out, docs.columns, {name: F.col("out")[name] for name in _FIELDS})
+    return unpacked(out, docs.columns, {name: F.col("out")[name] for name in _TYPES})
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.cells import Best, against_all, parts_of_rows
 from daybook.llm.rows import KEY, KEY_TYPE, keyed, stored
-from daybook.llm.text_arrays import blocks
+from daybook.llm.text_arrays import blocks, trimmed
 
 BEST = 10
 #: Terms of all queries of a cell, about.
@@ -81,7 +81,7 @@ def _counted(batches):
 
 def term_counts(texts: DataFrame) -> DataFrame:
     """``n``, the different ``terms``, joined by spaces, and their ``tfs`` of each row that ``keyed`` gives."""
-    return texts.mapInArrow(_counted, _COUNTED)
+    return texts.mapInArrow(lambda b: trimmed(_counted(b)), _COUNTED)
 
 
 def _lists(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array]:

@@ -14,6 +14,8 @@ of a thousand symbols and more can be made to collide there under every base.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,21 @@ _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, as a worker that waits for its next task keeps it else."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def trimmed(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches a task makes; at its end freed memory is given back."""
+    yield from found
+    give_back()
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each, and one row at least."""
     if not batch.num_rows:
@@ -80,7 +97,7 @@ def _power_table(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
     table = _powers.get(base)
     if table is None or len(table[0]) < size:
-        length = max(size, BLOCK_BYTES + 1)
+        length = max(size, 1 << 16)
         bases = (base, pow(base, -1, 1 << 64))
         steps = [np.full(length, x, np.uint64) for x in bases]
         for step in steps:
