@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.rows import KEY, KEY_TYPE, keyed, stored, with_lists
+from daybook.llm.rows import KEY, KEY_TYPE, keyed, salted_join, stored, with_lists
 from daybook.llm.text_arrays import (
     BYTE_SYMBOLS,
     WORD_BASE,
@@ -27,6 +27,7 @@ from daybook.llm.text_arrays import (
     blocks,
     hash_runs,
     sliding_min,
+    trimmed,
     utf8,
     window_starts,
 )
@@ -104,29 +105,31 @@ def repeats(docs: DataFrame, symbols_of: Symbols, window: int, anchor: int) -> R
     different segments with the anchor.
     """
     found = keyed(docs).mapInArrow(
-        lambda b: _segments(b, symbols_of, window, anchor),
+        lambda b: trimmed(_segments(b, symbols_of, window, anchor)),
         f"{KEY_TYPE}, first int, n int, anchor long, left long, right long",
     )
-    anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    candidates = stored(found.join(anchors.select("anchor"), "anchor"))
+    anchors = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    candidates = stored(salted_join(found, anchors, ["anchor"], "left_semi"))
     kind = ["anchor", "left", "right"]
     kinds = stored(
         candidates.groupBy(*kind).agg(
             F.count(F.lit(1)).alias("times"), F.min(F.struct(*KEY, "first", "n")).alias("one")
         )
     )
-    whole = candidates.join(kinds.where("times > 1").select(*kind), kind, "left_semi")
-    shared = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    again = kinds.where("times > 1").select(*kind, "times")
+    whole = salted_join(candidates, again, kind, "left_semi")
+    shared = stored(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
+    shared = shared.withColumn("times", F.col("kinds"))
     weight = F.least(F.col("times"), F.lit(2)).cast("int").alias("weight")
-    opened = kinds.join(shared, "anchor").select("anchor", "one.*", weight, "kinds")
+    opened = salted_join(kinds.select("anchor", "one.*", weight), shared, ["anchor"], "inner")
     return Repeats(whole.select(*KEY, "first", "n"), opened)
 
 
-def asked(docs: DataFrame, opened: DataFrame) -> DataFrame:
+def asked(docs: DataFrame, opened: DataFrame, shuffled: bool = False) -> DataFrame:
     """The texts of open segments, each with the list ``wanted`` of its segments."""
     part = F.struct("first", "n", "weight", "anchor")
     wanted = opened.groupBy(*KEY).agg(F.collect_list(part).alias("wanted"))
-    return with_lists(keyed(docs), wanted).where("wanted is not null")
+    return with_lists(keyed(docs), wanted, shuffled).where("wanted is not null")
 
 
 def _windows(batches, symbols_of: Symbols, window: int):
@@ -159,7 +162,7 @@ def compared(docs: DataFrame, opened: DataFrame, symbols_of: Symbols, window: in
     """Windows of the open segments that occur again, by their first half, then as a whole."""
     windows = stored(
         asked(docs, opened).mapInArrow(
-            lambda b: _windows(b, symbols_of, window),
+            lambda b: trimmed(_windows(b, symbols_of, window)),
             f"{KEY_TYPE}, first int, weight int, half long, full long",
         )
     )

@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from daybook.llm.rows import KEY, KEY_TYPE, packed, stored, unpacked, with_lists
 from daybook.llm.segments import asked, byte_symbols, compared, covered, repeats
 from daybook.llm.suffix_arrays import common_prefixes, suffix_array
-from daybook.llm.text_arrays import blocks, utf8
+from daybook.llm.text_arrays import blocks, trimmed, utf8
 
 WINDOW = 400
-ANCHOR = 48
+ANCHOR = 128
 HOT = 4096
 SHARD_BYTES = 1 << 20
 #: Bytes of segments for each task that builds shards.
@@ -138,13 +138,13 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
         F.coalesce(F.sum(F.col("n") + window), F.lit(0)),
         F.coalesce(F.max("kinds"), F.lit(0)),
     ).first()
-    pieces = asked(docs, opened.where(F.col("kinds") <= hot)).mapInArrow(
-        lambda b: _pieces(b, window), _PIECE
+    pieces = asked(docs, opened.where(F.col("kinds") <= hot), shuffled=True).mapInArrow(
+        lambda b: trimmed(_pieces(b, window)), _PIECE
     )
     tasks = max(int(total) // TASK_BYTES, 2 * docs.sparkSession.sparkContext.defaultParallelism)
     dealt = pieces.repartition(tasks, "anchor").sortWithinPartitions("anchor")
     runs = found.whole.unionByName(
-        dealt.mapInArrow(lambda b: _repeated(b, window), f"{KEY_TYPE}, first int, n int")
+        dealt.mapInArrow(lambda b: trimmed(_repeated(b, window)), f"{KEY_TYPE}, first int, n int")
     )
     if crowded > hot:
         rest = opened.where(F.col("kinds") > hot)
@@ -182,5 +182,5 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, ho
 
     runs = repeated_windows(docs, window, anchor, hot)
     lists = runs.groupBy(*KEY).agg(F.collect_list(F.struct("first", "n")).alias("runs"))
-    out = with_lists(packed(docs), lists).withColumn("out", rebuilt("text", "runs"))
+    out = with_lists(packed(docs), lists, shuffled=True).withColumn("out", rebuilt("text", "runs"))
     return unpacked(out, docs.columns, {name: F.col("out")[name] for name in names})
