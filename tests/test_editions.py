@@ -49,7 +49,7 @@ class Killed(Exception):
     pass
 
 
-@pytest.mark.parametrize("writes", [0, 1, 2, 3])
+@pytest.mark.parametrize("writes", [1, 3])
 def test_a_run_that_fails_between_tables_changes_nothing(spark, lake, deliveries, monkeypatch, writes):
     initial_load(spark, deliveries, lake)
     refresh(spark, lake)
@@ -262,7 +262,7 @@ def test_a_batch_that_failed_is_done_again_however_files_are_dealt(spark, lake,
         return stopped
 
     name = {"done": "enter_files"}.get(step, step)
-    for _ in range(2):
+    for _ in range(2 if step == "land" else 1):
         monkeypatch.setattr(arrivals, name, stopping(getattr(arrivals, name)))
         with pytest.raises(Exception, match="stopped here"):
             arrive(spark, lake, folder, tmp_path / "p1")
