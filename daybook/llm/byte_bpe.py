@@ -8,7 +8,8 @@ pieces that changed until none does. In pieces of more than ``LONG`` bytes all p
 rank are contracted in one round, of overlapping ones every second from the left; the tokens
 are the same. Decoding joins ids with the vocabulary and aggregates the bytes in order.
 
-Each task encodes a piece once and remembers it, at most ``REMEMBERED`` pieces at a time. Ids are
+A Python worker remembers the pieces it encoded for all its tasks of one call: the last ``REMEMBERED`` ones
+that were used, twice as many at most. Ids are
 little-endian unsigned 32-bit integers in a binary column. Null and empty texts have no tokens.
 Nothing depends on other rows, so repeated rows give equal results. Other columns pass unchanged,
 except those named like a result.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.rows import quoted
-from daybook.llm.text_arrays import blocks
+from daybook.llm.text_arrays import blocks, trimmed
 
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+BLOCK_BYTES = 1 << 20
 LONG = 64
 #: Bytes of pieces encoded by one query.
 QUERY_BYTES = 1 << 18
@@ -110,7 +113,10 @@ def merges(ranks: dict[bytes, int]) -> pa.Table:
 
 
 def _database() -> duckdb.DuckDBPyConnection:
-    return duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+    # what does not fit fails instead of going to a folder of the machine
+    return duckdb.connect(
+        config={"threads": 1, "memory_limit": "300MB", "temp_directory": "", "max_temp_directory_size": "0MB"}
+    )
 
 
 class Encoder:
@@ -118,18 +124,24 @@ class Encoder:
         self.ranks = vocabulary(content)
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks[bytes([byte])] for byte in range(256)], np.int32)
+        # pieces used since the younger memory was begun, and those used before
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.database = _database()
         table = merges(self.ranks)
         self.database.register("given", table)
         self.database.execute("CREATE TABLE merges AS FROM given")
+        self.database.unregister("given")
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         pieces = [self.pattern.findall(text) for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        fresh = {piece for each in pieces for piece in each if piece not in known}
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        fresh = set(chain.from_iterable(pieces)).difference(known)
+        again = [piece for piece in fresh if piece in older]
+        known.update((piece, older[piece]) for piece in again)
+        fresh.difference_update(again)
         parted: dict[str, bytes] = {}
         for piece in fresh:
             raw = piece.encode()
@@ -144,7 +156,7 @@ class Encoder:
         ):
             for group in _grouped(chosen, parted):
                 known.update(zip(group, self._contracted([parted[x] for x in group], rule)))
-        return [b"".join([known[piece] for piece in each]) for each in pieces]
+        return [b"".join(map(known.__getitem__, each)) for each in pieces]
 
     def _contracted(self, words: list[bytes], rule: str) -> list[bytes]:
         lengths = np.array([len(x) for x in words])
@@ -181,9 +193,9 @@ def _grouped(pieces: list[str], raw: dict[str, bytes]) -> Iterator[list[str]]:
 
 
 class Decoder:
-    def __init__(self, content: bytes):
-        ranks = vocabulary(content)
-        self.database = _database()
+    def __init__(self, content: bytes, encoder: Encoder | None = None):
+        ranks = encoder.ranks if encoder else vocabulary(content)
+        self.database = encoder.database if encoder else _database()
         table = pa.table(
             {
                 "id": pa.array(list(ranks.values()), pa.uint32()),
@@ -192,6 +204,7 @@ class Decoder:
         )
         self.database.register("given", table)
         self.database.execute("CREATE TABLE vocabulary AS FROM given")
+        self.database.unregister("given")
 
     def decoded(self, encoded: list[bytes]) -> list[bytes]:
         counts = np.array([len(x) // 4 for x in encoded])
@@ -226,11 +239,21 @@ class Decoder:
         return out
 
 
+def _kept(content, name: str, make):
+    """What a task made of the broadcast vocabulary, kept beside it for the worker's next tasks.
+
+    It goes when the broadcast does, which is at the latest when the driver no longer uses it.
+    """
+    if not hasattr(content, name):
+        setattr(content, name, make())
+    return getattr(content, name)
+
+
 def _coded(batches, column: str, content, pattern: str, decoded: bool):
-    encoder = Encoder(content.value, pattern)
-    decoder = Decoder(content.value) if decoded else None
+    encoder = _kept(content, "encoder", lambda: Encoder(content.value, pattern))
+    decoder = _kept(content, "both", lambda: Decoder(content.value, encoder)) if decoded else None
     for batch in batches:
-        for block in blocks(batch, column):
+        for block in blocks(batch, column, BLOCK_BYTES):
             ids = encoder.encoded(["" if x is None else x for x in block.column(column).to_pylist()])
             columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
             if decoder:
@@ -240,7 +263,7 @@ def _coded(batches, column: str, content, pattern: str, decoded: bool):
 
 
 def _decoded(batches, column: str, content):
-    decoder = Decoder(content.value)
+    decoder = _kept(content, "decoder", lambda: Decoder(content.value))
     for batch in batches:
         for at in range(0, batch.num_rows, DECODED_ROWS):
             rows = batch.slice(at, DECODED_ROWS)
@@ -272,7 +295,7 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
     content = _content(docs, path)
     results = dict(zip(RESULTS[: 2 + decoded], [T.BinaryType(), T.LongType(), T.BinaryType()]))
     given = _without(docs, list(results)).withColumn("text", F.col("text").cast("string"))
-    return _mapped(given, "text", lambda b, text: _coded(b, text, content, pattern, decoded), results)
+    return _mapped(given, "text", lambda b, text: trimmed(_coded(b, text, content, pattern, decoded)), results)
 
 
 def decode(frame: DataFrame, path: str) -> DataFrame:
@@ -280,4 +303,4 @@ def decode(frame: DataFrame, path: str) -> DataFrame:
     content = _content(frame, path)
     results = {"decoded": T.BinaryType()}
     given = _without(frame, list(results))
-    return _mapped(given, "ids", lambda b, ids: _decoded(b, ids, content), results)
+    return _mapped(given, "ids", lambda b, ids: trimmed(_decoded(b, ids, content)), results)
