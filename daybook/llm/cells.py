@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 #: Rows streamed through one cell, about, and the fewest that are worth a cell of their own.
 CELL_ROWS = 1 << 18
 LEAST_ROWS = 1 << 11
+#: Partitions for each cell: cells are dealt by hash, and few of them share one where there are more.
+SPREAD = 8
 
 
 class Work(Protocol):
@@ -89,7 +91,7 @@ def against_all(
     dealt_queries = queries.select(
         F.struct(*queries.columns).alias("query"), query_part.alias("part"), each_row_part.alias("copy")
     ).select((F.col("part") * row_parts + F.col("copy")).alias("cell"), F.lit(False).alias("is_row"), "query", no_row.alias("row"))
-    cells = dealt_rows.unionByName(dealt_queries).repartition(row_parts * query_parts, "cell")
+    cells = dealt_rows.unionByName(dealt_queries).repartition(SPREAD * row_parts * query_parts, "cell")
     return cells.sortWithinPartitions("cell", "is_row", *order).mapInArrow(
         lambda batches: _worked(batches, make), schema
     )
