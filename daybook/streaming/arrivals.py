@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.constants import COIN_IDS
@@ -42,7 +43,9 @@ def refresh_on_arrival(
         label = None if files.isEmpty() else new_label(name)
         if label is not None:
             enter_files(files, lake.arrivals, label, done=False)
-            touched.update(land(batch.join(files, ["file", "size"], "left_semi"), lake.bronze, label, gather))
+            # the names of a batch's files are with the driver already; a join by shuffle would take a file to one task
+            taken = batch.join(F.broadcast(files), ["file", "size"], "left_semi")
+            touched.update(land(taken, lake.bronze, label, gather))
         if touched:
             refresh(spark, lake, [day for day in touched if day], coin_ids=coin_ids)
         if label is not None:

@@ -273,6 +273,28 @@ def test_a_batch_that_failed_is_done_again_however_files_are_dealt(spark, lake,
     assert read_landed(spark, lake.bronze).count() == len(TRANSACTIONS)
 
 
+@pytest.mark.parametrize("lost", [False, True])
+def test_a_large_file_is_landed_by_several_tasks(spark, lake, tmp_path, lost):
+    """No task gets all records of a file, nor those of files that come again after lost progress."""
+    folder = tmp_path / "in"
+    settings = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    write_csv(folder / "a.csv", TRANSACTIONS * 100)
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        arrive(spark, lake, folder, tmp_path / "p1")
+        if lost:
+            write_csv(folder / "b.csv", TRANSACTIONS * 100)
+            arrive(spark, lake, folder, tmp_path / "p2")
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert read_landed(spark, lake.bronze).count() == len(TRANSACTIONS) * 100 * (1 + lost)
+    for batch in pathlib.Path(lake.bronze).glob("batch=*"):
+        tasks = {part.name.split("-")[1] for part in batch.rglob("part-*.parquet")}
+        assert len(tasks) > 3
+
+
 @pytest.mark.parametrize("order", ["answers first", "transactions first", "between"])
 def test_answers_and_transactions_in_any_order(spark, lake, tmp_path, order):
     folder, answers = tmp_path / "in", tmp_path / "answers"
