@@ -6,11 +6,10 @@ be shorter); benchmark items are the queries. Items of up to ``SHORT_WORDS`` wor
 of a passage for its cosine to show them; they take no part in steps 2 and 3 and are searched exactly.
 
 1. Document frequencies of hashed words are counted over the whole corpus and give each word's weight.
-2. A randomised SVD of TF-IDF passages gives the latent space: rounds of distributed products
-   with random vectors. It is fitted to the items and about ``FIT_PASSAGES`` passages at most, drawn by a
-   hash of document key and passage number, once from repeated rows. Items weigh ``ITEM_SHARE`` of the
-   passages in the fit, so its size does not push them out. The rank is the number of items of a block
-   (``ITEMS`` at most) and some more, so the items stay apart.
+2. A randomised SVD gives the latent space. Every TF-IDF passage of the corpus is added, with a random sign,
+   to one of ``SKETCH`` rows, ``GROUP`` consecutive ones to the same; tasks sketch their passages and the sums are added up. The space holds
+   the items' own directions, so the items stay apart, and the ``EXTRA_RANK`` first right singular vectors of
+   what the sketch has beside them.
 3. Every passage of every document is searched. Its squared cosine with any item is at most
    the share of its squared weight that lies in words of items, so passages with less than
    ``LEAST_SHARE`` are passed over; the others are projected, and items whose latent cosine is at
@@ -37,6 +36,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,12 +48,10 @@ SHORT_WORDS = PASSAGE // 2
 STRIDE = 8
 ITEMS = 256
 EXTRA_RANK = 24
-FIT_PASSAGES = 6000
-FIT_TASKS = 4
-#: Least weight of an item against a passage, and its square as a share of the fitted passages.
-ITEM_WEIGHT = 5.0
-ITEM_SHARE = 0.02
-ROUNDS = 2
+#: Rows of the sketch, consecutive passages that share one, and passages of a task on average.
+SKETCH = 256
+GROUP = 64
+TASK_PASSAGES = 2_000_000
 LEAST_SHARE = 0.15
 COSINE = 0.6
 VERBATIM = 0.8
@@ -117,7 +115,9 @@ def _frequencies(batches):
         for block in blocks(batch, "text"):
             hashes, first = _block_words(block)
             text = np.repeat(np.arange(block.num_rows), np.diff(first))
-            counts += np.bincount(np.unique(text * size + _top(hashes, COUNT_BITS)) % size, minlength=size)
+            held = np.sort(text * size + _top(hashes, COUNT_BITS))
+            held = held[np.flatnonzero(np.diff(held, prepend=-1))]  # each word of a text once
+            counts += np.bincount(held % size, minlength=size)
             texts += block.num_rows
             passages += len(_passages(first)[0])
     used = np.flatnonzero(counts)
@@ -146,7 +146,10 @@ def word_weights(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _chosen_passages(batches, share: float):
-    """Words of the passages that a hash of document key and passage number draws."""
+    """Words of the passages that a hash of document key and passage number draws.
+
+    For looking at some passages of a large corpus; the fit takes all.
+    """
     limit = np.uint64(min(int(share * 2**64), 2**64 - 1))
     for batch in batches:
         for block in blocks(batch, "text"):
@@ -157,84 +160,98 @@ def _chosen_passages(batches, share: float):
             with np.errstate(over="ignore"):
                 drawn = mixed(mixed(keys) + number * np.uint64(0x9E3779B97F4A7C15))
             taken = np.flatnonzero(drawn < limit)
-            if len(taken):
-                lists = _word_lists(hashes, starts[taken], ends[taken], False)
-                yield lists.append_column("drawn", pa.array(drawn[taken].view(np.int64)))
+            for part in np.array_split(taken, len(taken) // 20000 + 1):
+                if len(part):
+                    lists = _word_lists(hashes, starts[part], ends[part])
+                    yield lists.append_column("drawn", pa.array(drawn[part].view(np.int64)))
 
 
-def _item_words(batches):
-    for batch in batches:
-        for block in blocks(batch, "text"):
-            hashes, first = _block_words(block)
-            full = np.flatnonzero(np.diff(first) > SHORT_WORDS)
-            yield _word_lists(hashes, first[full], first[full + 1], True)
-
+def _word_lists(hashes, starts, ends) -> pa.RecordBatch:
+    lengths = ends - starts
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    words = hashes[np.arange(edges[-1]) + np.repeat(starts - edges[:-1], lengths)]
+    lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(words.view(np.int64)))
+    return pa.RecordBatch.from_arrays([lists], ["words"])
 
-def _word_lists(hashes, starts, ends, item: bool) -> pa.RecordBatch:
-    words = np.concatenate([hashes[a:b] for a, b in zip(starts, ends)] or [hashes[:0]])
-    edges = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(words.view(np.int64)))
-    return pa.RecordBatch.from_arrays([lists, pa.array([item] * len(lists), pa.bool_())], ["words", "item"])
 
+def _sketched(batches, weights):
+    """Passages of length 1, each added with a random sign to a row of a matrix; columns are hashed words.
 
-def _products(batches, weights, directions, item_weight: float):
-    """Transposed matrix times matrix times directions, and the Gram matrix, of the rows at hand."""
-    gram = np.zeros((directions.value.shape[1],) * 2)
-    total = np.zeros(directions.value.shape)
+    ``GROUP`` consecutive passages share a row, so a word is added once for all of them that hold it. Signs
+    and rows also depend on the place in the task, so repeated rows do not add up to a long one.
+    """
+    size = 1 << LATENT_BITS
+    sketch = np.zeros(SKETCH * size, np.float32)
+    seen = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
     for batch in batches:
-        for start in range(0, batch.num_rows, 500):
-            rows = batch.slice(start, 500)
-            lists = rows.column("words")
-            words = lists.flatten().to_numpy().view(np.uint64)
-            ends = np.cumsum(lists.value_lengths().to_numpy())
-            starts = np.concatenate([[0], ends[:-1]])
-            value = weights.value[_top(words, COUNT_BITS)].astype(np.float64)
+        for block in blocks(batch, "text"):
+            hashes, first = _block_words(block)
+            text, starts, ends = _passages(first)
+            if not len(text):
+                continue
+            value = weights.value[_top(hashes, COUNT_BITS)]
             norms = np.sqrt(np.maximum(_sums(value * value, starts, ends), 1e-12))
-            boost = np.where(rows.column("item").to_numpy(zero_copy_only=False), item_weight, 1.0)
-            value *= np.repeat(boost / norms, ends - starts)
-            latent = _top(words, LATENT_BITS)
-            projected = _sums(directions.value[latent] * value[:, None], starts, ends)  # in doubles
-            gram += projected.T @ projected
-            order = np.argsort(latent, kind="stable")
-            part = np.repeat(projected, ends - starts, axis=0)[order] * value[order][:, None]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(latent[order])) + 1])
-            total[latent[order][cuts]] += np.add.reduceat(part, cuts, axis=0)
-    for number, rows in enumerate(np.split(total.astype(np.float32), 64)):
-        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([rows.tobytes()])], ["part", "sums"])
-    yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([gram.tobytes()])], ["part", "sums"])
+            drawn = mixed(mixed(block.column("key").to_numpy().view(np.uint64)[text]) ^ _places(seen, len(text)))
+            seen += len(text)
+            signed = np.where(drawn >> np.uint64(63), 1.0, -1.0) / norms
+            until = np.concatenate([[0.0], np.cumsum(signed)])
+            begin = np.searchsorted(text, np.arange(block.num_rows + 1))  # first passage of each text
+            number = np.arange(len(text)) - begin[text]
+            row = (drawn[begin[text] + number // GROUP * GROUP] % np.uint64(SKETCH)).astype(np.int64) * size
+            # of each word the last passage that holds it, the first one, and where the last one's group begins
+            counts = np.diff(first)
+            stride = (np.arange(len(hashes)) - np.repeat(first[:-1], counts)) // STRIDE
+            offset = np.repeat(begin[:-1], counts)
+            last = np.minimum(stride, np.repeat(np.diff(begin) - 1, counts))
+            least = np.maximum(stride - (PASSAGE // STRIDE - 1), 0)
+            cut = last // GROUP * GROUP
+            column = _top(hashes, LATENT_BITS)
+            share = until[offset + last + 1] - until[offset + np.maximum(least, cut)]
+            np.add.at(sketch, row[offset + last] + column, (value * share).astype(np.float32))
+            two = np.flatnonzero(least < cut)  # words that passages of the group before hold, too
+            offset, least, cut = offset[two], least[two], cut[two]
+            share = until[offset + cut] - until[offset + least]
+            np.add.at(sketch, row[offset + least] + column[two], (value[two] * share).astype(np.float32))
+    for number, part in enumerate(np.split(sketch, 64)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([part.tobytes()])], ["part", "sums"])
+
+
+def _places(start: int, n: int) -> np.ndarray:
+    return mixed(np.arange(start, start + n).astype(np.uint64))
 
 
 def _added(key, table):
     import pyarrow as pa
 
-    kind = np.float64 if key[0].as_py() < 0 else np.float32
-    sums = sum(np.frombuffer(x, kind).astype(np.float64) for x in table.column("sums").to_pylist())
-    return pa.table({"part": [key[0].as_py()], "sums": [sums.astype(kind).tobytes()]})
+    sums = 0.0
+    for chunk in table.column("sums").chunks:
+        for part in chunk:
+            sums = sums + np.frombuffer(part.as_buffer(), np.float32).astype(np.float64)
+    return pa.table({"part": [key[0].as_py()], "sums": [sums.astype(np.float32).tobytes()]})
 
 
-def _multiplied(rows: DataFrame, weights, directions: np.ndarray, item_weight: float) -> tuple[np.ndarray, np.ndarray]:
-    shared = rows.sparkSession.sparkContext.broadcast(directions.astype(np.float32))
-    parts = rows.mapInArrow(
-        lambda b: trimmed(_products(b, weights, shared, item_weight)), "part long, sums binary"
+def corpus_sketch(texts: DataFrame, weights, passages: int) -> np.ndarray:
+    """A random matrix times the weighted passages of all texts: ``SKETCH`` rows, a column per hashed word."""
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, passages // TASK_PASSAGES)
+    # fewer tasks than splits where these are small, as each task hands on a whole sketch
+    parts = texts.select("key", "text").coalesce(tasks).mapInArrow(
+        lambda b: trimmed(_sketched(b, weights)), "part long, sums binary"
     )
-    found = parts.groupBy("part").applyInArrow(_added, "part long, sums binary").orderBy("part").collect()
-    shared.destroy()  # else its copies stay on every executor's disk
-    gram = np.frombuffer(found[0]["sums"], np.float64).reshape((directions.shape[1],) * 2)
-    total = np.concatenate([np.frombuffer(row["sums"], np.float32) for row in found[1:]])
-    return total.reshape(directions.shape).astype(np.float64), gram
-
-
-def latent_basis(rows: DataFrame, weights, rank: int) -> np.ndarray:
-    """Right singular vectors of the weighted rows, by randomised subspace iteration."""
-    passages = rows.where("not item").count()
-    item_weight = max(ITEM_WEIGHT, float(np.sqrt(ITEM_SHARE * passages)))
-    basis = np.random.default_rng(11).standard_normal((1 << LATENT_BITS, rank + EXTRA_RANK))
-    for _ in range(ROUNDS):
-        product, _ = _multiplied(rows, weights, basis, item_weight)
-        basis, _ = np.linalg.qr(product)
-    _, gram = _multiplied(rows, weights, basis, item_weight)
-    values, vectors = np.linalg.eigh(gram)
-    return (basis @ vectors[:, np.argsort(-values)[:rank]]).astype(np.float32)
+    sketch = np.zeros((64, (SKETCH << LATENT_BITS) // 64), np.float32)
+    for row in parts.groupBy("part").applyInArrow(_added, "part long, sums binary").collect():
+        sketch[row["part"]] = np.frombuffer(row["sums"], np.float32)
+    return sketch.reshape(SKETCH, -1)
+
+
+def latent_basis(items: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Directions of the items, then the first right singular vectors of what the sketch has beside them."""
+    _, values, own = np.linalg.svd(items, full_matrices=False)
+    own = own[values > 1e-6 * values[0]]
+    rest = sketch - (sketch @ own.T) @ own
+    _, values, others = np.linalg.svd(rest, full_matrices=False)
+    others = others[values > 1e-6 * max(values[0], 1e-12)]
+    return np.concatenate([own, others[:EXTRA_RANK]]).T.astype(np.float32)
 
 
 # --- search ---------------------------------------------------------------------------------
@@ -446,19 +463,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if total:
         weights, passages = word_weights(texts)
         shared_weights = spark.sparkContext.broadcast(weights)
-        chosen = texts.mapInArrow(
-            lambda b: trimmed(_chosen_passages(b, FIT_PASSAGES / max(passages, 1))),
-            "words array<long>, item boolean, drawn long",
-        )
-        # a row that is repeated, and so drawn as often, counts once
-        sample = stored(chosen.dropDuplicates(["drawn"]).select("words", "item"))
+        sketch = None
         # a rank by hash deals the items to blocks of at most ITEMS
         ordered = asked.select("*", F.xxhash64("item_id", "text").alias("h")).orderBy("h", "item_id", "text")
         for part in range(parts):
             block = stored(ordered.offset(part * ITEMS).limit(ITEMS).select("item_id", "text"))
-            index = _index(sample, block, weights, shared_weights)
-            if index is None:
+            items = _items([(row["item_id"], row["text"]) for row in block.collect()])  # at most ITEMS rows
+            if not items:
                 continue
+            if sketch is None and any(len(x.words) > SHORT_WORDS for x in items):
+                sketch = corpus_sketch(texts, shared_weights, passages)
+            index = _index(items, weights, sketch)
             plain = [tuple(item) for item in index.items]  # the workers need not know this package
             shared = spark.sparkContext.broadcast((plain, index.weights, index.basis, index.queries))
             found = texts.mapInArrow(
@@ -471,19 +486,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return outcome
 
 
-def _index(sample: DataFrame, block: DataFrame, weights: np.ndarray, shared) -> Index | None:
-    rows = [(row["item_id"], row["text"]) for row in block.collect()]  # at most ITEMS rows
-    items = _items(rows)
-    if not items:
-        return None
-    items.sort(key=lambda x: len(x.words) <= SHORT_WORDS)
+def _index(items: list[Item], weights: np.ndarray, sketch: np.ndarray | None) -> Index:
+    items = sorted(items, key=lambda x: len(x.words) <= SHORT_WORDS)
     long = [x for x in items if len(x.words) > SHORT_WORDS]
     if not long:
         none = np.zeros((0, 0), np.float32)
         return Index(items, weights, none, none)
-    words = block.select("text").mapInArrow(_item_words, "words array<long>, item boolean")
-    matrix = stored(sample.unionByName(words).repartition(FIT_TASKS))
-    basis = latent_basis(matrix, shared, len(long) + EXTRA_RANK)
+    rows = np.zeros((len(long), 1 << LATENT_BITS))
+    for row, item in zip(rows, long):
+        np.add.at(row, _top(item.words, LATENT_BITS), weights[_top(item.words, COUNT_BITS)])
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    basis = latent_basis(rows, sketch)
     queries = np.array(
         [
             (basis[_top(x.words, LATENT_BITS)] * weights[_top(x.words, COUNT_BITS)][:, None]).sum(axis=0)

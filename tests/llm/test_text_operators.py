@@ -15,9 +15,17 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from daybook.llm import byte_bpe, chat_format, quality_rules, url_filter
-from daybook.llm.decontamination import _chosen_passages, common_subsequence, decontaminated, leaks
+from daybook.llm.decontamination import (
+    COUNT_BITS,
+    _chosen_passages,
+    common_subsequence,
+    corpus_sketch,
+    decontaminated,
+    leaks,
+)
 from daybook.llm.html_text import LEFT_OUT, html_text, main_text
 from daybook.llm.queries import URL_RULES
+from daybook.llm.rows import keyed
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -472,6 +480,27 @@ def test_fit_passages_are_drawn_evenly():
         assert 0.5 < max(map(starts.count, set(starts))) / len(drawn) < 0.7
 
 
+def test_the_fit_sees_every_passage(spark):
+    """Ten times 6000 passages; one more document, or one word in it, changes the sketch by that much."""
+    draw = np.random.default_rng(6)
+    names = np.array([f"w{i}" for i in range(3000)])
+    texts = [" ".join(names[draw.integers(0, 3000, 1631)]) for _ in range(300)]
+    one = np.ones(1 << COUNT_BITS, np.float32)
+    weights = spark.sparkContext.broadcast(one)
+    frame = lambda rows: keyed(
+        spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    )
+    whole = corpus_sketch(frame(texts), weights, 0).astype(float)
+    n = 201 * len(texts)
+    # rows of length 1 with random signs: the squares add up to the number of passages, but for chance
+    assert abs((whole**2).sum() - n) < 0.05 * n
+    more = corpus_sketch(frame([*texts, " ".join(["another"] * 32)]), weights, 0) - whole
+    assert np.count_nonzero(np.abs(more) > 1e-3) == 1
+    assert abs(np.abs(more).max() - 32**0.5) < 1e-3
+    nulls = spark.createDataFrame([(1, None), (2, ""), (None, " ")], "doc_id long, text string")
+    assert not corpus_sketch(keyed(nulls), weights, 0).any()
+
+
 def test_leaks_in_a_corpus_above_the_fit(spark):
     """Items verbatim and paraphrased, in ten times the passages that the fit takes."""
     draw = random.Random(4)
