@@ -21,6 +21,7 @@ the file and broadcasts its content, whose size does not depend on the data.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,10 +37,10 @@ from daybook.llm.rows import quoted
 from daybook.llm.text_arrays import blocks, trimmed
 
 REMEMBERED = 150_000
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 LONG = 64
 #: Bytes of pieces encoded by one query.
-QUERY_BYTES = 1 << 18
+QUERY_BYTES = 1 << 17
 DECODED_ROWS = 500
 RESULTS = ["ids", "n_tokens", "decoded"]
 
@@ -102,12 +103,12 @@ def vocabulary(content: bytes) -> dict[bytes, int]:
 
 def merges(ranks: dict[bytes, int]) -> pa.Table:
     """Every two tokens that together are a token, and its rank."""
-    found = [
-        (ranks[token[:cut]], ranks[token[cut:]], rank)
-        for token, rank in ranks.items()
-        for cut in range(1, len(token))
-        if token[:cut] in ranks and token[cut:] in ranks
-    ]
+    found = array("q")  # no objects, whose memory a worker would keep
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                found.extend((left, right, rank))
     left, right, rank = np.array(found, np.int64).reshape(-1, 3).T
     return pa.table({"pair": (left << 20) | right, "m": rank})
 
