@@ -6,7 +6,7 @@ position, token), at first one per byte. A recursive query joins neighbouring to
 of merges, contracts the leftmost pair of least rank of every piece, and goes on with the
 pieces that changed until none does. In pieces of more than ``LONG`` bytes all pairs of the least
 rank are contracted in one round, of overlapping ones every second from the left; the tokens
-are the same. Decoding joins ids with the vocabulary and aggregates the bytes in order.
+are the same. Decoding takes the bytes of all ids of a block from the vocabulary, in order, as one Arrow array.
 
 A Python worker remembers the pieces it encoded for all its tasks of one call: the last ``REMEMBERED`` ones
 that were used, twice as many at most. Ids are
@@ -90,11 +90,6 @@ final AS (SELECT word, max(round) AS round FROM state GROUP BY word)
 SELECT word, tok FROM state JOIN final USING (word, round) ORDER BY word, pos
 """
 
-_DECODE = """
-SELECT text, list(bytes ORDER BY pos) AS pieces
-FROM tokens LEFT JOIN vocabulary USING (id) GROUP BY text ORDER BY text
-"""
-
 
 def vocabulary(content: bytes) -> dict[bytes, int]:
     rows = (line.split() for line in content.splitlines() if line.strip())
@@ -196,48 +191,23 @@ def _grouped(pieces: list[str], raw: dict[str, bytes]) -> Iterator[list[str]]:
 class Decoder:
     def __init__(self, content: bytes, encoder: Encoder | None = None):
         ranks = encoder.ranks if encoder else vocabulary(content)
-        self.database = encoder.database if encoder else _database()
-        table = pa.table(
-            {
-                "id": pa.array(list(ranks.values()), pa.uint32()),
-                "bytes": pa.array(list(ranks), pa.binary()),
-            }
-        )
-        self.database.register("given", table)
-        self.database.execute("CREATE TABLE vocabulary AS FROM given")
-        self.database.unregister("given")
+        # where the bytes of each id are, -1 for an id between that no token has
+        self.place = np.full(max(ranks.values(), default=-1) + 1, -1, np.int32)
+        self.place[list(ranks.values())] = np.arange(len(ranks))
+        self.tokens = pa.array(list(ranks), pa.large_binary())
 
     def decoded(self, encoded: list[bytes]) -> list[bytes]:
-        counts = np.array([len(x) // 4 for x in encoded])
+        counts = np.array([len(x) // 4 for x in encoded], np.int64)
         ids = np.frombuffer(b"".join(encoded), "<u4")
-        out = [b""] * len(encoded)
         if not len(ids):
-            return out
-        self.database.register(
-            "tokens",
-            pa.table(
-                {
-                    "text": np.repeat(np.arange(len(counts), dtype=np.int32), counts),
-                    "pos": np.arange(len(ids), dtype=np.int32),
-                    "id": ids,
-                }
-            ),
-        )
-        found = self.database.sql(_DECODE).to_arrow_table()
-        for chunk in found.to_batches():
-            pieces = chunk.column("pieces")
-            if pieces.flatten().null_count:
-                raise ValueError("an id is not in the vocabulary")
-            flat = pieces.flatten().cast(pa.large_binary())
-            edges = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1, flat.offset * 8)
-            ends = np.cumsum(pieces.value_lengths().to_numpy())
-            begins = np.concatenate([[0], ends[:-1]])
-            data = flat.buffers()[2]
-            for text, a, b in zip(
-                chunk.column("text").to_pylist(), edges[begins].tolist(), edges[ends].tolist()
-            ):
-                out[text] = data[a:b].to_pybytes()
-        return out
+            return [b""] * len(encoded)
+        if ids.max() >= len(self.place) or (places := self.place[ids]).min() < 0:
+            raise ValueError("an id is not in the vocabulary")
+        found = self.tokens.take(pa.array(places))
+        edges = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)
+        ends = np.cumsum(counts)
+        data = memoryview(found.buffers()[2])
+        return [bytes(data[a:b]) for a, b in zip(edges[ends - counts].tolist(), edges[ends].tolist())]
 
 
 def _kept(content, name: str, make):

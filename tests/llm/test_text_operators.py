@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import random
 import re
 
@@ -369,6 +370,22 @@ def test_encode_and_decode(spark, odd_docs, no_docs):
     assert byte_bpe.encode(no_docs, PATH, PATTERN).count() == 0
 
 
+def test_decoding_takes_bytes_without_queries():
+    lines = [(bytes([i]), i) for i in range(256)] + [(b"ab", 300), (b"abc", 301)]  # no token has 256 to 299
+    content = b"\n".join(base64.b64encode(token) + b" %d" % rank for token, rank in lines)
+    encoder = byte_bpe.Encoder(content, PATTERN)
+    decoder = byte_bpe.Decoder(content, encoder)
+    found = encoder.encoded(["abcab", "", "é abx", ""])
+    assert np.frombuffer(found[0], "<u4").tolist() == [301, 300]
+    encoder.database.close()
+    assert decoder.decoded(found) == ["abcab".encode(), b"", "é abx".encode(), b""]
+    assert decoder.decoded([b"", b""]) == [b"", b""]
+    assert decoder.decoded([]) == []
+    for unknown in (256, 302, 2**32 - 1):
+        with pytest.raises(ValueError, match="not in the vocabulary"):
+            decoder.decoded([found[0], np.array([97, unknown], "<u4").tobytes()])
+
+
 # --- conversations --------------------------------------------------------------------------
 
 PIECES = ["<", "|", "!", "<|", "<!|", "<!!|", "<|im_start|>", "<|im_end|>", "<|nl|>", "\n", "a", "é😀", " "]
