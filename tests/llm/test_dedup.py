@@ -8,6 +8,8 @@ from collections import Counter
 
 import pytest
 
+import daybook.llm.suffix_dedup as suffix_dedup_module
+from daybook.llm import segments
 from daybook.llm.components import components
 from daybook.llm.line_dedup import line_dedup
 from daybook.llm.minhash_dedup import near_dedup, near_duplicates
@@ -88,6 +90,30 @@ def test_byte_strings(spark, hot):
         assert len(row.spans) == sum(out and not before for before, out in zip([False, *gone], gone))
 
 
+def test_hot_anchors_take_their_bytes_from_the_same_pass(spark, monkeypatch):
+    passes = []
+
+    def counted(docs, *rest, **named):
+        passes.append(rest)
+        return asked(docs, *rest, **named)
+
+    asked = segments.asked
+    for module in (segments, suffix_dedup_module):
+        monkeypatch.setattr(module, "asked", counted)
+    # one anchor with many different segments, some windows of which are repeated without the rest
+    draw = random.Random(8)
+    letters = lambda n: "".join(draw.choice("abcdefghé") for _ in range(n))
+    anchor, ends = letters(90), [letters(30) for _ in range(6)]
+    rows = [(i, letters(30) + anchor + draw.choice(ends) + letters(30)) for i in range(40)]
+    found = {r.doc_id: r for r in suffix_dedup(frame(spark, [*rows, (50, None)]), 50, 12, 4).collect()}
+    lists = [list(text.encode()) for _, text in rows]
+    for (doc_id, _), data, gone in zip(rows, lists, repeated(lists, 50)):
+        assert any(gone)
+        assert bytes(found[doc_id].kept) == bytes(b for b, out in zip(data, gone) if not out)
+    assert found[50].n_bytes == 0
+    assert len(passes) == 1  # the texts are dealt once for the shards and for the hot anchors' windows
+
+
 def test_lines(spark):
     rows = [
         (1, "a\nb\nc\nd"),
