@@ -102,7 +102,8 @@ def _rebuilt(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
 
 def line_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without repeated windows, with ``n_lines`` and ``n_removed``."""
-    rebuilt = F.pandas_udf(_rebuilt, "struct<text string, n_lines long, n_removed long>")
+    # else a filter on the results makes Spark rebuild each text twice, in two Python workers per task
+    rebuilt = F.pandas_udf(_rebuilt, "struct<text string, n_lines long, n_removed long>").asNondeterministic()
     found = with_lists(packed(docs), later_lines(docs, size))
     out = found.withColumn("out", rebuilt("text", "gone"))
     return unpacked(

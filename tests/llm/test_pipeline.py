@@ -46,6 +46,18 @@ def test_stages(spark):
     assert all(r.n_tokens * 4 == len(r.ids) for r in seen["byte_bpe"].collect())
 
 
+def test_lines_are_rebuilt_once(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "a\nb\nc\nd", 7), (2, "a\nb\nc", 5), (3, "x\na\nb\nc", 7), (4, None, 0), (5, "", 0)],
+        "doc_id long, text string, n_chars long",
+    )
+    found = corpus_pipeline.lines(spark, docs, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # twice would be two Python workers per task, which stay for the stages after
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, found.collect())) == [(1, "a\nb\nc\nd", 7), (3, "x", 1), (4, None, None), (5, "", 0)]
+
+
 def test_the_bench_times_corpus_queries():
     assert {"op1_line_dedup", "op10_chat_format", "pipeline"} <= set(bench.selected(""))
     assert set(bench.selected("op3_html_text,pipeline")) == {"op3_html_text", "pipeline"}
