@@ -62,6 +62,27 @@ def test_segments_hold_every_window_once(values, window):
             assert anchors.setdefault(content, anchor) == anchor
 
 
+def unmixed(value: int) -> int:
+    """The number that ``mixed`` takes to ``value``."""
+    for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9), (30, 1)):
+        found = value
+        for _ in range(64 // shift):
+            found = value ^ (found >> shift)
+        value = found * pow(factor, -1, 1 << 64) % (1 << 64)
+    return value
+
+
+def test_equal_windows_have_one_anchor_in_blocks_of_any_length():
+    # hashes of the three anchors of one window: the first and last differ in a few low bits only
+    hashes = [0x60, 1 << 63, 0x40]
+    window = np.array([(unmixed(x) - 0x632BE59BD9B4E019) % (1 << 64) for x in hashes], np.uint64)
+    others = np.arange(1, 501, dtype=np.uint64)
+    alone = segments(window, np.array([0, 3]), 3, 1)
+    beside = segments(np.concatenate([window, others]), np.array([0, 3, 503]), 3, 1)
+    assert alone.anchor[0] in hashes
+    assert alone.anchor[0] == beside.anchor[0]
+
+
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=60), st.integers(1, 8))
 @settings(max_examples=120, deadline=None)
 def test_suffix_array_and_prefixes(values, most):
